@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmurate.llm import copies, sampling, terms
+from murmurate.llm import conversations, copies, mixing, packing, reading, sampling, terms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,11 +66,68 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_terms(spark, d).where("mark IS NOT NULL").select("field_name", "term", "mark")
 
 
+# --- 7: conversations -------------------------------------------------------------------------------
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return conversations.left_out(_table(spark, d, "dialoguetext_196"))
+
+
+def p7_conversations(spark: SparkSession, d: str) -> DataFrame:
+    return conversations.conversations(_table(spark, d, "dialoguetext_196"))
+
+
+# --- 8: filling containers ---------------------------------------------------------------------------
+
+
+def _capacity(spark: SparkSession, d: str, budget: str) -> int:
+    return int(_table(spark, d, "token_budgets").where(F.col("budget_name") == budget).first()["capacity_tokens"])
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(_table(spark, d, "documents"), _capacity(spark, d, "standard"))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    reports = []
+    for budget in ("short", "standard", "long"):
+        capacity = _capacity(spark, d, budget)
+        report = packing.fill_report(packing.packed(_table(spark, d, "documents"), capacity), capacity)
+        reports.append(report.select(F.lit(budget).alias("budget_name"), F.lit(capacity).alias("capacity_tokens"), "*"))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+# --- 9: mixing sources ---------------------------------------------------------------------------------
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(*mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets")))
+
+
+# --- 10: reading level -----------------------------------------------------------------------------------
+
+
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    return reading.reading_levels(_table(spark, d, "documents"), _table(spark, d, "reading_labels"))
+
+
+def p10_profile(spark: SparkSession, d: str) -> DataFrame:
+    return reading.profile(p10_levels(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_collapsed": p2_collapsed,
         "p4_sample": p4_sample,
         "p6_found": p6_found, "p6_terms": p6_terms,
+        "p7_found": p7_found, "p7_conversations": p7_conversations,
+        "p8_packed": p8_packed, "p8_fill": p8_fill,
+        "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+        "p10_levels": p10_levels, "p10_profile": p10_profile,
     }
 
 
