@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmurate.llm import conversations, copies, mixing, packing, reading, sampling, terms
+from murmurate.llm import conversations, copies, mixing, packing, personal, reading, sampling, terms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,31 @@ def p4_sample(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# --- 5: personal information ---------------------------------------------------------------------------
+
+#: The lexicon is a fixed table; a longer list is not used, as contexts are to be read by its terms alone.
+MOST_TERMS = 5000
+
+
+def _terms(spark: SparkSession, d: str) -> list[str]:
+    rows = _table(spark, d, "tech_lexicon").select("term").where("term IS NOT NULL").limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"tech_lexicon has more than {MOST_TERMS} terms")
+    return sorted(r[0] for r in rows)
+
+
+def _personal(spark: SparkSession, d: str) -> DataFrame:
+    return personal.find_personal(_table(spark, d, "dialoguetext_196"), _terms(spark, d))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _personal(spark, d).select("row_id", "kind", "start_pos")
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redact(_table(spark, d, "dialoguetext_196"), _personal(spark, d))
+
+
 # --- 6: term frequencies -------------------------------------------------------------------------
 
 TERM_FIELDS = {"residual_words": "residual_words", "tech_lexicon_matches": "transform(tech_lexicon_matches, x -> x.term)"}
@@ -123,6 +148,7 @@ def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_collapsed": p2_collapsed,
         "p4_sample": p4_sample,
+        "p5_found": p5_found, "p5_redacted": p5_redacted,
         "p6_found": p6_found, "p6_terms": p6_terms,
         "p7_found": p7_found, "p7_conversations": p7_conversations,
         "p8_packed": p8_packed, "p8_fill": p8_fill,
