@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmurate.llm import conversations, copies, mixing, packing, personal, reading, sampling, terms
+from murmurate.llm import conversations, copies, language, mixing, packing, personal, reading, sampling, terms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,27 @@ def p2_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return copies.collapsed(_records(spark, d))
 
 
+# --- 3: languages --------------------------------------------------------------------------------
+
+
+def _language_model(spark: SparkSession, d: str) -> language.Crf:
+    texts, labels = language.training_rows(_table(spark, d, "dialoguetext_196"), _table(spark, d, "message_labels"))
+    terms = frozenset(w for t in _terms(spark, d) for w in t.lower().split())
+    return language.fit(texts, labels, terms)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.doubtful_labels(_table(spark, d, "dialoguetext_196"), _table(spark, d, "message_labels"), _language_model(spark, d))
+
+
+def p3_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.segments(_table(spark, d, "dialoguetext_196"), _language_model(spark, d))
+
+
+def p3_languages(spark: SparkSession, d: str) -> DataFrame:
+    return language.message_languages(p3_segments(spark, d))
+
+
 # --- 4: stable sample ---------------------------------------------------------------------------
 
 #: Help channels of single languages are small and kept at a higher rate; talk off the topic at a lower.
@@ -147,6 +168,7 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_collapsed": p2_collapsed,
+        "p3_found": p3_found, "p3_segments": p3_segments, "p3_languages": p3_languages,
         "p4_sample": p4_sample,
         "p5_found": p5_found, "p5_redacted": p5_redacted,
         "p6_found": p6_found, "p6_terms": p6_terms,
