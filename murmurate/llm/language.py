@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,7 +47,7 @@ COMMON = {
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 # Between two words of one clause there is none of these.
-_BREAK = re.compile(r"[.;!?\n\r\"“”«»\[\]{}|]|\s[/-]\s|->|(?<!\w)'|'(?!\w)|:\s*['\"]")
+_BREAK = re.compile(r"\.(?!\w)|[;!?\n\r\"“”«»()\[\]{}|]|\s[/-]\s|->|(?<!\w)'|'(?!\w)|:\s*['\"]")
 
 
 def label_language(label: Column) -> Column:
@@ -56,8 +56,34 @@ def label_language(label: Column) -> Column:
     return F.try_element_at(known, F.regexp_replace(F.lower(stripped(label)), r"[-_].*$", ""))
 
 
-def word_features(word: str, terms: frozenset[str] = frozenset()) -> list[str]:
+class Lexicon:
+    """Technical terms, which every language borrows: their words tell nothing about the language."""
+
+    #: What such a word is read as; it has no feature, so the words around it decide.
+    NEUTRAL = "<t>"
+
+    def __init__(self, terms: Iterable[str] = ()):
+        self.terms = frozenset(tuple(t.lower().split()) for t in terms)
+        self.longest = max((len(t) for t in self.terms), default=0)
+
+    def read(self, words: list[str]) -> list[str]:
+        out, i = [], 0
+        while i < len(words):
+            for n in range(min(self.longest, len(words) - i), 0, -1):
+                if tuple(words[i : i + n]) in self.terms:
+                    out += [self.NEUTRAL] * n
+                    i += n
+                    break
+            else:
+                out.append(words[i])
+                i += 1
+        return out
+
+
+def word_features(word: str) -> list[str]:
     """Affixes, character n-grams and lexicon entries of one word in lower case."""
+    if word == Lexicon.NEUTRAL:
+        return []
     marked = f"^{word}$"
     out = ["bias", f"w={word}"]
     out += [f"p{n}={word[:n]}" for n in (1, 2, 3, 4) if len(word) >= n]
@@ -66,16 +92,14 @@ def word_features(word: str, terms: frozenset[str] = frozenset()) -> list[str]:
     out += [f"lex={k}" for k, words in _COMMON_SETS.items() if word in words]
     out += [f"c={c}" for c in set(word) if c > "z"]
     out.append("script=" + ("cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"))
-    if word in terms:
-        out.append("term")
     return out
 
 
 _COMMON_SETS = {k: frozenset(v.split()) for k, v in COMMON.items()}
 
 
-def hashed(word: str, terms: frozenset[str] = frozenset()) -> np.ndarray:
-    return np.unique(np.array([zlib.crc32(f.encode()) % BUCKETS for f in word_features(word, terms)], dtype=np.int64))
+def hashed(word: str) -> np.ndarray:
+    return np.unique(np.array([zlib.crc32(f.encode()) % BUCKETS for f in word_features(word)], dtype=np.int64))
 
 
 def _lse(a: np.ndarray, axis: int) -> np.ndarray:
@@ -110,13 +134,13 @@ class Crf:
     weight: np.ndarray
     start: np.ndarray
     trans: np.ndarray
-    terms: frozenset[str] = frozenset()
+    lexicon: Lexicon = field(default_factory=Lexicon)
     known: dict[str, np.ndarray] = field(default_factory=dict)
 
     def emission(self, word: str) -> np.ndarray:
         got = self.known.get(word)
         if got is None:
-            got = self.weight[hashed(word, self.terms)].sum(0)
+            got = self.weight[hashed(word)].sum(0)
             # A cache of this size, not a limit of the vocabulary.
             if len(self.known) < 200_000:
                 self.known[word] = got
@@ -124,6 +148,7 @@ class Crf:
 
     def marginals(self, sentences: list[list[str]], cells: int = 60_000) -> list[np.ndarray]:
         """Per sentence the probability of every language for every word; similar lengths share a batch."""
+        sentences = [self.lexicon.read(s) for s in sentences]
         out: list[np.ndarray] = [np.zeros((0, len(self.start)))] * len(sentences)
         order = sorted((i for i, s in enumerate(sentences) if s), key=lambda i: len(sentences[i]))
         at = 0
@@ -144,12 +169,12 @@ class Crf:
         return out
 
 
-def _train(sentences: list[list[str]], labels: list[np.ndarray], terms: frozenset[str], *, steps: int, transitions: bool, init: Crf | None = None, l2: float = 0.02) -> Crf:
+def _train(sentences: list[list[str]], labels: list[np.ndarray], lexicon: Lexicon, *, steps: int, transitions: bool, init: Crf | None = None, l2: float = 0.02) -> Crf:
     """Full-batch gradient ascent (Adam) on the likelihood of the labels."""
     k = len(LANGUAGES)
     types = sorted({w for s in sentences for w in s})
     number = {w: i for i, w in enumerate(types)}
-    feats = [hashed(w, terms) for w in types]
+    feats = [hashed(w) for w in types]
     used, flat = np.unique(np.concatenate(feats), return_inverse=True)
     owner = np.repeat(np.arange(len(types)), [len(f) for f in feats])
     w = init.weight[used].copy() if init else np.zeros((len(used), k))
@@ -194,10 +219,10 @@ def _train(sentences: list[list[str]], labels: list[np.ndarray], terms: frozense
             p += 0.1 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-9)
     weight = np.zeros((BUCKETS, k), dtype=np.float32)
     weight[used] = w
-    return Crf(weight, start, trans, terms)
+    return Crf(weight, start, trans, lexicon)
 
 
-def fit(texts: list[str], labels: list[str], terms: frozenset[str] = frozenset()) -> Crf:
+def fit(texts: list[str], labels: list[str], lexicon: Lexicon | None = None) -> Crf:
     """Learns from messages with one, possibly wrong, label each.
 
     Words first take their message's label. A model without transitions is
@@ -205,19 +230,20 @@ def fit(texts: list[str], labels: list[str], terms: frozenset[str] = frozenset()
     language replaces labels that most other messages contradict: wrong ones,
     and those of the other language in a mixed message. Then the chain is fitted.
     """
-    sentences = [[w.lower() for w in _WORD.findall(t)][:TRAIN_WORDS] for t in texts]
+    lexicon = lexicon or Lexicon()
+    sentences = [lexicon.read([w.lower() for w in _WORD.findall(t)][:TRAIN_WORDS]) for t in texts]
     kept = [(s, LANGUAGES.index(y)) for s, y in zip(sentences, labels) if s]
     if not kept:
-        return Crf(np.zeros((BUCKETS, len(LANGUAGES)), np.float32), np.zeros(len(LANGUAGES)), np.zeros((len(LANGUAGES),) * 2), terms)
+        return Crf(np.zeros((BUCKETS, len(LANGUAGES)), np.float32), np.zeros(len(LANGUAGES)), np.zeros((len(LANGUAGES),) * 2), lexicon)
     sentences, gold = [s for s, _ in kept], [np.full(len(s), y) for s, y in kept]
     stay = np.full((len(LANGUAGES),) * 2, np.log(0.01))
     np.fill_diagonal(stay, np.log(0.93))
     for steps in (40, 60):
-        model = _train(sentences, gold, terms, steps=steps, transitions=False)
+        model = _train(sentences, gold, lexicon, steps=steps, transitions=False)
         model.trans = stay
         gold = [p.argmax(1) for p in model.marginals(sentences)]
     # The chain starts from those transitions and learns its own.
-    return _train(sentences, gold, terms, steps=30, transitions=True, init=Crf(model.weight.astype(float), model.start, stay, terms))
+    return _train(sentences, gold, lexicon, steps=30, transitions=True, init=Crf(model.weight.astype(float), model.start, stay, lexicon))
 
 
 def training_rows(messages: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], list[str]]:
@@ -236,6 +262,16 @@ def stretches(text: str, words: list[tuple[str, int, int]], marginal: np.ndarray
         return
     best = marginal.argmax(1)
     n, a = len(words), 0
+    while a < n:
+        # One or two words inside a clause of another language are a name or a borrowed word.
+        b = a
+        while b + 1 < n and best[b + 1] == best[a]:
+            b += 1
+        inside = 0 < a and b + 1 < n and b - a < 2 and best[a - 1] == best[b + 1]
+        if inside and not any(_BREAK.search(text, words[i - 1][2], words[i][1]) for i in range(a, b + 2)):
+            best[a : b + 1] = best[a - 1]
+        a = b + 1
+    a = 0
     while a < n:
         b = a
         while b + 1 < n and best[b + 1] == best[a]:

@@ -38,8 +38,7 @@ def p2_collapsed(spark: SparkSession, d: str) -> DataFrame:
 
 def _language_model(spark: SparkSession, d: str) -> language.Crf:
     texts, labels = language.training_rows(_table(spark, d, "dialoguetext_196"), _table(spark, d, "message_labels"))
-    terms = frozenset(w for t in _terms(spark, d) for w in t.lower().split())
-    return language.fit(texts, labels, terms)
+    return language.fit(texts, labels, language.Lexicon(_terms(spark, d)))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
