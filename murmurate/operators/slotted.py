@@ -1,0 +1,40 @@
+"""Running numbers and previous rows of a time-ordered group, without the group becoming one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from murmurate.schema import col
+
+
+def place_and_previous(df: DataFrame, group: Sequence[str], time: str, tie: Sequence[Column], carry: Sequence[str], slot: str = "month") -> DataFrame:
+    """Adds ``__place`` (1-based) and ``__prev`` (struct of ``carry`` of the row before, NULL at first).
+
+    Windows are partitioned by group and calendar ``slot``. What a slot needs
+    of earlier ones, their row count and last row, comes from one row per group
+    and slot, so a group is as many tasks as the slots it spans. NULL group
+    values form a group of their own.
+    """
+    work = df.withColumns({"__slot": F.date_trunc(slot, col(time)), "__carried": F.struct(*[col(c) for c in carry])})
+    keys = [col(g) for g in group]
+    within = Window.partitionBy(*keys, "__slot").orderBy(col(time), *tie)
+    placed = work.withColumns({"__n": F.row_number().over(within), "__p": F.lag("__carried").over(within)})
+    # One row per group and slot: its count, and the row that the next slot sees as previous.
+    last = F.max_by("__carried", F.struct(col(time), *tie))
+    slots = work.groupBy(*[k.alias(f"__g{i}") for i, k in enumerate(keys)], F.col("__slot").alias("__s")).agg(F.count("*").alias("__c"), last.alias("__last"))
+    order = Window.partitionBy(*[f"__g{i}" for i in range(len(keys))]).orderBy("__s")
+    slots = slots.withColumns({"__before": F.sum("__c").over(order) - F.col("__c"), "__last_before": F.lag("__last").over(order)})
+    same = F.col("__slot").eqNullSafe(F.col("__s"))
+    for i, k in enumerate(keys):
+        same = same & k.eqNullSafe(F.col(f"__g{i}"))
+    out = placed.join(slots.drop("__c", "__last"), same, "left")
+    return out.withColumns(
+        {
+            "__place": (F.col("__n") + F.coalesce("__before", F.lit(0))).cast("bigint"),
+            "__prev": F.when(F.col("__n") > 1, F.col("__p")).otherwise(F.col("__last_before")),
+        }
+    ).drop("__slot", "__s", "__carried", "__n", "__p", "__before", "__last_before", *[f"__g{i}" for i in range(len(keys))])
