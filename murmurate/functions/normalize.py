@@ -15,11 +15,10 @@ from murmurate.schema import STRIPPED_LABELS
 #: A small correction table; pass another (word in lower case to correction) for more.
 CORRECTIONS = {
     "dont": "don't", "doesnt": "doesn't", "didnt": "didn't", "cant": "can't", "wont": "won't", "isnt": "isn't", "wasnt": "wasn't",
-    "youre": "you're", "thats": "that's", "whats": "what's", "ive": "I've", "im": "I'm", "id": "I'd", "doesn": "doesn't", "didn": "didn't",
+    "youre": "you're", "thats": "that's", "whats": "what's", "ive": "I've", "im": "I'm", "doesn": "doesn't", "didn": "didn't",
     "thx": "thanks", "thnx": "thanks", "plz": "please", "pls": "please", "u": "you", "ur": "your", "teh": "the", "recieve": "receive",
     "definately": "definitely", "seperate": "separate", "dirver": "driver", "reboting": "rebooting", "gonna": "going to", "wanna": "want to",
 }
-del CORRECTIONS["id"]
 
 # Accented spellings that are corrected, and drawn-out fillers with their plain form,
 # the first that fits the whole word.
@@ -163,7 +162,7 @@ def rare_characters_replaced(df: DataFrame, text: str, least: int = 10, marker:
     return keyed.join(hits, "__row", "left").withColumn(text, fixed).drop("__row", "__rare")
 
 
-def emoticons_restored(df: DataFrame, text: str, group: str, letters: str = "ДヅツД") -> DataFrame:
+def emoticons_restored(df: DataFrame, text: str, group: str, letters: str = "Дヅ") -> DataFrame:
     """Letters of another script that are the only ones of it in a whole group become ``:)``."""
     chars = F.array_distinct(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"[\p{IsCyrillic}\p{IsKatakana}]"), F.lit(0)))
     seen = df.select(F.col(f"`{group}`").alias("__g"), F.explode(chars).alias("c")).distinct()
