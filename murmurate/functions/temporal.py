@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 # Whitespace that may surround a written date or a nick.
 SPACES = " \t\r\n\u000b\u000c   　​﻿"
-_ISO = (
-    r"^(\d{4})-(\d{1,2})-(\d{1,2})"
-    r"(?:[T ]+(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?)?$"
-)
+_ZONE = r"(?:Z|UTC|GMT|[+-]\d{2}:\d{2})"
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_TIME = r"\d{1,2}:\d{2}:\d{2}(?:\.\d{1,9})?"
 
 
 def stripped(c: Column) -> Column:
@@ -26,24 +25,26 @@ def moment(date: Column) -> Column:
     UTC. Dates that do not exist, words and blanks give NULL. The result does
     not depend on the session's time zone.
     """
-    s = F.upper(stripped(date))
-    s = F.regexp_replace(s, r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1")
-    s = F.regexp_replace(s, r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})", "$1-$2-$3")
-    zone = F.regexp_extract(s, _ISO, 8)
-    zone = F.when(zone.isin("", "Z", "UTC", "GMT"), "Z").otherwise(
-        F.regexp_replace(zone, r"^([+-]\d{2}):?(\d{2})$", "$1:$2")
-    )
-    part = lambda i, width: F.lpad(F.regexp_extract(s, _ISO, i), width, "0")
-    fraction = F.rpad(F.substring(F.regexp_extract(s, _ISO, 7), 1, 6), 6, "0")
-    iso = F.concat(
-        part(1, 4), F.lit("-"), part(2, 2), F.lit("-"), part(3, 2), F.lit("T"),
-        part(4, 2), F.lit(":"), part(5, 2), F.lit(":"), part(6, 2), F.lit("."), fraction, zone,
-    )
-    digits = s.try_cast("bigint")
+    s = F.translate(F.upper(stripped(date)), "/", "-")
+    dotted = F.regexp_replace(s, r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1")
+    dotted = F.regexp_replace(dotted, r"^(\d{4})\.(\d{1,2})\.(\d{1,2})", "$1-$2-$3")
+    dotted = F.regexp_replace(F.regexp_replace(dotted, r",(?=\d+)", "."), r"\s*([+-]\d{2})(\d{2})$", "$1:$2")
+    dotted = F.regexp_replace(dotted, r"^(\S+[T ]+\d{1,2}:\d{2})(?![:\d])", "$1:00")
+
+    def known(c: Column) -> Column:
+        """Only what these notations leave open is left to the cast; the first that fits counts."""
+        return (
+            F.when(c.rlike(rf"^{_DAY}[T ]+{_TIME}$"), F.concat(c, F.lit("Z")).try_cast("timestamp"))
+            .when(c.rlike(rf"^{_DAY}[T ]+{_TIME}\s*{_ZONE}$"), c.try_cast("timestamp"))
+            .when(c.rlike(rf"^{_DAY}$"), F.concat(c, F.lit("T00:00:00Z")).try_cast("timestamp"))
+        )
+
+    # Most dates need one look; the rarer notations are rewritten only where the first look finds none.
     return (
-        F.when(s.rlike(_ISO), iso.try_cast("timestamp"))
-        .when(s.rlike(r"^\d{9,10}$"), F.timestamp_seconds(digits))
-        .when(s.rlike(r"^\d{12,13}$"), F.timestamp_millis(digits))
+        F.when(s.rlike(rf"^{_DAY}(?:[T ]+{_TIME}(?:\s*{_ZONE})?)?$"), known(s))
+        .when(s.rlike(r"^\d{9,10}$"), F.timestamp_seconds(s.try_cast("bigint")))
+        .when(s.rlike(r"^\d{12,13}$"), F.timestamp_millis(s.try_cast("bigint")))
+        .when(s.rlike(r"^\d"), known(dotted))
     )
 
 

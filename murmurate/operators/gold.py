@@ -105,7 +105,7 @@ def gold_user(df: DataFrame) -> DataFrame:
     pairs = df.select(col("from").alias("a"), col("to").alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct()
     contacts = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("user"))
     both = both.join(contacts.agg(F.count_distinct("b").alias("unique_contacts")), "user", "left")
-    both = both.withColumns({c: F.coalesce(col(c), F.lit(0)) for c in both.columns if c.endswith("_count") or c == "unique_contacts"})
+    both = both.withColumns({c: F.coalesce(col(c), F.lit(0)) for c in both.columns if c.endswith("message_count") or c == "unique_contacts"})
     return both.withColumn("total_interactions", col("sent_message_count") + col("received_message_count"))
 
 

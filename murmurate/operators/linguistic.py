@@ -77,6 +77,10 @@ class Tagger:
         return run(text)
 
 
+def _equals(value: str):
+    return lambda x: x == value
+
+
 def no_tagger():
     raise BackendUnavailable("word classes and entities need a tagger, and none is installed here")
 
@@ -88,7 +92,7 @@ def tagged_features(df: DataFrame, tagger: Tagger, text: str = "text_cleaned", d
     n = F.size(tokens)
     counts = {}
     for pos, name in _POS.items():
-        c = F.size(F.filter(tokens, lambda t, p=pos: t["pos"] == p))
+        c = F.size(F.filter(F.transform(tokens, lambda t: t["pos"]), _equals(pos)))
         counts |= {f"{name}_count": c, f"{name}_ratio": F.coalesce(F.try_divide(c, n), F.lit(0.0))}
     kinds = lambda items, f: F.map_from_entries(
         F.transform(F.array_sort(F.array_distinct(F.transform(items, lambda x: x[f]))), lambda k: F.struct(k.alias("key"), F.size(F.filter(items, lambda x: x[f] == k)).cast("bigint").alias("value")))

@@ -99,7 +99,7 @@ def by_bucket(df: DataFrame, bucket: str, measures: Sequence[str]) -> DataFrame:
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
     """Counts by ``rows`` and the listed values of ``columns``, 0 where there are none."""
-    return df.groupBy(col(rows)).pivot(columns, list(values)).agg(F.count("*")).na.fill(0)
+    return df.groupBy(col(rows)).pivot(columns, list(values)).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def weekday_by_hour(df: DataFrame) -> DataFrame:

@@ -33,7 +33,8 @@ def _accounted(df: DataFrame) -> Column:
         if column in df.columns:
             parts.append(flat(column, field))
     if "glued_matches" in df.columns:
-        parts += [F.transform(F.coalesce(col("glued_matches"), F.array()), lambda x, f=f: F.lower(x[f])) for f in ("term", "run")]
+        glued = F.coalesce(col("glued_matches"), F.array())
+        parts += [F.transform(glued, lambda x: F.lower(x["term"])), F.transform(glued, lambda x: F.lower(x["run"]))]
     return F.array_distinct(F.flatten(F.array(*parts)))
 
 

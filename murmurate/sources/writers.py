@@ -48,7 +48,7 @@ def write_csv(df: DataFrame, folder: str, name: str) -> str:
 
     flat = df.withColumns({f.name: F.to_json(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))})
     out = f"{folder}/{name}.csv"
-    flat.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(out)
+    flat.write.mode("overwrite").options(header="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(out)
     return out
 
 
