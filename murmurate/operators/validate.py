@@ -165,7 +165,7 @@ def validate_gold(gold: DataFrame, keys: list[str], *, silver: DataFrame | None
     """
     checks: dict[str, Column] = {}
     for c in gold.columns:
-        if c.endswith("_count"):
+        if c.endswith("message_count") or c in ("participant_count", "unique_contacts", "total_interactions"):
             checks[f"{c}_negative_or_null"] = col(c).isNull() | (col(c) < 0)
         if c.endswith("_share"):
             checks[f"{c}_range"] = (col(c) < -1e-9) | (col(c) > 1 + 1e-9)
