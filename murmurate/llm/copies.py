@@ -11,12 +11,12 @@ from murmurate.session import Scratch
 
 _JSON = {"allowUnquotedControlChars": "true", "allowBackslashEscapingAnyCharacter": "true"}
 # Private-use characters standing for escaped backslash and quote while a payload is cut into fields.
-_BACKSLASH, _QUOTE = "", ""
+_BACKSLASH, _QUOTE = "\ue000", "\ue001"
 
 
 def canonical_text(text: Column) -> Column:
-    """Letters and digits in their order, without case; empty if there are none."""
-    return F.regexp_replace(F.lower(F.upper(text)), r"[^\p{L}\p{N}]+", "")
+    """Letters and digits in their order, without case (a sharp s is its capital form SS); empty if there are none."""
+    return F.regexp_replace(F.replace(F.lower(F.upper(text)), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}]+", "")
 
 
 def payload_fields(payload: Column) -> Column:
