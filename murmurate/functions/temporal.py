@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Whitespace that may surround a written date or a nick.
-SPACES = " \t\r\n\u000b\u000c   　​﻿"
+SPACES = " \t\r\n\u000b\u000c\u0085\u00a0\u1680\u2002\u2003\u2009\u2028\u2029\u202f\u3000\u200b\ufeff"
 _ZONE = r"(?:Z|UTC|GMT|[+-]\d{2}:\d{2})"
 _DAY = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME = r"\d{1,2}:\d{2}:\d{2}(?:\.\d{1,9})?"
