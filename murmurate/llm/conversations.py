@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from murmurate.functions.temporal import is_blank, micros, moment, nick
 from murmurate.operators.sorted_runs import scan_runs
 from murmurate.session import Scratch, rename_path
 
-#: Nicks that are remembered per dialogue. Every rule asks only whether there are fewer than two,
-#: exactly two, or more, so a third nick decides as much as a thousandth.
-REMEMBERED = 3
-
-_FACTS = "folder bigint, dialogue bigint, rows bigint, messages bigint, unreadable bigint, orphans bigint, senders array<string>, asked array<string>, first_us bigint, last_us bigint, event_time timestamp"
-_STATE = "rows bigint, messages bigint, unreadable bigint, orphans bigint, senders array<string>, asked array<string>, first_us bigint, last_us bigint"
-_FRAGMENT = "folder bigint, dialogue bigint, " + _STATE
-#: No timeout is set beyond this moment (the year 2200), so that the clock's row closes everything.
-_LATEST_MS = 7_258_118_400_000
-_FIELDS = ["rows", "messages", "unreadable", "orphans", "senders", "asked", "first_us", "last_us"]
+#: Event times are kept within these moments (1970-01-02 and 2200-01-01); the clock comes after them.
+_EARLY_US, _LATE_US, _CLOCK_S = 86_400_000_000, 7_258_118_400_000_000, 9_000_000_000
+_FRAGMENT = "folder bigint, dialogue bigint, who string, asked string, rows bigint, messages bigint, unreadable bigint, first_us bigint, last_us bigint"
 
 
 def prepared_messages(df: DataFrame) -> DataFrame:
@@ -42,153 +31,96 @@ def prepared_messages(df: DataFrame) -> DataFrame:
     ).where("folder IS NOT NULL AND dialogue IS NOT NULL")
 
 
-def _few(rows: pd.DataFrame, column: str) -> pd.Series:
-    kept = rows[["folder", "dialogue", column]].dropna().drop_duplicates()
-    kept = kept[kept.groupby(["folder", "dialogue"]).cumcount() < REMEMBERED]
-    return kept.groupby(["folder", "dialogue"])[column].agg(list)
-
-
-def _combine_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Facts of each dialogue in each batch of rows: what map tasks send instead of the rows."""
-    for rows in batches:
-        if rows.empty:
-            continue
-        rows = rows.assign(
-            messages=rows.has_text.astype("int64"),
-            unreadable=(rows.has_text & rows.us.isna()).astype("int64"),
-            orphans=(rows.has_text & rows.who.isna()).astype("int64"),
-            dated=rows.us.where(rows.has_text),
-            sender=rows.who.where(rows.has_text, None),
-            ask=rows.to_nick.where(rows.has_text & rows.who.isna(), None),
-        )
-        g = rows.groupby(["folder", "dialogue"], sort=False)
-        out = g.agg(
-            rows=("row_id", "size"), messages=("messages", "sum"), unreadable=("unreadable", "sum"),
-            orphans=("orphans", "sum"), first_us=("dated", "min"), last_us=("dated", "max"), event_time=("event_time", "max"),
-        )
-        for name, column in (("senders", "sender"), ("asked", "ask")):
-            found = _few(rows, column)
-            out[name] = [found.get(k) for k in out.index] if len(found) else None
-            out[name] = out[name].map(lambda x: x if isinstance(x, list) else [])
-        # A sender missing without a recipient can never be inferred: remembered as a nick nobody has.
-        lost = rows[rows.has_text & rows.who.isna() & rows.to_nick.isna()]
-        for k in set(zip(lost.folder, lost.dialogue)):
-            out.at[k, "asked"] = (["", *out.at[k, "asked"]])[:REMEMBERED]
-        out = out.reset_index()
-        for c in ("first_us", "last_us"):
-            out[c] = out[c].astype("Int64")
-        yield out[[c.split()[0] for c in _FACTS.split(", ")]]
-
-
-def _joined(a: list, b: list) -> list:
-    return list(dict.fromkeys([*a, *b]))[:REMEMBERED]
-
-
-def _least(values: list) -> int | None:
-    known = [int(v) for v in values if v is not None and not pd.isna(v)]
-    return min(known) if known else None
-
-
-def _updater(timeout_ms: int):
-    def update(key, frames, state):
-        if state.hasTimedOut:
-            held = state.get
-            state.remove()
-            yield pd.DataFrame([[*key, *held]], columns=["folder", "dialogue", *_FIELDS]).astype({"first_us": "Int64", "last_us": "Int64"})
-            return
-        total = list(state.get) if state.exists else [0, 0, 0, 0, [], [], None, None]
-        latest = 0
-        for frame in frames:
-            for i, c in enumerate(_FIELDS[:4]):
-                total[i] += int(frame[c].sum())
-            for i, c in ((4, "senders"), (5, "asked")):
-                for v in frame[c]:
-                    total[i] = _joined(total[i], [] if v is None else list(v))
-            total[6] = _least([total[6], *frame["first_us"]])
-            last = _least([-v for v in [total[7], *frame["last_us"]] if v is not None and not pd.isna(v)])
-            total[7] = None if last is None else -last
-            latest = max(latest, int(frame["event_time"].max().timestamp() * 1000))
-        state.update(tuple(total))
-        known = latest if total[7] is None else min(max(latest, total[7] // 1000), _LATEST_MS)
-        state.setTimeoutTimestamp(max(known, state.getCurrentWatermarkMs()) + timeout_ms)
-
-    return update
-
-
-def dialogue_facts(
-    df: DataFrame, *, replays: int = 3, delay: str = "1 hour", timeout_hours: float = 24 * 7, partitions: int | None = None
-) -> DataFrame:
+def _closed_stretches(stream: DataFrame, delay: str, timeout: str) -> DataFrame:
+    """What each speaker of each dialogue said, emitted once the dialogue has been silent for ``timeout``.
+
+    The state of a key is a handful of numbers. Its key holds the speaker, and
+    for messages without sender the recipient (``''`` if that is missing too),
+    so however many people or messages a dialogue has, no state grows with
+    them, and map tasks combine a batch's messages before they are shuffled.
+    """
+    said = F.col("has_text")
+    late = stream.withWatermark("event_time", delay).select(
+        "folder", "dialogue", "event_time", "us", "has_text",
+        F.when(said, F.col("who")).alias("who"),
+        F.when(said & F.col("who").isNull(), F.coalesce("to_nick", F.lit(""))).alias("asked"),
+    )
+    dated = F.when(said, F.col("us"))
+    closed = late.groupBy(F.session_window("event_time", timeout), "folder", "dialogue", "who", "asked").agg(
+        F.count("*").alias("rows"), F.count_if(said).alias("messages"), F.count_if(said & F.col("us").isNull()).alias("unreadable"),
+        F.min(dated).alias("first_us"), F.max(dated).alias("last_us"),
+    )
+    return closed.select("folder", "dialogue", "who", "asked", "rows", "messages", "unreadable", "first_us", "last_us")
+
+
+def dialogue_facts(df: DataFrame, *, replays: int = 3, delay: str = "1 hour", timeout: str = "7 days") -> DataFrame:
     """One row of facts for each dialogue, gathered by a stateful stream.
 
     Messages are replayed in the order of their dates as ``replays`` arrivals,
-    rows without a readable date in the first. Each arrival is combined per
-    dialogue in the map tasks, so that a dialogue with a third of all rows
-    sends one row per batch, and then meets the dialogue's keyed state, which
-    is of fixed size. The state is held for late messages until the watermark
-    (``delay`` behind the latest date) is ``timeout_hours`` past the dialogue's
-    last message; then the dialogue is closed and emitted. Messages that come
-    after that open it anew; the fragments of such a dialogue are merged when
-    the emitted facts are read, so the facts cover every row however late.
+    rows without a readable date in the first. The stream holds keyed state of
+    every open dialogue for late messages, until the watermark (``delay``
+    behind the latest date) is ``timeout`` past the last message; then it
+    closes and emits. A dialogue that goes on after such a silence opens anew.
+    Speakers and stretches are put together when what was emitted is read, so
+    the facts cover every row, however late or far from its dialogue.
+
+    Result: ``folder, dialogue, rows, messages, unreadable, orphans, senders,
+    one, two, asked, asked_one, asked_two``: the number of distinct senders
+    with the first and last of them by name, and the same of the recipients of
+    messages without sender.
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "dialogues")
     messages = scratch.write(prepared_messages(df), "messages")
-    cuts = messages.select(F.percentile_approx("us", [i / replays for i in range(1, replays)], 1000)).first()[0] or []
-    arrival = sum([(F.col("us") > c).cast("int") for c in cuts], F.lit(0))
-    # The first instant after the zero watermark: an undated row is never late, and waits as long as any.
-    # Times outside what workers can hold are moved to its ends; only the order of arrival depends on them.
-    early, late = F.lit(86_400_000_000), F.lit(7_258_118_400_000_000)
-    event = F.timestamp_micros(F.coalesce(F.least(F.greatest("us", early), late), early))
-    staged = messages.withColumn("event_time", event).withColumn("arrival", F.coalesce(arrival, F.lit(0)))
+    cuts = messages.select(F.percentile_approx("us", [i / replays for i in range(1, replays)], 1000)).first()[0] or [] if replays > 1 else []
+    arrival = F.coalesce(sum([(F.col("us") > c).cast("int") for c in cuts], F.lit(0)), F.lit(0))
+    event = F.timestamp_micros(F.coalesce(F.least(F.greatest("us", F.lit(_EARLY_US)), F.lit(_LATE_US)), F.lit(_EARLY_US)))
+    staged = messages.withColumn("event_time", event).withColumn("arrival", arrival)
     stage, live = scratch.path("staged"), scratch.path("live")
     staged.write.partitionBy("arrival").parquet(stage)
+    scratch.drop(messages)
     schema = staged.drop("arrival").schema
     # The clock's own row, later than any message, lets the watermark pass every open dialogue.
-    clock = spark.range(1).select(
-        F.lit(None).cast("bigint").alias("row_id"), F.lit(-1).cast("bigint").alias("folder"), F.lit(-1).cast("bigint").alias("dialogue"),
-        F.lit(None).cast("bigint").alias("us"), *[F.lit(None).cast("string").alias(c) for c in ("who", "to_nick")],
-        F.lit(False).alias("has_text"), F.timestamp_seconds(F.lit(9_000_000_000)).alias("event_time"),
-    )
+    clock = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    clock = clock.withColumns({"folder": F.lit(-1).cast("bigint"), "dialogue": F.lit(-1).cast("bigint"), "has_text": F.lit(False), "event_time": F.timestamp_seconds(F.lit(_CLOCK_S))})
     clock.coalesce(1).write.parquet(f"{stage}/arrival=clock")
-    spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).write.parquet(f"{live}/none")
+    clock.limit(0).write.parquet(f"{live}/none")
 
-    combined = (
-        spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(live)
-        .mapInPandas(_combine_rows, _FACTS)
-        .withWatermark("event_time", delay)
-    )
-    fragments = combined.groupBy("folder", "dialogue").applyInPandasWithState(
-        _updater(int(timeout_hours * 3_600_000)), _FRAGMENT, _STATE, "append", "EventTimeTimeout"
-    )
+    source = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(live)
     sink = scratch.path("fragments")
-    writer = fragments.writeStream.format("parquet").option("path", sink).option("checkpointLocation", scratch.path("progress"))
-    stream = writer.outputMode("append").trigger(processingTime="0 seconds").start()
+    writer = _closed_stretches(source, delay, timeout).writeStream.format("parquet").option("path", sink).outputMode("append")
+    stream = writer.option("checkpointLocation", scratch.path("progress")).trigger(processingTime="0 seconds").start()
     try:
+        arrived = {r[0] for r in spark.read.parquet(stage).select(F.col("arrival").cast("string")).distinct().collect()}
         for k in [*map(str, range(replays)), "clock"]:
-            try:
+            # A moved folder appears at once, so an arrival is one batch and never late for itself.
+            if k in arrived:
                 rename_path(spark, f"{stage}/arrival={k}", f"{live}/{k}")
-            except Exception:
-                continue  # no message falls into this arrival
-            stream.processAllAvailable()
+                stream.processAllAvailable()
+        # The batch that only moves the watermark on.
         stream.processAllAvailable()
     finally:
         stream.stop()
-    emitted = spark.read.schema(T._parse_datatype_string(_FRAGMENT)).parquet(sink).where("folder IS NOT NULL AND dialogue >= 0")
-    few = lambda c: F.slice(F.array_distinct(F.flatten(F.collect_list(c))), 1, REMEMBERED).alias(c)
+    emitted = spark.read.schema(_FRAGMENT).parquet(sink).where("dialogue >= 0")
     return emitted.groupBy("folder", "dialogue").agg(
-        *[F.sum(c).alias(c) for c in ("rows", "messages", "unreadable", "orphans")],
-        few("senders"), few("asked"), F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
+        *[F.sum(c).alias(c) for c in ("rows", "messages", "unreadable")],
+        F.sum(F.when(F.col("asked").isNotNull(), F.col("messages")).otherwise(0)).alias("orphans"),
+        F.count_distinct("who").alias("senders"), F.min("who").alias("one"), F.max("who").alias("two"),
+        F.count_distinct("asked").alias("asked"), F.min("asked").alias("asked_one"), F.max("asked").alias("asked_two"),
+        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
     )
 
 
 def verdicts(facts: DataFrame) -> DataFrame:
     """Adds ``reason``: ``empty``, ``broken`` or ``no_reply``, the first that holds, or NULL."""
-    inferable = (F.size("senders") == 2) & (F.size(F.array_except("asked", "senders")) == 0)
+    known = lambda c: F.col(c).isin(F.col("one"), F.col("two"))
+    # With at most two different recipients, the first and the last by name are all of them.
+    inferable = (F.col("senders") == 2) & (F.col("asked") <= 2) & known("asked_one") & known("asked_two")
     return facts.withColumn(
         "reason",
         F.when(F.col("messages") == 0, "empty")
-        .when((F.col("unreadable") > 0) | ((F.col("orphans") > 0) & ~inferable), "broken")
-        .when(F.size("senders") < 2, "no_reply"),
+        .when((F.col("unreadable") > 0) | ((F.col("orphans") > 0) & ~F.coalesce(inferable, F.lit(False))), "broken")
+        .when(F.col("senders") < 2, "no_reply"),
     )
 
 
@@ -209,9 +141,9 @@ def conversations(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "conversations")
-    valid = verdicts(dialogue_facts(df)).where("reason IS NULL").select("folder", "dialogue", "senders")
+    valid = verdicts(dialogue_facts(df)).where("reason IS NULL").select("folder", "dialogue", "one", "two")
     messages = prepared_messages(df).where("has_text").join(valid, ["folder", "dialogue"])
-    other = F.try_element_at(F.array_except("senders", F.array("to_nick")), F.lit(1))
+    other = F.when(F.col("to_nick") == F.col("one"), F.col("two")).otherwise(F.col("one"))
     messages = messages.withColumn("speaker", F.coalesce("who", other)).select("row_id", "folder", "dialogue", "us", "speaker")
     turned = scan_runs(messages, ["folder", "dialogue"], ["us", "row_id"], scratch=scratch, head="row_id")
     first = turned.where("run_rank = 1").select("folder", "dialogue", F.col("speaker").alias("asker"))
