@@ -19,46 +19,29 @@ def canonical_text(text: Column) -> Column:
     return F.regexp_replace(F.replace(F.lower(F.upper(text)), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}]+", "")
 
 
-def payload_fields(payload: Column) -> Column:
-    """``struct<date,from,text>`` of an exported payload, NULL unless it is whole.
+_PAIR = r'(?:date|from|text)\s*[:=]\s*"[^"]*+"'
+_LIST = rf"(?is)^\s*{_PAIR}\s*[,;|]?\s*{_PAIR}\s*[,;|]?\s*{_PAIR}\s*$"
+_EACH = r'(?is)(date|from|text)\s*[:=]\s*"([^"]*+)"\s*[,;|]?\s*'
+
+
+def with_payload_fields(df: DataFrame, payload: str) -> DataFrame:
+    """Adds ``__date, __from, __text`` of an exported payload, NULL unless it is whole.
 
     Read are JSON objects and ``key = "value"`` or ``key: "value"`` lists with
-    ``,``, ``;``, ``|`` or blanks between them, keys in any case and order.
+    ``,``, ``;``, ``|`` or blanks between them, keys in any case and order. A
+    list is rewritten as a JSON object, so both are parsed once, in one place.
     """
-    as_json = F.from_json(payload, "map<string,string>", _JSON)
-    masked = F.replace(F.replace(payload, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    pair = r'(?:date|from|text)\s*[:=]\s*"[^"]*+"'
-    listed = rf"(?is)^\s*{pair}\s*[,;|]?\s*{pair}\s*[,;|]?\s*{pair}\s*$"
-
-    def value(key: str) -> Column:
-        # \b keeps a key from being found at the end of a longer word; keys inside values are
-        # passed over because every earlier value is consumed whole.
-        other = r'(?:\w+\s*[:=]\s*"[^"]*+"\s*[,;|]?\s*){0,2}?'
-        raw = F.regexp_extract(masked, rf'(?is)^\s*{other}{key}\s*[:=]\s*"([^"]*+)"', 1)
-        back = F.replace(F.replace(raw, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
-        return F.concat(F.lit(f'"{key}":"'), back, F.lit('"'))
-
-    listed_json = F.concat(F.lit("{"), value("date"), F.lit(","), value("from"), F.lit(","), value("text"), F.lit("}"))
-    as_list = F.from_json(F.when(masked.rlike(listed), listed_json), "map<string,string>", _JSON)
-    whole = payload.rlike(r"(?s)^\s*\{.*\}\s*$")
-    entries = F.when(whole, as_json).otherwise(as_list)
-    by_key = F.map_from_entries(
-        F.array_distinct(
-            F.transform(
-                F.filter(F.map_entries(entries), lambda e: F.lower(e["key"]).isin("date", "from", "text")),
-                lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
-            )
-        )
-    )
-    complete = F.size(by_key) == 3
-    return F.when(
-        complete,
-        F.struct(
-            F.try_element_at(by_key, F.lit("date")).alias("date"),
-            F.try_element_at(by_key, F.lit("from")).alias("from"),
-            F.try_element_at(by_key, F.lit("text")).alias("text"),
-        ),
-    )
+    raw = F.col(f"`{payload}`").cast("string")
+    masked = F.replace(F.replace(raw, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    as_object = F.concat(F.lit("{"), F.regexp_replace(F.regexp_replace(masked, _EACH, '"$1":"$2",'), r",\s*$", ""), F.lit("}"))
+    back = F.replace(F.replace(as_object, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    json = F.when(raw.rlike(r"(?s)^\s*\{.*\}\s*$"), raw).when(masked.rlike(_LIST), back)
+    # One step per column: an expression that is used several times would be computed as often.
+    df = df.withColumn("__map", F.from_json(json, "map<string,string>", _JSON))
+    entries = F.transform(F.map_entries("__map"), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    df = df.withColumn("__entries", F.array_distinct(F.filter(entries, lambda e: e["key"].isin("date", "from", "text"))))
+    df = df.withColumn("__known", F.when((F.size("__entries") == 3) & (F.size(F.array_distinct(F.transform("__entries", lambda e: e["key"]))) == 3), F.map_from_entries("__entries")))
+    return df.withColumns({f"__{k}": F.try_element_at("__known", F.lit(k)) for k in ("date", "from", "text")}).drop("__map", "__entries", "__known")
 
 
 def canonical_records(df: DataFrame, table: str, id_col: str, *, payload: str | None = None) -> DataFrame:
@@ -68,11 +51,10 @@ def canonical_records(df: DataFrame, table: str, id_col: str, *, payload: str |
     has no letter or digit, and a payload that is not whole.
     """
     if payload:
-        df = df.select(F.col(f"`{id_col}`").alias("__id"), payload_fields(F.col(f"`{payload}`").cast("string")).alias("__f"))
-        date, who, text = F.col("__f.date"), F.col("__f.from"), F.col("__f.text")
+        df = with_payload_fields(df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{payload}`").alias("__payload")), "__payload")
     else:
         df = df.select(F.col(f"`{id_col}`").alias("__id"), *[F.col(f"`{c}`").cast("string").alias(f"__{c}") for c in ("date", "from", "text")])
-        date, who, text = F.col("__date"), F.col("__from"), F.col("__text")
+    date, who, text = F.col("__date"), F.col("__from"), F.col("__text")
     parsed = df.select(
         F.col("__id").cast("bigint").alias("id"),
         micros(moment(date)).alias("t"), nick(who).alias("u"), F.nullif(canonical_text(text), F.lit("")).alias("c"),

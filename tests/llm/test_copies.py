@@ -45,10 +45,10 @@ def test_layouts_of_payloads(spark):
     cut = json.dumps(whole)
     bad = [None, "", "  ", cut[:-1], cut[:30], 'from="a"; date="2020', 'from="a"; date="2020-01-01"', '{"date": "2020-01-01", "from": "a"}', "{}", "[1]"]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(good + bad)], "i int, payload string")
-    got = {r.i: r.f for r in df.select("i", copies.payload_fields(df.payload).alias("f")).collect()}
+    got = {r.i: (r["__date"], r["__from"], r["__text"]) for r in copies.with_payload_fields(df, "payload").collect()}
     for i in range(len(good)):
-        assert got[i] and got[i].asDict() == whole, good[i]
-    assert all(got[len(good) + i] is None for i in range(len(bad)))
+        assert got[i] == tuple(whole.values()), good[i]
+    assert all(got[len(good) + i] == (None, None, None) for i in range(len(bad)))
 
 
 def test_empty(spark):
