@@ -74,7 +74,8 @@ def mark_copies(records: DataFrame, scratch: Scratch) -> DataFrame:
     keys, compared in full. As the id is part of the range, a record with any
     number of copies is spread over many partitions.
     """
-    cases = records.where("canon IS NOT NULL AND id IS NOT NULL")
+    # Written once, as finding the ranges reads all records before the shuffle reads them again.
+    cases = scratch.write(records.where("canon IS NOT NULL AND id IS NOT NULL"), "canonical")
     runs = scan_runs(
         cases, ["record_table", "moment_us", "who", "canon"], ["id"], scratch=scratch, head="id", keep=["record_table", "id"]
     )
