@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -166,3 +167,16 @@ def importance(model: PipelineModel, df: DataFrame, top: int = 20) -> list[tuple
     values = last.coefficients.toArray() if hasattr(last, "coefficients") else last.featureImportances.toArray()
     rows = [(names.get(i, str(i)), float(v)) for i, v in enumerate(values)]
     return sorted(rows, key=lambda r: (-abs(r[1]), r[0]))[:top]
+
+
+def save(model: PipelineModel, folder: str, **metadata) -> None:
+    """The fitted pipeline and, beside it, what it was fitted on as one JSON row."""
+    model.write().overwrite().save(f"{folder}/model")
+    spark = SparkSession.active()
+    row = [(json.dumps(metadata | {"excluded_columns": list(LEAKY)}, sort_keys=True, default=str),)]
+    spark.createDataFrame(row, "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/metadata")
+
+
+def load(folder: str) -> tuple[PipelineModel, dict]:
+    spark = SparkSession.active()
+    return PipelineModel.load(f"{folder}/model"), json.loads(spark.read.text(f"{folder}/metadata").first()[0])

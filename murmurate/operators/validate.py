@@ -154,6 +154,8 @@ def validate_silver(df: DataFrame, key: str = "message_id") -> dict:
     out = validate_core(df) if "text_cleaned" in df.columns else {}
     if {"vader_label", "transformer_label"} & set(df.columns):
         out |= validate_sentiment(df)
+    if any(c.startswith(("nlp_", "topic_", "emotion_")) for c in df.columns):
+        out |= validate_nlp(df)
     return out
 
 

@@ -219,6 +219,18 @@ def _sql() -> dict[str, str]:
         "spearman_matrix": f"WITH {S} " + _pairs(numbers[:3], """SELECT '{a}' AS feature_a, '{b}' AS feature_b, CASE WHEN count(*) >= 100 THEN round(corr(x, y), 6) END AS rho, count(*) AS n FROM (
  SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS x, rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS y FROM s WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"""),
         "confusion": f"WITH {S} SELECT upper(transformer_label) AS actual, upper(vader_label) AS predicted, count(*) AS n FROM s WHERE transformer_label IS NOT NULL AND vader_label IS NOT NULL GROUP BY 1, 2",
+        "evaluation_metrics": f"""WITH {S},
+ e AS (SELECT vader_label AS y, transformer_label AS g, transformer_negative / t AS a, transformer_neutral / t AS b, transformer_positive / t AS c FROM (SELECT *, transformer_negative + transformer_neutral + transformer_positive AS t FROM s) WHERE transformer_label IS NOT NULL AND t IS NOT NULL),
+ k AS (SELECT *, greatest(a, b, c) AS conf, CASE y WHEN 'NEGATIVE' THEN a WHEN 'NEUTRAL' THEN b ELSE c END AS p FROM e WHERE y IS NOT NULL),
+ l AS (SELECT unnest(['NEGATIVE', 'NEUTRAL', 'POSITIVE']) AS lab),
+ r AS (SELECT lab, count(*) FILTER (y = lab AND g = lab) AS tp, count(*) FILTER (g = lab) AS gn, count(*) FILTER (y = lab) AS yn FROM k, l GROUP BY 1),
+ q AS (SELECT coalesce(tp / nullif(yn, 0)::DOUBLE, 0) AS rec, coalesce(tp / nullif(gn, 0)::DOUBLE, 0) AS pre FROM r),
+ z AS (SELECT count(*) / (SELECT count(*) FROM k)::DOUBLE * abs(avg((y = g)::INT) - avg(conf)) AS x FROM k GROUP BY least(floor(conf * 10), 9))
+ SELECT 'coverage' AS metric, round((SELECT count(*) FROM k) / (SELECT count(y) FROM e)::DOUBLE, 6) AS value
+ UNION ALL SELECT 'accuracy', round((SELECT avg((y = g)::INT) FROM k), 6) UNION ALL SELECT 'macro_f1', round((SELECT avg(CASE WHEN pre + rec > 0 THEN 2 * pre * rec / (pre + rec) ELSE 0 END) FROM q), 6)
+ UNION ALL SELECT 'balanced_accuracy', round((SELECT avg(rec) FROM q), 6)
+ UNION ALL SELECT 'multiclass_brier_score', round((SELECT avg(pow(a - (y = 'NEGATIVE')::INT, 2) + pow(b - (y = 'NEUTRAL')::INT, 2) + pow(c - (y = 'POSITIVE')::INT, 2)) FROM k), 6)
+ UNION ALL SELECT 'log_loss', round((SELECT avg(-ln(least(greatest(p, 1e-15), 1))) FROM k), 6) UNION ALL SELECT 'expected_calibration_error', round((SELECT sum(x) FROM z), 6)""",
         "key_figures": f"WITH {SUMMARY} SELECT count(*) AS conversations, coalesce(sum(message_count), 0)::BIGINT AS messages, round(avg(conversation_was_answered::INT), 6) AS answer_rate, round(avg(avg_vader_compound), 6) AS mean_sentiment FROM q",
         "topic_answer_rates": f"WITH {SUMMARY} SELECT most_common_topic AS topic, count(*) AS conversations, round(avg(conversation_was_answered::INT), 6) AS answer_rate FROM q WHERE most_common_topic IS NOT NULL GROUP BY 1 HAVING count(*) >= 25 ORDER BY 2 DESC, 1 LIMIT 15",
         "topic_priorities": f"WITH {SUMMARY}, t AS (SELECT most_common_topic AS topic, count(*) AS conversations, avg(conversation_was_answered::INT) AS r FROM q WHERE most_common_topic IS NOT NULL GROUP BY 1 HAVING count(*) >= 25) SELECT topic, conversations, round(r, 6) AS answer_rate, round((1 - r) * ln(1 + conversations), 6) AS priority FROM t",

@@ -348,6 +348,17 @@ def confusion(spark: SparkSession, d: str) -> DataFrame:
     return statistics.confusion(silver(spark, d), "transformer_label", "vader_label")
 
 
+def evaluation_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The transformer's probabilities in silver against the rule-based label as if it were gold."""
+    parts = [f"transformer_{x}" for x in ("negative", "neutral", "positive")]
+    s = silver(spark, d).where(" AND ".join(f"{c} IS NOT NULL" for c in ["transformer_label", *parts]))
+    # The stored probabilities are rounded; they are made to sum to 1 again.
+    total = sum([col(c) for c in parts[1:]], col(parts[0]))
+    m = statistics.evaluate_labels(s.withColumns({c: col(c) / total for c in parts}), "vader_label", "transformer")
+    names = ("coverage", "accuracy", "macro_f1", "balanced_accuracy", "multiclass_brier_score", "log_loss", "expected_calibration_error")
+    return rounded(spark.createDataFrame([(n, float(m[n])) for n in names], "metric string, value double"))
+
+
 def answer_model(spark: SparkSession, d: str) -> DataFrame:
     """Test metrics of a balanced logistic model and of the prior, from first messages alone."""
     f = _with_answer(spark, d).withColumns({"label": col("answered").cast("double"), "channel": F.coalesce("channel", F.lit("none"))})
@@ -493,7 +504,7 @@ def queries() -> dict[str, Query]:
         "token_vocabulary": token_vocabulary, "residual_vocabulary": residual_vocabulary, "applied_labels": applied_labels, "nonword_rate": nonword_rate,
         "sentiment_scores": sentiment_scores, "backend_agreement": backend_agreement, "linguistic_features": linguistic_features, "topic_assign": topic_assign,
         "describe_numeric": describe_numeric, "shape_numeric": shape_numeric, "outliers": outliers, "pearson_matrix": pearson_matrix,
-        "spearman_matrix": spearman_matrix, "inflation": inflation, "answer_tests": answer_tests, "confusion": confusion, "answer_model": answer_model,
+        "spearman_matrix": spearman_matrix, "inflation": inflation, "answer_tests": answer_tests, "confusion": confusion, "evaluation_metrics": evaluation_metrics, "answer_model": answer_model,
         "key_figures": key_figures, "topic_answer_rates": topic_answer_rates, "topic_priorities": topic_priorities, "monthly_sentiment": monthly_sentiment,
         "conversation_buckets": conversation_buckets, "user_profile": user_profile, "ended_by_opener": ended_by_opener, "weekday_by_hour": weekday_by_hour,
         "cross_tab": cross_tab, "release_bucket_measures": release_bucket_measures, "value_counts": value_counts, "multiparty": multiparty,

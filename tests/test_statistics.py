@@ -97,3 +97,30 @@ def test_missing_report_and_eligibility(spark):
     assert r["b"] == (1.0, True) and r["a"] == (0.0, True) and r["c"] == (0.0, False)
     assert statistics.eligible_features(df, ["a", "b", "c", "d"]) == []
     assert statistics.dummies(df, "c", ["a", "b"]).columns[-1] == "c_b"
+
+
+def test_model_round_trip(spark, tmp_path):
+    rows = [(i, float(i % 20), ["x", "y", "z"][i % 3], None if i % 7 == 0 else float(i % 5), float(i % 20 > 9)) for i in range(240)]
+    df = modeling.balanced_weights(frame(spark, rows, "message_id long, a double, c string, b double, label double"))
+    ready, stages = modeling.preprocessing(df, ["a", "b"], ["c"], least=5)
+    model = modeling.fit(ready(df), stages, maxIter=10)
+    scored = modeling.scored(model, ready(df))
+    assert modeling.ranking_metrics(scored)["roc_auc"] > 0.99
+    assert modeling.importance(model, ready(df))[0][0].startswith("scaled_0")
+    modeling.save(model, str(tmp_path), rows=240)
+    again, meta = modeling.load(str(tmp_path))
+    assert meta["rows"] == 240 and "to" in meta["excluded_columns"] and modeling.ranking_metrics(modeling.scored(again, ready(df)))["roc_auc"] > 0.99
+    best, score = modeling.random_search(ready(df), stages, {"regParam": [0.0, 0.1]}, tries=1, folds=2, key="message_id")
+    assert "regParam" in best and score > 0.9
+    forest = modeling.fit(ready(df), stages, "forest", numTrees=3, maxDepth=3)
+    assert modeling.importance(forest, ready(df))[0][1] > 0
+    assert modeling.prior_scores(df, df).first().score == 0.5 and modeling.lift(0.6, 0.3) == 2.0
+    with pytest.raises(ValueError):
+        modeling.fit(ready(df), stages, "oracle")
+
+
+def test_model_table_keeps_what_was_known_at_the_start(spark):
+    rows = [(1, 1, "2020-01-01", "a", 5, True, 3), (1, 2, "2020-01-02", "b", 6, True, 3)]
+    df = frame(spark, rows, "conversation_id long, message_id long, date string, `from` string, text_length int, conversation_was_answered boolean, conversation_message_count int")
+    t = modeling.model_table(df)
+    assert t.count() == 1 and t.first().message_id == 1 and not set(modeling.LEAKY) & set(t.columns) and t.first().label == 1.0
