@@ -115,10 +115,9 @@ def cross_tab(df: DataFrame, rows: str, flag: str, least: int = 30) -> DataFrame
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Counts and proportions of values, NULL included; the total is one extra row of the same pass."""
-    rolled = df.rollup(col(column)).agg(F.count("*").alias("count"), F.grouping_id().alias("g"))
-    counts = rolled.where("g = 0").drop("g")
-    total = df.agg(F.count("*")).first()[0]
+    """Counts and proportions of values, NULL included."""
+    counts = df.groupBy(col(column)).agg(F.count("*").alias("count"))
+    total = counts.agg(F.sum("count")).first()[0]
     return counts.withColumn("proportion", F.try_divide("count", F.lit(total)))
 
 

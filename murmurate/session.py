@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -106,9 +107,13 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
 
 @atexit.register
 def _clean_up() -> None:
+    """Drops what results still read; the engine may have stopped already, so local folders go without it."""
     for scratch in _OPEN:
         try:
-            scratch.close()
+            if scratch.root.startswith(("file:", "/")):
+                shutil.rmtree(scratch.root.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+            else:
+                scratch.close()
         except Exception:
             pass
 
