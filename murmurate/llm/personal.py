@@ -45,6 +45,8 @@ _SHAPES: list[tuple[str, bool, re.Pattern]] = [
     ("id_number", True, re.compile(r"(?<![\w.+-])\d{3} \d{2} \d{4}(?![\w-]|[.]\d)")),
     ("id_number", False, re.compile(r"(?<![\w.+-])\d{9}(?![\w-]|[.]\d)")),
 ]
+#: The one shape whose capitals are what makes it strong.
+_CAPITALS = next(p for _, strong, p in _SHAPES if strong and "[A-Z][" in p.pattern and "street" in p.pattern)
 _TOKEN = re.compile(r"\w+(?:['’-]\w+)*|[^\w\s]")
 _TAIL = re.compile(_UNIT, re.I)
 #: How much each pattern of a context says, by its name.
@@ -53,6 +55,12 @@ WEIGHTS = {"l1": 1.0, "l2": 3.0, "r1": 1.0, "r2": 3.0, "lr": 2.0}
 _CANDIDATE = "row_id bigint, kind string, start_pos bigint, end_pos bigint, instance string, strong boolean, given string, family string, patterns array<string>"
 
 
+def _set_off(text: str, a: int, b: int) -> bool:
+    """Whether a neighbouring word is in lower case: capitals amid capitals say nothing."""
+    before, after = re.search(r"([^\W\d_])[\w'’-]*[\W_]*$", text[max(0, a - 60) : a]), re.match(r"[\W\d_]*([^\W\d_])", text[b : b + 60])
+    return any(m and m.group(1).islower() for m in (before, after))
+
+
 def _spans(text: str) -> list[tuple[str, bool, int, int]]:
     """Candidates with a shape of their own, none inside another; strong and earlier shapes first."""
     if not any(c.isdigit() or c in "@[({" for c in text) and " at " not in text.lower():
@@ -64,7 +72,7 @@ def _spans(text: str) -> list[tuple[str, bool, int, int]]:
             if kind == "address":
                 b = _TAIL.match(text, b).end()
             if all(b <= x or a >= y for _, _, x, y in taken):
-                taken.append((kind, strong, a, b))
+                taken.append((kind, strong and (shape is not _CAPITALS or _set_off(text, a, b)), a, b))
     return sorted(taken, key=lambda s: s[2])
 
 

@@ -32,6 +32,7 @@ def corpus(n=600, seed=1):
         put(None, "inode ", other[1:], " is orphaned")
         put(None, "the ", "Will Power", " theme breaks")
         put(None, "the icon is called ", "panel@2x.png", " and lives")
+        put(None, *rng.choice([("Mount Drive ", "64 On The Other Court", " Side Of The Lab"), ("MOUNT DRIVE ", "44 ON THE OTHER COURT", " SIDE"), ("mount drive ", "24 on the other court", " side")]))
         put(None, "i was on the road to ", "64 bit", " when it broke")
     return rows, truth
 
