@@ -25,7 +25,7 @@ CORRECTIONS = {
 LATIN_CORRECTIONS = {
     "thankś": "thanks", "networksß": "networks", "iḿ": "I'm", "iĺl": "I'll", "itś": "it's", "helló": "hello", "vírus": "virus",
     "vídeos": "videos", "vidéo": "video", "runß": "run", "thatß": "that", "thinkç": "think", "ók": "ok", "wíth": "with",
-    "installé": "install", "sörry": "sorry", "héhé": "hehe", "whatś": "what's", "ubuntuß": "ubuntu", "i'äm": "I am", "fæces": "feces",
+    "installé": "install", "sörry": "sorry", "héhé": "hehe", "whatś": "what's", "i'äm": "I am", "fæces": "feces",
     "ｒｅｓｏｌｕｔｉｏｎ": "resolution", "sǝdʎʇ": "types", "sʎɐʍlɐ": "always", "uʍop": "down", "ǝpısdn": "upside", "ǝɯɐu": "name", "ʎuɐ": "any", "ʎɯ": "my",
 }
 FILLERS = (

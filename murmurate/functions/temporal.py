@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace that may surround a written date or a nick.
-SPACES = " \t\r\n\u000b\u000c\u0085\u00a0\u1680\u2002\u2003\u2009\u2028\u2029\u202f\u3000\u200b\ufeff"
+# Unicode whitespace, and marks without width that may cling to a written date.
+SPACES = (
+    " \t\n\u000b\u000c\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+MARKS = "\u200b\ufeff"
 _ZONE = r"(?:Z|UTC|GMT|[+-]\d{2}:\d{2})"
 _DAY = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME = r"\d{1,2}:\d{2}:\d{2}(?:\.\d{1,9})?"
@@ -25,7 +29,7 @@ def moment(date: Column) -> Column:
     UTC. Dates that do not exist, words and blanks give NULL. The result does
     not depend on the session's time zone.
     """
-    s = F.translate(F.upper(stripped(date)), "/", "-")
+    s = F.translate(F.upper(F.btrim(date, F.lit(SPACES + MARKS))), "/", "-")
     dotted = F.regexp_replace(s, r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1")
     dotted = F.regexp_replace(dotted, r"^(\d{4})\.(\d{1,2})\.(\d{1,2})", "$1-$2-$3")
     dotted = F.regexp_replace(F.regexp_replace(dotted, r",(?=\d+)", "."), r"\s*([+-]\d{2})(\d{2})$", "$1:$2")

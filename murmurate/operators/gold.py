@@ -66,7 +66,7 @@ def prefixed(df: DataFrame, prefix: str, keys: Sequence[str]) -> DataFrame:
     return df.select(*[col(c) if c in keys else col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def participants(df: DataFrame, include_sentinels: bool = False) -> Column:
+def participants(include_sentinels: bool = False) -> Column:
     """Distinct people among senders and recipients, as an aggregate over exploded rows."""
     people = F.col("__person")
     return F.count_distinct(people if include_sentinels else F.when(~people.isin(*SENTINELS), people))
@@ -88,7 +88,7 @@ def gold_conversation(df: DataFrame, include_sentinels: bool = False) -> DataFra
     people = [c for c in ("from", "to") if c in df.columns]
     if people:
         exploded = df.select("conversation_id", F.explode(F.array(*[col(c) for c in people])).alias("__person"))
-        counted = exploded.groupBy("conversation_id").agg(participants(df, include_sentinels).alias("participant_count"))
+        counted = exploded.groupBy("conversation_id").agg(participants(include_sentinels).alias("participant_count"))
         out = out.join(counted.withColumnRenamed("conversation_id", "__id"), col("conversation_id").eqNullSafe(F.col("__id")), "left").drop("__id")
     answered = (col("unique_senders") > 1) if "from" in df.columns else F.lit(False)
     return out.withColumn("conversation_was_answered", answered)

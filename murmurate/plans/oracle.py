@@ -50,11 +50,6 @@ _AVERAGED = {
 }
 
 
-def smallest_mode(column: str) -> str:
-    """The most frequent value, of equally frequent ones the smallest."""
-    return f"(SELECT x FROM (SELECT unnest(map_keys(h)) AS x, unnest(map_values(h)) AS n FROM (SELECT histogram({column}) AS h)) ORDER BY n DESC, x LIMIT 1)"
-
-
 def mode_of(column: str) -> str:
     return f"list_min(list_transform(list_filter(map_entries(histogram({column})), lambda e: e.value = list_max(map_values(histogram({column})))), lambda e: e.key))"
 
@@ -63,10 +58,12 @@ def metrics(keys: tuple[str, ...] = (), prefix: str = "") -> str:
     a = lambda n: f'"{prefix}{n}"'
     out = [f"count(*) AS {a('message_count')}"]
     out += [f"round(avg({c}), 6) AS {a(n)}" for c, n in _AVERAGED.items()]
-    out.append(f"coalesce(sum(tech_lexicon_match_count), 0)::BIGINT AS {a('total_tech_lexicon_matches')}")
+    # Per user a side may be missing; whole numbers that may be missing are doubles.
+    count = "DOUBLE" if prefix else "BIGINT"
+    out.append(f"coalesce(sum(tech_lexicon_match_count), 0)::{count} AS {a('total_tech_lexicon_matches')}")
     for c, n in (("conversation_id", "unique_conversations"), ('"from"', "unique_senders"), ('"to"', "unique_recipients")):
         if c.strip('"') not in keys:
-            out.append(f"count(DISTINCT {c}) AS {a(n)}")
+            out.append(f"count(DISTINCT {c})::{count} AS {a(n)}")
     for label in ("vader_label", "transformer_label"):
         out.append(f"{mode_of(label)} AS {a('most_common_' + label)}")
         out += [f"round(avg(CASE WHEN {label} IS NOT NULL THEN ({label} = '{v}')::INT END), 6) AS {a(label.removesuffix('_label') + '_' + v.lower() + '_share')}" for v in LABELS[label]]
@@ -194,7 +191,7 @@ def _sql() -> dict[str, str]:
         "gap_buckets": f"""WITH {DATED}, t AS (SELECT CASE WHEN "from" <> lag("from") OVER w THEN {gap} END AS g FROM m {turn}) SELECT {buckets('g', *GAP_BOUNDS)} AS response_gap_bucket, count(*) AS messages FROM t GROUP BY 1""",
         "message_calendar": f"WITH {S} SELECT message_id, year(date)::INT AS year, month(date)::INT AS month, day(date)::INT AS day, dayname(date) AS day_of_week, hour(date)::INT AS hour FROM s WHERE date IS NOT NULL",
         "parsed_dates": f"SELECT row_id, ({DATE} AT TIME ZONE 'UTC') AS moment FROM dialoguetext_196",
-        "release_distance": f"""WITH {S}, t AS (SELECT message_id, {since}::INT AS days_since_release, {until}::INT AS days_until_release FROM s WHERE date IS NOT NULL)
+        "release_distance": f"""WITH {S}, t AS (SELECT message_id, {since}::DOUBLE AS days_since_release, {until}::DOUBLE AS days_until_release FROM s WHERE date IS NOT NULL)
  SELECT *, {buckets('days_since_release', *RELEASE_BOUNDS)} AS days_since_release_bucket, {buckets('days_until_release', *RELEASE_BOUNDS)} AS days_until_release_bucket FROM t""",
         "asof_calendar": f"WITH {S} SELECT message_id, release_name FROM s ASOF LEFT JOIN (SELECT release_name, (release_date AT TIME ZONE 'UTC') AS r FROM release_calendar) ON s.date >= r",
         "asof_next_release": f"WITH {S} SELECT message_id, release_name FROM s ASOF LEFT JOIN (SELECT release_name, (release_date AT TIME ZONE 'UTC') AS r FROM release_calendar) ON s.date <= r",

@@ -81,8 +81,14 @@ def _gold(level: str, **options) -> Query:
     return lambda spark, d: rounded(gold.gold(silver(spark, d), level, **options))
 
 
+def nullable_counts_as_doubles(df: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
+    """Whole numbers that may be missing, in the one type that all readers show alike."""
+    whole = [c for c, t in df.dtypes if t in ("int", "bigint") and c.startswith(prefixes) and not c.endswith("message_count")]
+    return df.withColumns({c: col(c).cast("double") for c in whole})
+
+
 def gold_user(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(gold.gold_user(silver(spark, d)))
+    return rounded(nullable_counts_as_doubles(gold.gold_user(silver(spark, d)), ("sent_", "received_")))
 
 
 def gold_language(spark: SparkSession, d: str) -> DataFrame:
@@ -152,7 +158,7 @@ def parsed_dates(spark: SparkSession, d: str) -> DataFrame:
 
 def release_distance(spark: SparkSession, d: str) -> DataFrame:
     s = silver(spark, d).where("date IS NOT NULL").select("message_id", "date")
-    return s.withColumns(prepare.release_distance(col("date"), releases(spark, d))).drop("date")
+    return nullable_counts_as_doubles(s.withColumns(prepare.release_distance(col("date"), releases(spark, d))).drop("date"), ("days_",))
 
 
 def asof_calendar(spark: SparkSession, d: str) -> DataFrame:

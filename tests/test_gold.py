@@ -13,7 +13,7 @@ DDL = (
     "days_until_release_bucket string, topic_id int, topic_label string, tech_lexicon_matches array<struct<term:string,category:string>>, tech_lexicon_match_count long, residual_words array<string>, named_entities string"
 )
 ROWS = [
-    (10, 1, datetime(2020, 1, 1, 0, 2), "alice", "bob", "support", "great fix", 2, 9, 0.8, "POSITIVE", 0.9, 0.99, "POSITIVE", 0.0, 0.1, 0.9, "0-30", "31-90", 0, "packages", [("apt", "package_management")], 1, ["mystery"], '[{"text":"Ubuntu","label":"PRODUCT"}]'),
+    (10, 1, datetime(2020, 1, 1, 0, 2), "alice", "bob", "support", "great fix", 2, 9, 0.8, "POSITIVE", 0.9, 0.99, "POSITIVE", 0.0, 0.1, 0.9, "0-30", "31-90", 0, "packages", [("apt", "package_management")], 1, ["mystery"], '[{"text":"Lantern","label":"PRODUCT"}]'),
     (11, 1, datetime(2020, 1, 1, 0, 0), "bob", "alice", "support", "bad failure SPANISH", 3, 19, -0.6, "NEGATIVE", -0.9, 0.99, "NEGATIVE", 0.9, 0.1, 0.0, "0-30", "31-90", 1, "kernel", [("kernel", "operating_system")], 1, ["failure"], "[]"),
     (12, 2, datetime(2020, 1, 2), "alice", "carol", "install", "neutral question", 2, 16, 0.0, "NEUTRAL", 0.0, 0.7, "NEUTRAL", 0.1, 0.7, 0.2, "31-90", "0-30", None, None, [], 0, [], "[]"),
 ]
