@@ -38,11 +38,17 @@ def _accounted(df: DataFrame) -> Column:
     return F.array_distinct(F.flatten(F.array(*parts)))
 
 
-def residual_candidates(df: DataFrame, text: str = "text_cleaned") -> Column:
-    """Tokens in their order and case, without explained ones, labels, placeholders and numbers."""
-    reserved = F.array(*[F.lit(t.lower()) for t in sorted({*RESIDUAL_LABELS, *PLACEHOLDERS.values()})])
-    known = F.concat(_accounted(df), reserved)
-    return F.filter(tokens(col(text)), lambda t: ~F.array_contains(known, F.lower(t)) & ~t.rlike(r"(?U)^\d+$"))
+def with_candidates(df: DataFrame, text: str = "text_cleaned") -> DataFrame:
+    """Adds ``residual_words``: tokens without explained ones, labels, placeholders and numbers."""
+    df = df.withColumn("__accounted", _accounted(df))
+    return df.withColumn("residual_words", _candidates(text)).drop("__accounted")
+
+
+def _candidates(text: str) -> Column:
+    reserved = sorted({t.lower() for t in (*RESIDUAL_LABELS, *PLACEHOLDERS.values())})
+    plain = F.filter(tokens(col(text)), lambda t: ~F.lower(t).isin(*reserved) & ~t.rlike(r"(?U)^\d+$"))
+    # The matches of a row are few; where there are none, the list is not looked through.
+    return F.when(F.size("__accounted") == 0, plain).otherwise(F.filter(plain, lambda t: ~F.array_contains("__accounted", F.lower(t))))
 
 
 def with_residuals(df: DataFrame, *, key: str, text: str = "text_cleaned", dictionary: DataFrame | None = None, word: str = "word") -> DataFrame:
@@ -52,7 +58,7 @@ def with_residuals(df: DataFrame, *, key: str, text: str = "text_cleaned", dicti
     measures it small enough and by shuffle otherwise, and the known words of a
     row are then taken out of its list.
     """
-    df = df.withColumn("residual_words", residual_candidates(df, text))
+    df = with_candidates(df, text)
     if dictionary is not None:
         words = df.select(col(key).alias("__k"), F.explode("residual_words").alias("__w")).select("__k", F.lower("__w").alias("__w")).distinct()
         english = dictionary.select(F.lower(col(word)).alias("__w")).distinct()

@@ -262,8 +262,7 @@ def match_tallies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def token_vocabulary(spark: SparkSession, d: str) -> DataFrame:
-    t = texts(spark, d).withColumn("residual_words", residual.residual_candidates(texts(spark, d)))
-    return residual.vocabulary(t)
+    return residual.vocabulary(residual.with_candidates(texts(spark, d)))
 
 
 def residual_vocabulary(spark: SparkSession, d: str) -> DataFrame:
