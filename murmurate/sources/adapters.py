@@ -26,7 +26,14 @@ def messages_from_documents(df: DataFrame) -> DataFrame:
     )
 
 
-def once_per_message(df: DataFrame, delivery: tuple[str, ...] = ("load_batch", "ingested_at")) -> DataFrame:
-    """Deliveries of the same message as one row; its date as timestamp, NULL if unreadable."""
+def once_per_message(df: DataFrame, delivery: tuple[str, ...] = ("load_batch", "ingested_at"), key: str = "message_id") -> DataFrame:
+    """Deliveries of the same message as one row; its date as timestamp, NULL if unreadable.
+
+    Copies are equal but for the delivery; should they differ, each column
+    takes its smallest value. Every column is an aggregate of its own, so that
+    those a query does not use are neither read nor shuffled, which DISTINCT
+    over whole rows would not allow.
+    """
     kept = [c for c in df.columns if c not in delivery]
-    return df.select(*[col(c) for c in kept]).distinct().withColumn("date", moment(col("date").cast("string")))
+    once = df.groupBy(col(key)).agg(*[F.min(col(c)).alias(c) for c in kept if c != key]).select(*[col(c) for c in kept])
+    return once.withColumn("date", moment(col("date").cast("string")))
