@@ -102,30 +102,36 @@ def hashed(word: str) -> np.ndarray:
     return np.unique(np.array([zlib.crc32(f.encode()) % BUCKETS for f in word_features(word)], dtype=np.int64))
 
 
-def _lse(a: np.ndarray, axis: int) -> np.ndarray:
-    m = a.max(axis=axis, keepdims=True)
-    return (m + np.log(np.exp(a - m).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 def forward_backward(emit: np.ndarray, length: np.ndarray, start: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals ``(B, L, K)``, expected transitions ``(K, K)`` and log partition ``(B,)`` of a padded batch."""
+    """Marginals ``(B, L, K)``, expected transitions ``(K, K)`` and log partition ``(B,)`` of a padded batch.
+
+    Forward and backward vectors are scaled to sum to 1 at every word, so each
+    step is one matrix product; the scales make up the partition.
+    """
     b, steps, k = emit.shape
-    alpha, beta = np.empty_like(emit), np.zeros_like(emit)
-    alpha[:, 0] = start + emit[:, 0]
-    for t in range(1, steps):
-        alpha[:, t] = _lse(alpha[:, t - 1][:, :, None] + trans, 1) + emit[:, t]
-    for t in range(steps - 2, -1, -1):
-        nxt = _lse(trans + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-        beta[:, t] = np.where((t + 1 < length)[:, None], nxt, 0.0)
-    log_z = _lse(alpha[np.arange(b), length - 1], 1)
+    top, highest = emit.max(2), trans.max()
+    e, move = np.exp(emit - top[:, :, None]), np.exp(trans - highest)
+    alpha, beta = np.empty_like(e), np.full_like(e, 1.0 / k)
     live = np.arange(steps)[None, :] < length[:, None]
-    marginal = np.where(live[:, :, None], np.exp(alpha + beta - log_z[:, None, None]), 0.0)
-    moved = np.zeros((k, k))
+    now = np.exp(start - start.max()) * e[:, 0]
+    scale = now.sum(1, keepdims=True)
+    alpha[:, 0] = now / scale
+    log_z = np.log(scale[:, 0]) + top[:, 0] + start.max()
     for t in range(1, steps):
-        on = t < length
-        if on.any():
-            joint = alpha[on, t - 1][:, :, None] + trans + (emit[on, t] + beta[on, t])[:, None, :] - log_z[on, None, None]
-            moved += np.exp(joint).sum(0)
+        now = (alpha[:, t - 1] @ move) * e[:, t]
+        scale = now.sum(1, keepdims=True)
+        alpha[:, t] = now / scale
+        log_z += np.where(live[:, t], np.log(scale[:, 0]) + top[:, t] + highest, 0.0)
+    moved = np.zeros((k, k))
+    for t in range(steps - 2, -1, -1):
+        follow = e[:, t + 1] * beta[:, t + 1]
+        back = follow @ move.T
+        on = live[:, t + 1]
+        beta[:, t] = np.where(on[:, None], back / back.sum(1, keepdims=True), 1.0 / k)
+        whole = (alpha[:, t] * back).sum(1)
+        moved += move * (alpha[:, t].T @ np.where(on[:, None], follow / whole[:, None], 0.0))
+    both = alpha * beta
+    marginal = np.where(live[:, :, None], both / both.sum(2, keepdims=True), 0.0)
     return marginal, moved, log_z
 
 
