@@ -29,8 +29,9 @@ class PipelineConfig:
     linguistic: bool = True
     topics: bool = False
     topic_count: int = 12
-    topic_sample: int = 2000
-    topic_features: int = 5000
+    topic_sample: int | None = None
+    topic_features: int = 20_000
+    topic_rounds: int = 400
     include_slang_review: bool = False
     sample_size: int | None = None
     random_state: int = 42
@@ -101,7 +102,9 @@ def annotate_messages(df: DataFrame, config: PipelineConfig, *, tagger=None, emo
     if tagger is not None:
         df = linguistic.tagged_features(df, tagger)
     if config.topics:
-        model = topics.fit_topics_on(df, sample=config.topic_sample, seed=config.random_state, topics=config.topic_count, max_features=config.topic_features)
+        model = topics.fit_topics_on(
+            df, sample=config.topic_sample, seed=config.random_state, topics=config.topic_count, max_features=config.topic_features, rounds=config.topic_rounds
+        )
         df = topics.assign_topics(df, model)
     if emotion is not None:
         df = sentiment.score_emotion(df, emotion)
@@ -143,6 +146,8 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--residual-policy", default="manual_review", choices=residual.POLICIES)
     silver.add_argument("--sentiment", default="vader", choices=("none", "vader", "transformer", "both"))
     silver.add_argument("--topics", action="store_true"), silver.add_argument("--no-anonymize", action="store_true"), silver.add_argument("--no-linguistic", action="store_true")
+    silver.add_argument("--topic-count", type=int, default=12), silver.add_argument("--topic-sample", type=int, help="fit on so many messages, not on all")
+    silver.add_argument("--topic-features", type=int, default=20_000), silver.add_argument("--topic-rounds", type=int, default=400)
     silver.add_argument("--max-nonword-rate", type=float, default=0.25)
     g.add_argument("--level", required=True, choices=gold_ops.LEVELS)
     g.add_argument("--granularity", default="day"), g.add_argument("--channel-column", default="channel"), g.add_argument("--release-axis", default="since")
@@ -160,6 +165,7 @@ def main(argv: list[str] | None = None) -> int:
             config = PipelineConfig(
                 anonymize=not a.no_anonymize, linguistic=not a.no_linguistic, topics=a.topics, residual_policy=a.residual_policy, sample_size=a.sample_size,
                 sentiment_mode=None if a.sentiment == "none" else a.sentiment, random_state=a.random_state, max_nonword_rate=a.max_nonword_rate,
+                topic_count=a.topic_count, topic_sample=a.topic_sample, topic_features=a.topic_features, topic_rounds=a.topic_rounds,
             )
             terms = lexicons.lexicon_rows(readers.read_path(spark, a.lexicon))
             df = bronze_to_silver(source, terms, config=config, releases=[x for x in a.release_dates.split(",") if x])

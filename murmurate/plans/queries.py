@@ -300,7 +300,7 @@ def linguistic_features(spark: SparkSession, d: str) -> DataFrame:
 
 def topic_assign(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("message_id"), F.coalesce("text", F.lit("")).alias("text_cleaned"))
-    return topics.assign_topics(docs, topics.fit_topics_on(docs, sample=1000, max_features=3000)).drop("text_cleaned")
+    return topics.assign_topics(docs, topics.fit_topics_on(docs)).drop("text_cleaned")
 
 
 # --- statistics and reports ---------------------------------------------------------------------------
