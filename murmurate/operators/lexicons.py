@@ -164,6 +164,27 @@ def lexicon_rows(df: DataFrame, most: int = 200_000) -> list[tuple[str, str | No
     return [(r[0], r[1]) for r in rows]
 
 
+def lookup_rows(df: DataFrame, columns: tuple[str, ...], most: int = 200_000) -> list[tuple]:
+    """A small table for the workers, ordered, without rows whose first column is NULL; a larger one than ``most`` is refused."""
+    rows = df.select(*columns).where(col(columns[0]).isNotNull()).orderBy(*columns).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the table of {columns[0]} has more than {most} rows")
+    return [tuple(r) for r in rows]
+
+
+def slang_rows(df: DataFrame) -> list[tuple[str, str, str]]:
+    """A table of ``token, type, meaning``."""
+    return lookup_rows(df, ("token", "type", "meaning"))
+
+
+def lookup_map(df: DataFrame, key: str, value: str, kind: str = "string") -> dict:
+    """A table of two columns as a mapping by key in lower case; of a key listed twice the smallest value counts."""
+    out: dict = {}
+    for k, v in lookup_rows(df.select(F.lower(col(key)).alias(key), col(value).cast(kind).alias(value)).where(col(value).isNotNull()), (key, value)):
+        out.setdefault(k, v)
+    return out
+
+
 def single_word_terms(df: DataFrame, lexicon: DataFrame, *, key: str, text: str) -> DataFrame:
     """``<key>, term, occurrences`` of one-word terms, by an equi-join on tokens: for lexicons of any size.
 

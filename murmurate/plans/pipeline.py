@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,10 @@ from murmurate.schema import FEATURE_SCHEMA_VERSION, PLACEHOLDERS, col
 from murmurate.sources import metrics, readers, writers
 
 
+#: What ``residual.reviewed_labels`` takes.
+LABEL_TABLES = ("jargon", "languages", "nonwords", "english")
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     """Everything a run can choose. Unknown names are a TypeError."""
@@ -45,12 +50,12 @@ class PipelineConfig:
         return replace(self, **changes)
 
 
-def core_features(df: DataFrame, config: PipelineConfig, terms, slang=lexicons.DEFAULT_SLANG) -> DataFrame:
+def core_features(df: DataFrame, config: PipelineConfig, terms, slang=lexicons.DEFAULT_SLANG, corrections: Mapping[str, str] | None = None) -> DataFrame:
     """Cleaned text, matches, counts and flags; structural matches come from the text as it was."""
     df = working_text(df)
     text = col("text_cleaned")
     if config.normalize:
-        df = df.withColumn("text_cleaned", normalized(text))
+        df = df.withColumn("text_cleaned", normalized(text, corrections))
     df = df.withColumn("structural_matches", structural.structural_matches(text))
     if config.anonymize:
         df = df.withColumn("text_cleaned", structural.anonymized(text))
@@ -71,23 +76,25 @@ def core_features(df: DataFrame, config: PipelineConfig, terms, slang=lexicons.D
 
 def bronze_to_silver(
     bronze: DataFrame, terms, *, config: PipelineConfig | None = None, releases=(), dictionary: DataFrame | None = None, label_tables: dict[str, DataFrame] | None = None,
-    classifier=None, backend=None, tagger=None, prepared: bool = False, **options,
+    classifier=None, backend=None, tagger=None, prepared: bool = False, slang: Sequence[tuple[str, str, str]] = lexicons.DEFAULT_SLANG,
+    corrections: Mapping[str, str] | None = None, valence: Mapping[str, float] = sentiment.VALENCE, **options,
 ) -> DataFrame:
     """Prepared, core and enriched silver in one plan.
 
     Nothing is materialized unless labels or topics need the whole corpus first.
+    ``slang``, ``corrections`` and ``valence`` take the place of the small tables that ship.
     """
     config = (config or PipelineConfig()).updated(**options)
     df = bronze if prepared else prepare_bronze(bronze, releases)
     if config.sample_size:
         df = seeded_sample(df, config.sample_size, seed=config.random_state)
-    df = core_features(df, config, terms)
+    df = core_features(df, config, terms, slang, corrections)
     df = residual.with_residuals(df, key="message_id", dictionary=dictionary)
     labels = residual.residual_labels(df, config.residual_policy, tables=label_tables, classifier=classifier)
     if labels is not None:
         df = residual.apply_labels(df, labels, key="message_id")
     if config.sentiment_mode:
-        df = sentiment.analyze_sentiment(df, config.sentiment_mode, backend=backend)
+        df = sentiment.analyze_sentiment(df, config.sentiment_mode, backend=backend, valence=valence)
     return annotate_messages(df, config, tagger=tagger)
 
 
@@ -144,6 +151,10 @@ def _parser() -> argparse.ArgumentParser:
     silver, g = sub.choices["silver"], sub.choices["gold"]
     silver.add_argument("--lexicon", required=True), silver.add_argument("--release-dates", default="")
     silver.add_argument("--residual-policy", default="manual_review", choices=residual.POLICIES)
+    silver.add_argument("--slang", help="table of token, type, meaning"), silver.add_argument("--corrections", help="table of word, correction")
+    silver.add_argument("--valence", help="table of word, valence"), silver.add_argument("--dictionary", help="table of word: words that are no residuals")
+    for name in LABEL_TABLES:
+        silver.add_argument(f"--labels-{name}", help="table of word (and label, for languages) for the policy reviewed")
     silver.add_argument("--sentiment", default="vader", choices=("none", "vader", "transformer", "both"))
     silver.add_argument("--topics", action="store_true"), silver.add_argument("--no-anonymize", action="store_true"), silver.add_argument("--no-linguistic", action="store_true")
     silver.add_argument("--topic-count", type=int, default=12), silver.add_argument("--topic-sample", type=int, help="fit on so many messages, not on all")
@@ -154,6 +165,28 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def word_tables(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """The tables that the command line names, as arguments of ``bronze_to_silver``."""
+    read = lambda path: readers.read_lookup(spark, path)
+    out: dict = {}
+    if a.slang:
+        out["slang"] = lexicons.slang_rows(read(a.slang))
+    if a.corrections:
+        out["corrections"] = lexicons.lookup_map(read(a.corrections), "word", "correction")
+    if a.valence:
+        out["valence"] = lexicons.lookup_map(read(a.valence), "word", "valence", "double")
+    if a.dictionary:
+        out["dictionary"] = read(a.dictionary)
+    labels = {name: read(path) for name in LABEL_TABLES if (path := getattr(a, f"labels_{name}"))}
+    if a.residual_policy == "reviewed":
+        if missing := [f"--labels-{name}" for name in LABEL_TABLES if name not in labels]:
+            raise ValueError(f"the policy reviewed needs {', '.join(missing)}")
+        out["label_tables"] = labels
+    elif labels:
+        raise ValueError("label tables go with the policy reviewed")
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"murmurate-{a.command}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -168,7 +201,7 @@ def main(argv: list[str] | None = None) -> int:
                 topic_count=a.topic_count, topic_sample=a.topic_sample, topic_features=a.topic_features, topic_rounds=a.topic_rounds,
             )
             terms = lexicons.lexicon_rows(readers.read_path(spark, a.lexicon))
-            df = bronze_to_silver(source, terms, config=config, releases=[x for x in a.release_dates.split(",") if x])
+            df = bronze_to_silver(source, terms, config=config, releases=[x for x in a.release_dates.split(",") if x], **word_tables(spark, a))
             with writers.materialized(df, a.materialization, "silver") as kept:
                 report = validate.validate_core(kept, max_nonword=a.max_nonword_rate)
                 writers.write(kept, table=a.output_table, path=a.output_path, mode=a.mode, fmt=a.format)

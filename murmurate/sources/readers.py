@@ -45,6 +45,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV).option("enforceSchema", "false").csv(path)
 
 
+def read_lookup(spark: SparkSession, path: str) -> DataFrame:
+    """A table of words: CSV with a header where the path ends in .csv, else Parquet."""
+    return spark.read.options(**CSV).csv(path) if path.lower().endswith(".csv") else read_path(spark, path)
+
+
 def literal_to_json(cell: Column) -> Column:
     """A list written as a program literal (single quotes, None, tuples) as JSON."""
     s = F.regexp_replace(cell, r"\bNone\b", "null")
