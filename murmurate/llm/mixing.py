@@ -10,7 +10,11 @@ from murmurate.operators.sorted_runs import scan_runs
 from murmurate.session import Scratch
 
 
-def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | None) -> DataFrame:
+#: As total: all tokens of the sources that have a target.
+ALL = "all"
+
+
+def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | str | None) -> DataFrame:
     """``source, target_share, max_repeats, available, budget, full_epochs, rest`` per target."""
     available = sized.where("source IS NOT NULL").groupBy("source").agg(F.sum("tokens").alias("available"))
     wanted = targets.where("source IS NOT NULL").groupBy("source").agg(
@@ -25,6 +29,8 @@ def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | None) ->
         total_tokens = rows.where("available > 0 AND target_share > 0 AND max_repeats > 0").agg(
             F.min(F.floor(F.col("available") * F.col("max_repeats") / F.col("target_share")))
         ).first()[0]
+    elif total_tokens == ALL:
+        total_tokens = rows.where("target_share > 0 AND max_repeats > 0").agg(F.sum("available")).first()[0]
     budget = F.least(F.floor(F.col("target_share") * F.lit(int(total_tokens or 0))), F.col("available") * F.col("max_repeats")).cast("bigint")
     return rows.withColumn("budget", budget).select(
         "*", F.when(F.col("available") > 0, F.expr("budget div available")).otherwise(0).alias("full_epochs"),
@@ -33,7 +39,7 @@ def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | None) ->
 
 
 def mixture(
-    documents: DataFrame, targets: DataFrame, *, total_tokens: int | None = None, salt: str = "mix-1", tokenizer: str = RANKS
+    documents: DataFrame, targets: DataFrame, *, total_tokens: int | str | None = None, salt: str = "mix-1", tokenizer: str = RANKS
 ) -> tuple[DataFrame, DataFrame]:
     """The mixture and the budgets it was cut to.
 
@@ -41,7 +47,9 @@ def mixture(
     one row per document that is used: ``full_uses`` times whole, and in the
     last epoch up to ``partial_tokens`` (the document at the cut is used in
     part, so a source meets its budget to the token). Without ``total_tokens``
-    the mixture is as large as exact shares and the repeat caps allow.
+    the mixture is as large as exact shares and the repeat caps allow, so the
+    scarcest source sets its size; with ``ALL`` it is sized for all tokens of the
+    sources that have a target, and sources under a cap fall short of their share.
 
     Documents are keyed by a salted hash, range-sorted within their source and
     summed up along that order by a distributed scan, so a source with any
@@ -82,3 +90,15 @@ def shares(used: DataFrame, budgets: DataFrame) -> DataFrame:
     rows = Scratch(used.sparkSession, "shares").write(rows, "shares")
     total = rows.agg(F.sum("used_tokens")).first()[0] or 0
     return rows.withColumn("actual_share", F.try_divide("used_tokens", F.lit(total)))
+
+
+def totals(shares: DataFrame) -> DataFrame:
+    """``used_tokens, available_tokens, sources_short``: what the mixture reached of the tokens of its sources.
+
+    A source is short if its actual share is below its target by more than a thousandth of it.
+    """
+    short = F.coalesce("actual_share", F.lit(0.0)) < F.col("target_share") * 0.999
+    return shares.where("target_share > 0 AND max_repeats > 0").agg(
+        F.coalesce(F.sum("used_tokens"), F.lit(0)).alias("used_tokens"), F.coalesce(F.sum("available"), F.lit(0)).alias("available_tokens"),
+        F.count_if(short).alias("sources_short"),
+    )

@@ -153,6 +153,16 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(*mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets")))
 
 
+def p9_shares_all(spark: SparkSession, d: str) -> DataFrame:
+    """Shares when the mixture is sized for all tokens: capped sources fall short."""
+    return mixing.shares(*mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets"), total_tokens=mixing.ALL))
+
+
+def p9_totals(spark: SparkSession, d: str) -> DataFrame:
+    parts = [mixing.totals(f(spark, d)).select(F.lit(name).alias("mixture"), "*") for name, f in (("exact shares", p9_shares), ("all tokens", p9_shares_all))]
+    return parts[0].unionByName(parts[1])
+
+
 # --- 10: reading level -----------------------------------------------------------------------------------
 
 
@@ -173,7 +183,7 @@ def queries() -> dict[str, Query]:
         "p6_found": p6_found, "p6_terms": p6_terms,
         "p7_found": p7_found, "p7_conversations": p7_conversations,
         "p8_packed": p8_packed, "p8_fill": p8_fill,
-        "p9_mixture": p9_mixture, "p9_shares": p9_shares,
+        "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_shares_all": p9_shares_all, "p9_totals": p9_totals,
         "p10_levels": p10_levels, "p10_profile": p10_profile,
     }
 
