@@ -64,10 +64,20 @@ SAMPLE_DEFAULT = 0.1
 SAMPLE_SALT = "silver-1"
 
 
-def p4_sample(spark: SparkSession, d: str) -> DataFrame:
+def _thresholds(earlier: DataFrame | None) -> tuple[dict[str, int], int]:
+    return sampling.grown(SAMPLE_RATES, SAMPLE_DEFAULT, *(sampling.stored_thresholds(earlier) if earlier is not None else ()))
+
+
+def p4_thresholds(spark: SparkSession, d: str, earlier: DataFrame | None = None) -> DataFrame:
+    """What p4_sample draws with, to be stored beside it and given to the next draw as ``earlier``."""
+    return sampling.thresholds_table(spark, *_thresholds(earlier))
+
+
+def p4_sample(spark: SparkSession, d: str, earlier: DataFrame | None = None) -> DataFrame:
+    thresholds, default = _thresholds(earlier)
     return sampling.stable_sample(
         _table(spark, d, "silver"), key="message_id", stratum="channel",
-        thresholds=sampling.raise_thresholds({}, SAMPLE_RATES), default=sampling.threshold_of(SAMPLE_DEFAULT),
+        thresholds=thresholds, default=default,
         salt=SAMPLE_SALT, version=("load_batch", "ingested_at"),
     )
 
@@ -178,7 +188,7 @@ def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_collapsed": p2_collapsed,
         "p3_found": p3_found, "p3_segments": p3_segments, "p3_languages": p3_languages,
-        "p4_sample": p4_sample,
+        "p4_sample": p4_sample, "p4_thresholds": p4_thresholds,
         "p5_found": p5_found, "p5_redacted": p5_redacted,
         "p6_found": p6_found, "p6_terms": p6_terms,
         "p7_found": p7_found, "p7_conversations": p7_conversations,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Hash values are the first 32 bits of an MD5, so every engine can repeat them.
@@ -28,6 +28,31 @@ def raise_thresholds(earlier: Mapping[str, int], rates: Mapping[str, float]) ->
     return {k: max(earlier.get(k, 0), wanted.get(k, 0)) for k in sorted({*earlier, *wanted})}
 
 
+def grown(
+    rates: Mapping[str, float], default: float, earlier: Mapping[str, int] | None = None, earlier_default: int = 0
+) -> tuple[dict[str, int], int]:
+    """Thresholds and default for new rates, neither below what an earlier sample was drawn with.
+
+    A stratum without an earlier entry was drawn at the earlier default; one
+    that no longer has a rate of its own has the default's.
+    """
+    earlier = earlier or {}
+    new_default = max(earlier_default, threshold_of(default))
+    before = {k: earlier.get(k, earlier_default) for k in {*earlier, *rates}}
+    return raise_thresholds(before, {**dict.fromkeys(earlier, default), **rates}), new_default
+
+
+def thresholds_table(spark: SparkSession, thresholds: Mapping[str, int], default: int) -> DataFrame:
+    """``stratum, threshold``, to be stored with the sample; the default has stratum NULL."""
+    return spark.createDataFrame([(None, default), *sorted(thresholds.items())], "stratum string, threshold bigint")
+
+
+def stored_thresholds(table: DataFrame) -> tuple[dict[str, int], int]:
+    """Thresholds and default from such a table; an empty one is no earlier sample."""
+    rows = [(r["stratum"], r["threshold"]) for r in table.select("stratum", "threshold").collect()]
+    return {k: v for k, v in rows if k is not None}, max((v for k, v in rows if k is None), default=0)
+
+
 def stable_sample(
     df: DataFrame,
     *,
