@@ -40,9 +40,13 @@ def stratified_split(df: DataFrame, key: str = "message_id", shares: Sequence[fl
     return df.withColumn("part", F.when(u < shares[0], "train").when(u < shares[0] + shares[1], "validation").otherwise("test"))
 
 
-def frequent_levels(df: DataFrame, column: str, least: int = 20) -> list[str]:
+def frequent_levels(df: DataFrame, column: str, least: int = 20, most: int = 100_000) -> list[str]:
+    """All values that occur at least ``least`` times; more than ``most`` are refused, as each becomes a column of the model."""
     rows = df.where(col(column).isNotNull()).groupBy(col(column).cast("string").alias("v")).count().where(F.col("count") >= least)
-    return sorted(r["v"] for r in rows.orderBy(F.desc("count"), "v").limit(1000).collect())
+    levels = [r["v"] for r in rows.select("v").limit(most + 1).collect()]
+    if len(levels) > most:
+        raise ValueError(f"{column} has more than {most} frequent values")
+    return sorted(levels)
 
 
 def preprocessing(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], least: int = 20):

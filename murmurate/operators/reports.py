@@ -63,10 +63,13 @@ def key_figures(summary: DataFrame) -> DataFrame:
     return summary.agg(*aggs)
 
 
-def topic_answer_rates(summary: DataFrame, topic: str = "most_common_topic", least: int = 25, top: int = 15) -> DataFrame:
-    """Answer rate of the topics with most conversations, at least ``least`` each."""
+def topic_answer_rates(summary: DataFrame, topic: str = "most_common_topic", least: int = 25, top: int | None = 15) -> DataFrame:
+    """Answer rate of the ``top`` topics with most conversations (None: of all), at least ``least`` each."""
     t = summary.where(col(topic).isNotNull()).groupBy(col(topic).alias("topic")).agg(F.count("*").alias("conversations"), F.avg(col("conversation_was_answered").cast("int")).alias("answer_rate"))
-    return t.where(F.col("conversations") >= least).orderBy(F.desc("conversations"), "topic").limit(top).orderBy(F.desc("answer_rate"), "topic")
+    t = t.where(F.col("conversations") >= least)
+    if top is not None:
+        t = t.orderBy(F.desc("conversations"), "topic").limit(top)
+    return t.orderBy(F.desc("answer_rate"), "topic")
 
 
 def topic_priorities(topics: DataFrame, least: int = 25, rate: str = "answer_rate", volume: str = "conversations") -> DataFrame:

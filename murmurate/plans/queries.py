@@ -391,7 +391,7 @@ def topic_answer_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topic_priorities(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(reports.topic_priorities(reports.topic_answer_rates(summary(spark, d), top=1000)))
+    return rounded(reports.topic_priorities(reports.topic_answer_rates(summary(spark, d), top=None)))
 
 
 def monthly_sentiment(spark: SparkSession, d: str) -> DataFrame:
