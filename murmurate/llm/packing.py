@@ -53,14 +53,26 @@ def local_search(sizes: list[int], bins: list[list[int]], capacity: int) -> list
         load[a] -= change
         load[b] += change
 
+    def largest_pair(items: list[int], most: int) -> list[int] | None:
+        """The two items of the largest sum up to ``most``, by two pointers over ascending sizes."""
+        x, y, best, pair = 0, len(items) - 1, -1, None
+        while x < y:
+            s = sizes[items[x]] + sizes[items[y]]
+            if s > most:
+                y -= 1
+                continue
+            if s > best:
+                best, pair = s, [items[x], items[y]]
+                if s == most:
+                    break
+            x += 1
+        return pair
+
     def improve(a: int, others: list[int]) -> int | None:
         """The bin that took part in the best exchange of bin a, if there is one."""
         best: tuple[int, int, list[int], list[int]] | None = None
         items = kept[a]
         single = [([i], sizes[i]) for i in reversed(items)]
-        # Pairs of the largest few items suffice: smaller pairs are covered by moves of single items.
-        top = items[-12:]
-        pairs = [([x, y], sizes[x] + sizes[y]) for n, x in enumerate(top) for y in top[:n]]
         for b in others:
             room = capacity - load[b]
             theirs = kept[b]
@@ -71,13 +83,20 @@ def local_search(sizes: list[int], bins: list[list[int]], capacity: int) -> list
                     break
             if best and best[0] == capacity:
                 break
-            for out, s in [*single, *pairs]:
+            for out, s in single:
                 # The smallest of their items that still leaves them within capacity brings the most.
                 at = bisect_left(theirs, s - room, key=lambda i: sizes[i])
                 if at < len(theirs) and sizes[theirs[at]] < s:
                     gain = load[b] + s - sizes[theirs[at]]
                     if best is None or gain > best[0]:
                         best = (gain, b, out, [theirs[at]])
+            # For each of their items, the largest pair that fits in its place; as the item grows, so does the pair.
+            for back in dict.fromkeys(sizes[i] for i in theirs):
+                if len(items) < 2 or best and best[0] == capacity:
+                    break
+                pair = largest_pair(items, room + back)
+                if pair and (s := sizes[pair[0]] + sizes[pair[1]]) > back and (best is None or load[b] + s - back > best[0]):
+                    best = (load[b] + s - back, b, pair, [theirs[bisect_left(theirs, back, key=lambda i: sizes[i])]])
         if best is None:
             return None
         shift(a, best[1], best[2], best[3])
