@@ -17,6 +17,7 @@ from murmurate.functions.temporal import stripped
 LANGUAGES = ("en", "es", "pt", "fr", "de", "it", "nl", "ru")
 #: Labelled messages used for training at most, chosen by hash; the model is applied to all.
 TRAIN_ROWS = 4000
+#: Longer training texts are several sequences.
 TRAIN_WORDS = 60
 BUCKETS = 1 << 17
 #: Words a stretch needs to count as a clause of its language.
@@ -237,8 +238,8 @@ def fit(texts: list[str], labels: list[str], lexicon: Lexicon | None = None) ->
     and those of the other language in a mixed message. Then the chain is fitted.
     """
     lexicon = lexicon or Lexicon()
-    sentences = [lexicon.read([w.lower() for w in _WORD.findall(t)][:TRAIN_WORDS]) for t in texts]
-    kept = [(s, LANGUAGES.index(y)) for s, y in zip(sentences, labels) if s]
+    sentences = [lexicon.read([w.lower() for w in _WORD.findall(t)]) for t in texts]
+    kept = [(s[i : i + TRAIN_WORDS], LANGUAGES.index(y)) for s, y in zip(sentences, labels) for i in range(0, len(s), TRAIN_WORDS)]
     if not kept:
         return Crf(np.zeros((BUCKETS, len(LANGUAGES)), np.float32), np.zeros(len(LANGUAGES)), np.zeros((len(LANGUAGES),) * 2), lexicon)
     sentences, gold = [s for s, _ in kept], [np.full(len(s), y) for s, y in kept]
