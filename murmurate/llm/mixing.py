@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmurate.llm.sampling import key_hash
 from murmurate.llm.tokens import RANKS, token_count
 from murmurate.operators.sorted_runs import scan_runs
 from murmurate.session import Scratch
 
 
-#: As total: all tokens of the sources that have a target.
-ALL = "all"
+#: As total: all tokens of the sources that have a target, or the most with which every source reaches its share.
+ALL, EXACT = "all", "exact"
 
 
-def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | str | None) -> DataFrame:
+def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | str) -> DataFrame:
     """``source, target_share, max_repeats, available, budget, full_epochs, rest`` per target."""
     available = sized.where("source IS NOT NULL").groupBy("source").agg(F.sum("tokens").alias("available"))
     wanted = targets.where("source IS NOT NULL").groupBy("source").agg(
@@ -24,9 +25,9 @@ def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | str | Non
         "source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"),
         F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0)).alias("max_repeats"), F.coalesce("available", F.lit(0)).alias("available"),
     )
-    if total_tokens is None:
-        # The largest mixture in which every source that has tokens reaches its share exactly.
-        total_tokens = rows.where("available > 0 AND target_share > 0 AND max_repeats > 0").agg(
+    if total_tokens == EXACT:
+        # A source without tokens is as scarce as can be: no exact mixture has any size then.
+        total_tokens = rows.where("target_share > 0").agg(
             F.min(F.floor(F.col("available") * F.col("max_repeats") / F.col("target_share")))
         ).first()[0]
     elif total_tokens == ALL:
@@ -39,17 +40,19 @@ def _budgets(sized: DataFrame, targets: DataFrame, total_tokens: int | str | Non
 
 
 def mixture(
-    documents: DataFrame, targets: DataFrame, *, total_tokens: int | str | None = None, salt: str = "mix-1", tokenizer: str = RANKS
+    documents: DataFrame, targets: DataFrame, *, total_tokens: int | str = ALL, salt: str = "mix-1", tokenizer: str = RANKS, size: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The mixture and the budgets it was cut to.
 
     Mixture: ``source, doc_id, tokens, full_uses, partial_tokens, used_tokens``,
     one row per document that is used: ``full_uses`` times whole, and in the
     last epoch up to ``partial_tokens`` (the document at the cut is used in
-    part, so a source meets its budget to the token). Without ``total_tokens``
-    the mixture is as large as exact shares and the repeat caps allow, so the
-    scarcest source sets its size; with ``ALL`` it is sized for all tokens of the
-    sources that have a target, and sources under a cap fall short of their share.
+    part, so a source meets its budget to the token). A source's budget is its
+    share of ``total_tokens``, a number, ``ALL`` (the tokens of all sources that
+    have a target) or ``EXACT`` (the most with which every source reaches its
+    share). A source that cannot fill its budget within its repeats gives all it
+    may, and the shares report the shortfall; it takes nothing from the others.
+    ``size`` is another measure of a document (bigint) in place of tokens.
 
     Documents are keyed by a salted hash, range-sorted within their source and
     summed up along that order by a distributed scan, so a source with any
@@ -61,12 +64,13 @@ def mixture(
     """
     scratch = Scratch(documents.sparkSession, "mixture")
     sized = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), token_count(F.col("text"), tokenizer).alias("tokens")
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        (token_count(F.col("text"), tokenizer) if size is None else size).alias("tokens"),
     ).where("doc_id IS NOT NULL AND source IS NOT NULL")
     sized = scratch.write(sized.groupBy("doc_id").agg(F.max(F.struct("tokens", "source")).alias("d")).select("doc_id", "d.source", "d.tokens"), "sized")
     budgets = scratch.write(_budgets(sized, targets, total_tokens), "budgets")
     ordered = scan_runs(
-        sized, ["source"], [F.xxhash64(F.lit(salt), "doc_id"), "doc_id"], scratch=scratch, value=F.col("tokens"), head="doc_id"
+        sized, ["source"], [key_hash(F.col("doc_id"), salt), "doc_id"], scratch=scratch, value=F.col("tokens"), head="doc_id"
     )
     # budgets has one row per target; Spark broadcasts it only if it is as small as that suggests.
     joined = ordered.join(budgets.select("source", "full_epochs", "rest"), "source")

@@ -30,9 +30,26 @@ r AS (SELECT field_name, term, occurrences, records,
 """
 
 
+P9 = """
+WITH d AS (SELECT doc_id, max(struct_pack(n := coalesce(length(text), 0), s := source)) AS x FROM documents WHERE doc_id IS NOT NULL AND source IS NOT NULL GROUP BY doc_id),
+e AS (SELECT doc_id, x.s AS source, x.n AS tokens, ('0x' || substr(md5('mix-1|' || doc_id::VARCHAR), 1, 8))::BIGINT AS h FROM d),
+a AS (SELECT source, sum(tokens)::BIGINT AS available FROM e GROUP BY 1),
+t AS (SELECT source, sum(target_share) AS target_share, max(max_repeats) AS max_repeats FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
+r AS (SELECT source, target_share, max_repeats, coalesce(available, 0) AS available FROM t LEFT JOIN a USING (source)),
+b AS (SELECT *, least(floor(target_share * (SELECT sum(available) FROM r WHERE target_share > 0 AND max_repeats > 0)), available * max_repeats)::BIGINT AS budget FROM r),
+o AS (SELECT e.*, budget // nullif(available, 0) AS full_uses, budget % nullif(available, 0) - (sum(tokens) OVER (PARTITION BY source ORDER BY h, doc_id) - tokens) AS room FROM e JOIN b USING (source)),
+u AS (SELECT source, doc_id, tokens, coalesce(full_uses, 0) AS full_uses, greatest(least(coalesce(room, 0), tokens), 0)::BIGINT AS partial_tokens FROM o),
+m AS (SELECT *, (tokens * full_uses + partial_tokens)::BIGINT AS used_tokens FROM u WHERE full_uses > 0 OR partial_tokens > 0)
+"""
+
+
 def sql() -> dict[str, str]:
     return {
         "p4_sample": _p4(),
+        "p9_mixture_chars": P9 + "SELECT * FROM m",
+        "p9_shares_chars": P9 + """, g AS (SELECT source, sum(used_tokens)::BIGINT AS used_tokens, count(*) AS documents, max(full_uses + (partial_tokens > 0)::INT)::BIGINT AS most_uses FROM m GROUP BY 1)
+SELECT source, round(target_share, 6) AS target_share, max_repeats, available, budget, coalesce(used_tokens, 0) AS used_tokens, coalesce(documents, 0) AS documents, coalesce(most_uses, 0) AS most_uses,
+ round(coalesce(used_tokens, 0) / (SELECT sum(used_tokens) FROM g)::DOUBLE, 6) AS actual_share FROM b LEFT JOIN g USING (source)""",
         "p6_terms": P6 + "SELECT * FROM r",
         "p6_found": P6 + "SELECT field_name, term, mark FROM r WHERE mark IS NOT NULL",
     }

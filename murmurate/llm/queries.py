@@ -155,24 +155,39 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
 # --- 9: mixing sources ---------------------------------------------------------------------------------
 
 
+def _mixture(spark: SparkSession, d: str, **options) -> tuple[DataFrame, DataFrame]:
+    return mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets"), **options)
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets"))[0]
+    """As large as all tokens of the sources that have a target."""
+    return _mixture(spark, d)[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.shares(*mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets")))
+    return mixing.shares(*_mixture(spark, d))
 
 
-def p9_shares_all(spark: SparkSession, d: str) -> DataFrame:
-    """Shares when the mixture is sized for all tokens: capped sources fall short."""
-    return mixing.shares(*mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mix_targets"), total_tokens=mixing.ALL))
+def p9_shares_exact(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of the largest mixture in which no source falls short."""
+    return mixing.shares(*_mixture(spark, d, total_tokens=mixing.EXACT))
 
 
 def p9_totals(spark: SparkSession, d: str) -> DataFrame:
-    parts = [mixing.totals(f(spark, d)).select(F.lit(name).alias("mixture"), "*") for name, f in (("exact shares", p9_shares), ("all tokens", p9_shares_all))]
+    parts = [mixing.totals(f(spark, d)).select(F.lit(name).alias("mixture"), "*") for name, f in (("all tokens", p9_shares), ("exact shares", p9_shares_exact))]
     return parts[0].unionByName(parts[1])
 
 
+def p9_mixture_chars(spark: SparkSession, d: str) -> DataFrame:
+    """SQL cannot count tokens; measured in characters, the same mixture can be held against it."""
+    return _mixture(spark, d, size=F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))[0]
+
+
+def p9_shares_chars(spark: SparkSession, d: str) -> DataFrame:
+    out = mixing.shares(*_mixture(spark, d, size=F.coalesce(F.length("text"), F.lit(0)).cast("bigint")))
+    return out.withColumns({c: F.round(c, 6) for c in ("target_share", "actual_share")})
+
+
 # --- 10: reading level -----------------------------------------------------------------------------------
 
 
@@ -193,7 +208,8 @@ def queries() -> dict[str, Query]:
         "p6_found": p6_found, "p6_terms": p6_terms,
         "p7_found": p7_found, "p7_conversations": p7_conversations,
         "p8_packed": p8_packed, "p8_fill": p8_fill,
-        "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_shares_all": p9_shares_all, "p9_totals": p9_totals,
+        "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_shares_exact": p9_shares_exact, "p9_totals": p9_totals,
+        "p9_mixture_chars": p9_mixture_chars, "p9_shares_chars": p9_shares_chars,
         "p10_levels": p10_levels, "p10_profile": p10_profile,
     }
 

@@ -66,11 +66,11 @@ def test_mixture_meets_shares_to_the_token(spark):
     docs = [(i, text(rng.randrange(1, 40)), "big") for i in range(400)] + [(1000 + i, text(20), "small") for i in range(5)] + [(2000, "x", None), (2001, "x", "other"), (2002, None, "big")]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumnRenamed("nothing", "x")
     targets = spark.createDataFrame([("big", 0.75, 1), ("small", 0.25, 3), ("absent", 0.0, 2)], "source string, target_share double, max_repeats int")
-    used, budgets = mixing.mixture(df.repartition(7), targets)
+    used, budgets = mixing.mixture(df.repartition(7), targets, total_tokens=mixing.EXACT)
     rows = {r.source: r for r in mixing.shares(used, budgets).collect()}
     assert abs(rows["small"].actual_share - 0.25) < 1e-3 and rows["absent"].used_tokens == 0
     assert all(r.used_tokens == r.budget and r.most_uses <= r.max_repeats for r in rows.values())
-    again = {tuple(r) for r in mixing.mixture(df.repartition(2), targets)[0].collect()}
+    again = {tuple(r) for r in mixing.mixture(df.repartition(2), targets, total_tokens=mixing.EXACT)[0].collect()}
     assert again == {tuple(r) for r in used.collect()}
     fixed, b = mixing.mixture(df, targets, total_tokens=400)
     got = {r.source: r.used_tokens for r in mixing.shares(fixed, b).collect()}

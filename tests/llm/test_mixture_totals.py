@@ -4,8 +4,8 @@ from murmurate.llm import mixing
 def test_a_mixture_of_all_tokens_reports_short_sources(spark):
     docs = spark.createDataFrame([(i, "big", "one two three four") for i in range(50)] + [(99, "tiny", "one two three four")], "doc_id long, source string, text string")
     targets = spark.createDataFrame([("big", 0.5, 1), ("tiny", 0.5, 2)], "source string, target_share double, max_repeats int")
-    exact = mixing.shares(*mixing.mixture(docs, targets))
-    whole = mixing.shares(*mixing.mixture(docs, targets, total_tokens=mixing.ALL))
+    exact = mixing.shares(*mixing.mixture(docs, targets, total_tokens=mixing.EXACT))
+    whole = mixing.shares(*mixing.mixture(docs, targets))
     n = {r.source: r.available for r in whole.collect()}
     e, w = mixing.totals(exact).first(), mixing.totals(whole).first()
     assert e.used_tokens == 4 * n["tiny"] and e.available_tokens == w.available_tokens == n["big"] + n["tiny"] and e.sources_short == 0
