@@ -23,10 +23,11 @@ CORRECTIONS = {
 # Accented spellings that are corrected, and drawn-out fillers with their plain form,
 # the first that fits the whole word.
 LATIN_CORRECTIONS = {
-    "thankś": "thanks", "networksß": "networks", "iḿ": "I'm", "iĺl": "I'll", "itś": "it's", "helló": "hello", "vírus": "virus",
-    "vídeos": "videos", "vidéo": "video", "runß": "run", "thatß": "that", "thinkç": "think", "ók": "ok", "wíth": "with",
-    "installé": "install", "sörry": "sorry", "héhé": "hehe", "whatś": "what's", "i'äm": "I am", "fæces": "feces",
-    "ｒｅｓｏｌｕｔｉｏｎ": "resolution", "sǝdʎʇ": "types", "sʎɐʍlɐ": "always", "uʍop": "down", "ǝpısdn": "upside", "ǝɯɐu": "name", "ʎuɐ": "any", "ʎɯ": "my",
+    "thankś": "thanks", "networksß": "networks", "iḿ": "I'm", "iĺl": "I'll", "itś": "it's", "helló": "hello", "vírus": "virus", "vídeos": "videos",
+    "vidéo": "video", "runß": "run", "thatß": "that", "thinkç": "think", "ók": "ok", "i'äm": "I am", "fæces": "feces", "âss": "ass", "wíth": "with",
+    "ｒｅｓｏｌｕｔｉｏｎ": "resolution", "installé": "install", "sörry": "sorry", "héhé": "hehe",
+    "sǝdʎʇ": "types", "sʎɐʍlɐ": "always", "uʍop": "down", "ubuntuß": "ubuntu", "whatś": "what's",
+    "ǝpısdn": "upside", "ǝɯɐu": "name", "ʎuɐ": "any", "ʎɯ": "my",
 }
 FILLERS = (
     (r"(?=.*ha)[ha]+", "haha"), (r"(?=.*heh)[he]+", "hehe"), (r"hm+", "hmm"), (r"oh+", "oh"), (r"o{2,}h*", "ooh"), (r"uh*m+", "um"),

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from murmurate.schema import GLUED, PLACEHOLDERS, SLANG, TERMS, col
 
@@ -28,6 +29,7 @@ DEFAULT_SLANG = (
 WORD_TYPES = frozenset({"Slang", "Expression", "Textese", "Technical/IRC"})
 REVIEW_TYPES = frozenset({"Flagged/Ambiguous", "Other/Non-Slang"})
 MIN_GLUED = 4
+EXAMPLES = 5
 
 
 def _is_word(ch: str) -> bool:
@@ -202,11 +204,14 @@ def glued_review(df: DataFrame) -> DataFrame:
     sides come later in ``risk``.
     """
     g = df.select(F.explode("glued_matches").alias("g")).select("g.*")
-    return g.groupBy("glue", "term").agg(
-        F.count("*").alias("occurrences"),
-        F.slice(F.sort_array(F.collect_set("run")), 1, 5).alias("examples"),
-        F.bool_and((F.col("glue") == "prefix") & F.col("run").rlike("^") & (F.regexp_replace(F.lower("run"), r"\d+$", "") == F.col("term"))).alias("safe"),
-    ).withColumn("risk", F.when(F.col("glue") == "prefix", 0).when(F.col("glue") == "suffix", 1).otherwise(2))
+    plain = (F.col("glue") == "prefix") & (F.regexp_replace(F.lower("run"), r"\d+$", "") == F.col("term"))
+    runs = g.groupBy("glue", "term", "run").agg(F.count("*").alias("n"), F.bool_and(plain).alias("plain"))
+    # Only the first runs by name are kept of each task's rows, so a term with any number of runs is no large window.
+    first = runs.withColumn("__i", F.row_number().over(Window.partitionBy("glue", "term").orderBy("run"))).where(F.col("__i") <= EXAMPLES)
+    first = first.groupBy("glue", "term").agg(F.sort_array(F.collect_list("run")).alias("examples"))
+    whole = runs.groupBy("glue", "term").agg(F.sum("n").alias("occurrences"), F.bool_and("plain").alias("safe"))
+    risk = F.when(F.col("glue") == "prefix", 0).when(F.col("glue") == "suffix", 1).otherwise(2)
+    return whole.join(first, ["glue", "term"]).select("glue", "term", "occurrences", "examples", "safe", risk.alias("risk"))
 
 
 def has_lexicon_match(columns: Mapping[str, str] | Iterable[str]) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from murmurate.operators.prepare import first_messages, hash_rank
 from murmurate.schema import col
+from murmurate.session import Scratch
 
 # Columns that are known only once the conversation has gone on.
 LEAKY = (
@@ -111,19 +112,19 @@ def threshold_table(df: DataFrame, score: str = "score", label: str = "label", d
 
 
 def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label") -> dict:
-    """ROC AUC, average precision, the threshold of the best F1 and that F1."""
-    rows = threshold_table(df, score, label).orderBy(F.desc("threshold")).collect()
-    tp, fp = np.array([r["tp"] for r in rows]), np.array([r["fp"] for r in rows])
-    if not len(rows) or tp[-1] == 0 or fp[-1] == 0:
+    """ROC AUC, average precision, the threshold of the best F1 and that F1, as sums over the thresholds."""
+    w = Window.orderBy(F.desc("threshold"))
+    tp, fp = F.col("tp"), F.col("fp")
+    steps = threshold_table(df, score, label).select("*", *[(F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(0.0))).alias(f"d_{c}") for c in ("tp", "fp")])
+    ends = steps.agg(F.max("tp"), F.max("fp")).first()
+    if not ends[0] or not ends[1]:
         return {"roc_auc": None, "average_precision": None, "best_threshold": None, "best_f1": None}
-    tpr, fpr = np.concatenate(([0], tp / tp[-1])), np.concatenate(([0], fp / fp[-1]))
-    precision = tp / (tp + fp)
-    f1 = 2 * tp / (tp + fp + tp[-1])
-    i = int(f1.argmax())
-    return {
-        "roc_auc": float(np.sum((fpr[1:] - fpr[:-1]) * (tpr[1:] + tpr[:-1]) / 2)), "average_precision": float(np.sum((tpr[1:] - tpr[:-1]) * precision)),
-        "best_threshold": float(rows[i]["threshold"]), "best_f1": float(f1[i]),
-    }
+    p, q = float(ends[0]), float(ends[1])
+    f1 = 2 * tp / (tp + fp + p)
+    r = steps.agg(
+        F.sum(F.col("d_fp") * (2 * tp - F.col("d_tp")) / 2) / (p * q), F.sum(F.col("d_tp") / p * tp / (tp + fp)), F.max(F.struct(f1, "threshold"))
+    ).first()
+    return {"roc_auc": r[0], "average_precision": r[1], "best_threshold": float(r[2][1]), "best_f1": float(r[2][0])}
 
 
 def threshold_metrics(df: DataFrame, threshold: float = 0.5, score: str = "score", label: str = "label") -> dict:
@@ -147,7 +148,8 @@ def lift(average_precision: float, prevalence: float) -> float:
 def random_search(train: DataFrame, stages: list, grid: dict[str, Sequence], *, kind: str = "logistic", tries: int = 8, folds: int = 3, seed: int = 42, key: str = "message_id") -> tuple[dict, float]:
     """Sampled settings compared by average precision over hash folds; the best setting and its mean."""
     rng = np.random.default_rng(seed)
-    folded = train.withColumn("__f", F.pmod(F.xxhash64(F.lit(seed), col(key)), F.lit(folds))).persist()
+    scratch = Scratch(train.sparkSession, "search")
+    folded = scratch.write(train.withColumn("__f", F.pmod(F.xxhash64(F.lit(seed), col(key)), F.lit(folds))), "folds")
     best: tuple[dict, float] = ({}, -1.0)
     try:
         for _ in range(tries):
@@ -159,7 +161,7 @@ def random_search(train: DataFrame, stages: list, grid: dict[str, Sequence], *,
             if np.mean(got) > best[1]:
                 best = (setting, float(np.mean(got)))
     finally:
-        folded.unpersist()
+        scratch.close()
     return best
 
 

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from murmurate.functions.temporal import calendar_fields, minutes_between, moment, right_closed
-from murmurate.operators.slotted import place_and_previous
+from murmurate.operators.joins import asof_join
+from murmurate.operators.sorted_runs import scan_runs
 from murmurate.schema import SENTINELS, TO_ALL, TO_UNANSWERED, col, normalized_names, require
+from murmurate.session import Scratch
 
 RELEASE_BOUNDS = ([7, 14, 21, 28, 42, 56], ["0-1wk", "1-2wk", "2-3wk", "3-4wk", "4-6wk", "6-8wk", "8wk+"])
 TEXT_BOUNDS = ([20, 50, 100, 200], ["very_short", "short", "medium", "long", "very_long"])
@@ -91,61 +92,118 @@ def _joined_back(df: DataFrame, summary: DataFrame, key: str = "conversation_id"
     return df.join(summary.withColumnRenamed(key, "__key"), col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
 
 
-def infer_participants(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Fills senders and recipients from the two people of a conversation.
+def _tie(df: DataFrame, tie_break: Sequence[str]) -> list[str]:
+    """What orders messages of one moment besides the sender: their content, never their place in the input."""
+    names = list(tie_break) or (["message_id"] if "message_id" in df.columns else [c for c in ("text", "to") if c in df.columns])
+    return [c for c in names if c != "from"]
 
-    A missing sender with a recipient is the other of exactly two known
-    senders; rows that stay without sender go. A missing recipient is
-    ``__UNANSWERED__`` with one sender, ``__ALL__`` in the first turn, the only
-    other of two senders, else ``__ALL__``.
+
+def _exchanges(df: DataFrame, tie: Sequence[str]) -> DataFrame:
+    """One row per conversation, sender and recipient: first message, last moment, and size."""
+    return df.groupBy("conversation_id", "from", "to").agg(
+        F.min(F.struct("date", *[col(c) for c in tie])).alias("__lo"), F.max("date").alias("__hi"), F.count("*").alias("__n")
+    )
+
+
+def _other(c: Column) -> Column:
+    return F.when(c == F.col("__one"), F.col("__two")).when(c == F.col("__two"), F.col("__one"))
+
+
+def _facts(exchanges: DataFrame, include_sentinels: bool = False) -> DataFrame:
+    """What is known of each conversation, from its exchanges alone.
+
+    ``__people``, ``__one``, ``__two``: how many senders are named, first and last of them;
+    of the messages whose sender is named or inferred: ``__first`` (the order key of the first
+    one), bounds, size, participants, and whether more than one person wrote. An inferred
+    recipient is a sender of the conversation or nobody, so recipients that are named
+    suffice to count participants.
     """
-    people = df.groupBy("conversation_id").agg(
+    people = exchanges.groupBy("conversation_id").agg(
         F.count_distinct("from").alias("__people"), F.min("from").alias("__one"), F.max("from").alias("__two")
     )
-    known = _joined_back(df, people)
-    other = lambda c: F.when(c == F.col("__one"), F.col("__two")).when(c == F.col("__two"), F.col("__one"))
+    known = _joined_back(exchanges, people)
+    known = known.withColumn("__sender", F.coalesce("from", F.when(F.col("__people") == 2, _other(col("to"))))).where("__sender IS NOT NULL")
+    person = lambda c, sends: F.struct(F.col(c).alias("p"), F.lit(sends).alias("s"))
+    each = known.select("*", F.explode(F.array(person("__sender", True), person("to", False))).alias("x"))
+    sends = F.col("x.s")
+    real = F.when(F.lit(include_sentinels) | ~F.col("x.p").isin(*SENTINELS), F.col("x.p"))
+    return each.groupBy("conversation_id", "__people", "__one", "__two").agg(
+        F.min(F.struct("__lo", "__sender")).alias("__first"), F.min("__lo.date").alias("conversation_start"), F.max("__hi").alias("conversation_end"),
+        F.sum(F.when(sends, F.col("__n"))).alias("conversation_message_count"), (F.count_distinct(F.when(sends, F.col("x.p"))) > 1).alias("conversation_was_answered"),
+        F.count_distinct(real).alias("conversation_participant_count"),
+    )
+
+
+_FACTS = ["conversation_start", "conversation_end", "conversation_message_count", "conversation_was_answered", "conversation_participant_count"]
+
+
+def _with_participants(df: DataFrame, facts: DataFrame, tie: Sequence[str]) -> DataFrame:
+    """Rows with sender, their recipient filled in, and the facts of their conversation."""
+    known = _joined_back(df, facts)
     two = F.col("__people") == 2
-    known = known.withColumn("from", F.coalesce(col("from"), F.when(two, other(col("to"))))).where(col("from").isNotNull())
-    order = F.struct("date", *_message_order(df, tie_break))
-    first = known.groupBy("conversation_id").agg(F.min(order).alias("__first"))
-    known = _joined_back(known, first)
+    known = known.withColumn("from", F.coalesce(col("from"), F.when(two, _other(col("to"))))).where(col("from").isNotNull())
+    order = F.struct(F.struct("date", *[col(c) for c in tie]), col("from"))
+    # A named recipient is part of a default order, so a missing one is compared before it is filled in.
     recipient = (
         F.when(F.col("__people") <= 1, TO_UNANSWERED)
         .when(order == F.col("__first"), TO_ALL)
-        .when(two, other(col("from")))
+        .when(two, _other(col("from")))
         .otherwise(TO_ALL)
     )
-    return known.withColumn("to", F.coalesce(col("to"), recipient)).drop("__people", "__one", "__two", "__first")
+    return known.withColumn("to", F.coalesce(col("to"), recipient))
 
 
-def _message_order(df: DataFrame, tie_break: Sequence[str]) -> list[Column]:
-    """Orders messages of one moment by their content, never by their place in the input."""
-    names = list(tie_break) or [c for c in ("message_id",) if c in df.columns] or ["from", "text"]
-    return [col(c) for c in names]
+def infer_participants(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Fills senders and recipients from the two people of a conversation.
+
+    A missing sender with a recipient is the other of exactly two known
+    senders; rows that stay without sender go. A missing recipient is
+    ``__UNANSWERED__`` with one sender, ``__ALL__`` in the first turn, the only
+    other of two senders, else ``__ALL__``. Messages of one moment are ordered
+    by ``tie_break``, by default by their content.
+    """
+    tie = _tie(df, tie_break)
+    exchanges = Scratch(df.sparkSession, "participants").write(_exchanges(df, tie), "exchanges")
+    return _with_participants(df, _facts(exchanges), tie).drop("__people", "__one", "__two", "__first", *_FACTS)
 
 
-def turn_features(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """``turn_count, is_op, response_gap_mins, response_gap_mins_between_speakers`` in a conversation."""
-    tie = _message_order(df, tie_break)
-    opener = df.where(col("from").isNotNull()).groupBy("conversation_id").agg(F.min_by("from", F.struct("date", *tie)).alias("__opener"))
-    placed = _joined_back(place_and_previous(df, ["conversation_id"], "date", tie, ["date", "from"]), opener)
-    gap = minutes_between(col("date"), F.col("__prev.date"))
+def _turned(df: DataFrame, tie: Sequence[str], scratch: Scratch) -> DataFrame:
+    """``turn_count`` and gaps, with ``__opener_place``: whether the row is a conversation's first."""
+    placed = scan_runs(df, ["conversation_id"], ["date", *tie, "from"], scratch=scratch, lag=["date", "from"])
+    gap = minutes_between(col("date"), col("prev_date"))
     return placed.withColumns(
         {
-            "turn_count": F.col("__place") - 1,
-            "is_op": col("from") == F.col("__opener"),
+            "turn_count": F.col("run_rank") - 1,
             "response_gap_mins": gap,
-            "response_gap_mins_between_speakers": F.when(col("from") != F.col("__prev.from"), gap),
+            "response_gap_mins_between_speakers": F.when(col("from") != col("prev_from"), gap),
         }
-    ).drop("__place", "__prev", "__opener")
+    ).drop("running_total", "run_rank", "run_head", "prev_date", "prev_from")
+
+
+def turn_features(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """``turn_count, is_op, response_gap_mins, response_gap_mins_between_speakers`` in a conversation.
+
+    Turns come from a range-partitioned scan, so a conversation of any size is
+    spread over the tasks its rows fill.
+    """
+    tie = _tie(df, tie_break)
+    opener = df.where(col("from").isNotNull()).groupBy("conversation_id").agg(F.min_by("from", F.struct("date", *[col(c) for c in tie], "from")).alias("__opener"))
+    turned = _joined_back(_turned(df, tie, Scratch(df.sparkSession, "turns")), opener)
+    return turned.withColumn("is_op", col("from") == F.col("__opener")).drop("__opener")
+
 
+def user_features(df: DataFrame, tie_break: Sequence[str] = (), scratch: Scratch | None = None) -> DataFrame:
+    """``user_message_count`` (running), ``user_messages_this_month`` and ``user_tier``.
 
-def user_features(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """``user_message_count`` (running), ``user_messages_this_month`` and ``user_tier``."""
-    placed = place_and_previous(df, ["from"], "date", _message_order(df, tie_break), ["date"])
-    month = Window.partitionBy("from", F.date_trunc("month", col("date")))
-    counted = placed.withColumns({"user_message_count": F.col("__place"), "user_messages_this_month": F.count("*").over(month)})
-    return counted.withColumn("user_tier", right_closed(F.col("user_messages_this_month"), *TIER_BOUNDS)).drop("__place", "__prev")
+    Counts of a month are one aggregate joined back; running numbers come from a
+    range-partitioned scan, so no user is one task.
+    """
+    placed = scan_runs(df, ["from"], ["date", *_tie(df, tie_break)], scratch=scratch or Scratch(df.sparkSession, "users"))
+    month = F.date_trunc("month", col("date"))
+    months = placed.groupBy(col("from").alias("__u"), month.alias("__m")).agg(F.count("*").alias("user_messages_this_month"))
+    out = placed.join(months, col("from").eqNullSafe(F.col("__u")) & month.eqNullSafe(F.col("__m")), "left")
+    out = out.withColumns({"user_message_count": F.col("run_rank"), "user_tier": right_closed(F.col("user_messages_this_month"), *TIER_BOUNDS)})
+    return out.drop("__u", "__m", "running_total", "run_rank", "run_head")
 
 
 def conversation_features(df: DataFrame, include_sentinels: bool = False) -> DataFrame:
@@ -160,8 +218,11 @@ def conversation_features(df: DataFrame, include_sentinels: bool = False) -> Dat
         (F.count_distinct("from") > 1).alias("conversation_was_answered"),
     )
     whole = _joined_back(whole, people)
-    out = _joined_back(df, whole)
-    return out.withColumns(
+    return _with_duration(_joined_back(df, whole))
+
+
+def _with_duration(df: DataFrame) -> DataFrame:
+    return df.withColumns(
         {
             "conversation_participant_count": F.coalesce("conversation_participant_count", F.lit(0)).cast("bigint"),
             "conversation_duration_mins": minutes_between(col("conversation_end"), col("conversation_start")),
@@ -197,12 +258,16 @@ def size_buckets(df: DataFrame) -> DataFrame:
 def release_distance(date: Column, releases: Sequence[str]) -> dict[str, Column]:
     """Days since the last and until the next release, from a constant sorted array; NULL outside it.
 
-    For calendars of tens of dates; the as-of join serves larger ones.
+    For calendars of up to some hundred dates; ``with_release_distance`` serves any.
     """
-    day = F.to_date(date)
     days = F.array(*[F.lit(r).cast("date") for r in sorted(releases)])
-    since = F.datediff(day, F.array_max(F.filter(days, lambda r: r <= day)))
-    until = F.datediff(F.array_min(F.filter(days, lambda r: r >= day)), day)
+    # As an element of an array the day is computed once, not once for every release.
+    once = lambda f: F.get(F.transform(F.array(F.to_date(date)), f), 0)
+    since = once(lambda day: F.datediff(day, F.array_max(F.filter(days, lambda r: r <= day))))
+    return _distances(since, once(lambda day: F.datediff(F.array_min(F.filter(days, lambda r: r >= day)), day)))
+
+
+def _distances(since: Column, until: Column) -> dict[str, Column]:
     return {
         "days_since_release": since,
         "days_until_release": until,
@@ -211,16 +276,60 @@ def release_distance(date: Column, releases: Sequence[str]) -> dict[str, Column]
     }
 
 
-def prepare_bronze(df: DataFrame, releases: Sequence[str] = (), tie_break: Sequence[str] = ()) -> DataFrame:
-    """All of the above: bronze messages to prepared messages."""
-    df = with_conversation_id(deduplicate(clean_bronze(df), tie_break=tie_break))
-    df = with_message_id(infer_participants(df, tie_break))
-    df = conversation_features(turn_features(df))
-    df = user_features(df).withColumns(text_sizes(col("text")))
-    df = calendar_features(df)
-    if releases:
-        df = df.withColumns(release_distance(col("date"), releases))
-    return size_buckets(df)
+#: Calendars up to this size are a constant of the plan; larger ones are joined.
+CONSTANT_RELEASES = 500
+
+
+def with_release_distance(df: DataFrame, calendar: DataFrame, release_date: str = "release_date") -> DataFrame:
+    """Distances to the releases of a calendar of any size: a constant array or, beyond it, as-of joins."""
+    days = calendar.select(F.to_date(col(release_date)).alias("__day")).where("__day IS NOT NULL").distinct()
+    known = [r[0].isoformat() for r in days.limit(CONSTANT_RELEASES + 1).collect()]
+    if len(known) <= CONSTANT_RELEASES:
+        return df.withColumns(release_distance(col("date"), known))
+    out = df.withColumn("__at", F.to_date("date").cast("timestamp"))
+    for target, direction in (("__last", "backward"), ("__next", "forward")):
+        out = asof_join(out, days.select("__day", col("__day").alias(target)), left_on="__at", right_on="__day", values=[target], direction=direction)
+    since, until = F.datediff(F.to_date("date"), "__last"), F.datediff("__next", F.to_date("date"))
+    return out.withColumns(_distances(since, until)).drop("__at", "__last", "__next")
+
+
+def key_first(df: DataFrame, keys: Sequence[str] = ("message_id", "conversation_id", "date", "from", "to")) -> DataFrame:
+    """Key columns first, the others as they were."""
+    present = [c for c in keys if c in df.columns]
+    return df.select(*[col(c) for c in present], *[col(c) for c in df.columns if c not in present])
+
+
+def to_minutes(df: DataFrame, column: str = "date") -> DataFrame:
+    """Times cut to the minute; NULL stays NULL."""
+    return df.withColumn(column, F.date_trunc("minute", col(column)))
+
+
+def prepare_bronze(df: DataFrame, releases: Sequence[str] | DataFrame = (), tie_break: Sequence[str] = (), minutes: bool = False) -> DataFrame:
+    """All of the above: bronze messages to prepared messages, key columns first.
+
+    Rows are shuffled four times: to find copies, to meet the facts of their
+    conversation, to be numbered within it, and within their sender. What each
+    step leaves is written to the shared folder, so no plan holds another
+    twice. ``releases`` are dates or a calendar table; ``minutes`` cuts times.
+    """
+    spark = df.sparkSession
+    scratch = Scratch(spark, "prepare")
+    cleaned = clean_bronze(df)
+    cleaned = scratch.write(with_conversation_id(deduplicate(to_minutes(cleaned) if minutes else cleaned, tie_break=tie_break)), "clean")
+    tie = _tie(cleaned, tie_break)
+    exchanges = scratch.write(_exchanges(cleaned, tie), "exchanges")
+    whole = with_message_id(_with_participants(cleaned, _facts(exchanges), tie))
+    whole = _with_duration(whole).withColumn("is_op", col("from") == F.col("__first.__sender")).drop("__people", "__one", "__two", "__first")
+    turned = _turned(whole, tie, scratch)
+    out = user_features(turned, ("message_id",), scratch).withColumns(text_sizes(col("text")))
+    for done in (cleaned, exchanges):
+        scratch.drop(done)
+    out = calendar_features(out)
+    if isinstance(releases, DataFrame):
+        out = with_release_distance(out, releases)
+    elif releases:
+        out = out.withColumns(release_distance(col("date"), releases))
+    return key_first(size_buckets(out))
 
 
 def working_text(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from murmurate.functions.temporal import minutes_between, right_closed
 from murmurate.operators.prepare import DURATION_BOUNDS, MESSAGE_COUNT_BOUNDS
+from murmurate.operators.statistics import quantile, quantiles
 from murmurate.schema import col
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -59,7 +60,7 @@ def key_figures(summary: DataFrame) -> DataFrame:
         aggs.append(F.avg("avg_vader_compound").alias("mean_sentiment"))
     gap = "avg_response_gap_mins_between_speakers"
     if gap in summary.columns:
-        aggs.append(F.percentile(col(gap), 0.5).alias("median_gap"))
+        aggs.append(F.lit(quantile(summary, gap, 0.5)).cast("double").alias("median_gap"))
     return summary.agg(*aggs)
 
 
@@ -96,8 +97,11 @@ def filter_summary(summary: DataFrame, *, start=None, end=None, answered: bool |
 
 def by_bucket(df: DataFrame, bucket: str, measures: Sequence[str]) -> DataFrame:
     """Mean and exact median of measures per bucket."""
-    aggs = [x for m in measures for x in (F.avg(col(m).cast("double")).alias(f"mean_{m}"), F.percentile(col(m).cast("double"), 0.5).alias(f"median_{m}"))]
-    return df.groupBy(col(bucket)).agg(F.count("*").alias("messages"), *aggs)
+    means = df.groupBy(col(bucket)).agg(F.count("*").alias("messages"), *[F.avg(col(m).cast("double")).alias(f"mean_{m}") for m in measures])
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), col(m).cast("double").alias("value")) for m in measures])
+    medians = quantiles(df.select(col(bucket).alias("__b"), F.explode(each).alias("x")).select("__b", "x.*"), ["__b", "measure"], "value", [0.5])
+    medians = medians.groupBy("__b").agg(*[F.max(F.when(F.col("measure") == m, F.col("q")[0])).alias(f"median_{m}") for m in measures])
+    return means.join(medians, col(bucket).eqNullSafe(F.col("__b")), "left").drop("__b")
 
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
@@ -169,7 +173,7 @@ def largest(df: DataFrame, metric: str, k: int, tie: Sequence[str]) -> DataFrame
 
 def clipped_at_p99(df: DataFrame, column: str) -> DataFrame:
     """Rows up to the 99th percentile of a column, which is one number."""
-    limit = df.agg(F.percentile(col(column).cast("double"), 0.99)).first()[0]
+    limit = quantile(df, column, 0.99)
     return df.where(col(column) <= F.lit(limit)) if limit is not None else df.limit(0)
 
 

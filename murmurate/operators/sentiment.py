@@ -15,6 +15,7 @@ from murmurate.functions.normalize import is_effectively_empty, without_labels
 from murmurate.functions.probability import class_columns, normalized_probabilities
 from murmurate.operators.prepare import seeded_sample
 from murmurate.schema import EMOTION_LABELS, SENTIMENT_LABELS, col
+from murmurate.session import Scratch
 
 VADER_COLUMNS = ("vader_negative", "vader_neutral", "vader_positive", "vader_compound", "vader_label")
 TRANSFORMER_COLUMNS = (
@@ -220,14 +221,15 @@ def backend_agreement(df: DataFrame) -> DataFrame:
 
 def throughput_probe(df: DataFrame, score: Callable[[DataFrame], DataFrame], *, rows: int = 2000, total: int | None = None, key: str = "message_id") -> dict:
     """Times a scorer on a seeded sample and projects it to the whole table."""
-    sample = seeded_sample(df, rows, key).persist()
+    scratch = Scratch(df.sparkSession, "probe")
+    sample = scratch.write(seeded_sample(df, rows, key), "sample")
     try:
         n = sample.count()
         began = time.perf_counter()
         score(sample).write.format("noop").mode("overwrite").save()
         seconds = time.perf_counter() - began
     finally:
-        sample.unpersist()
+        scratch.close()
     rate = n / seconds if seconds else 0.0
     return {"rows": n, "seconds": seconds, "rows_per_second": rate, "projected_minutes": (total or df.count()) / rate / 60 if rate else None}
 

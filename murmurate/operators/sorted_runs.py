@@ -8,6 +8,7 @@ crosses a partition border is completed from one border row per partition.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -22,30 +23,42 @@ from pyspark.sql.window import Window
 from murmurate.session import Scratch, shuffle_partitions
 
 _EDGE = [
-    T.StructField("__first_g", T.StringType()),
-    T.StructField("__last_g", T.StringType()),
-    T.StructField("__last_sum", T.LongType()),
-    T.StructField("__last_n", T.LongType()),
-    T.StructField("__last_head", T.LongType()),
-    T.StructField("__single", T.BooleanType()),
+    T.StructField("__run_first_g", T.StringType()),
+    T.StructField("__run_last_g", T.StringType()),
+    T.StructField("__run_last_sum", T.LongType()),
+    T.StructField("__run_last_n", T.LongType()),
+    T.StructField("__run_last_head", T.LongType()),
+    T.StructField("__run_single", T.BooleanType()),
 ]
+#: Longer keys are named by their SHA-256 in border rows, so that those stay small.
+_LONGEST_NAME = 256
 
 
-def _scanner(kept: list[str], arrow_schema: pa.Schema):
-    """The partition scan: adds running sum, rank and head, and ends with one border row."""
+def _name(key: str) -> str:
+    return key if len(key) <= _LONGEST_NAME else "\u0000" + hashlib.sha256(key.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _flat(column) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _scanner(kept: list[str], lag: list[str], fill: str | None, arrow_schema: pa.Schema):
+    """The partition scan: adds running sum, rank, head, previous and last values, and ends with one border row."""
 
     def scan(batches):
         pid = TaskContext.get().partitionId()
         first_g = last_g = None
         total = count = head = 0
         in_first, seen = True, False
+        before_row: dict[str, pa.Array] = {}
+        filled: pa.Array | None = None
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            g = batch.column("__g")
-            value = np.asarray(batch.column("__v").to_numpy(zero_copy_only=False), dtype=np.int64)
-            key = np.asarray(batch.column("__h").to_numpy(zero_copy_only=False), dtype=np.int64)
+            g = batch.column("__run_g")
+            value = np.asarray(batch.column("__run_v").to_numpy(zero_copy_only=False), dtype=np.int64)
+            key = np.asarray(batch.column("__run_h").to_numpy(zero_copy_only=False), dtype=np.int64)
             new = np.ones(n, bool)
             if n > 1:
                 new[1:] = pc.not_equal(g.slice(1), g.slice(0, n - 1)).to_numpy(zero_copy_only=False)
@@ -79,12 +92,31 @@ def _scanner(kept: list[str], arrow_schema: pa.Schema):
             cols += [pa.array(running), pa.array(rank), pa.array(heads), pa.array(opened)]
             cols += [pa.array(np.full(n, pid, np.int32)), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())]
             cols += [pa.nulls(n, pa.int64())] * 3 + [pa.nulls(n, pa.bool_())]
+            for c in lag:
+                own = batch.column(f"__run_lag_{c}")
+                # Place 0 holds the row before this batch; the first row of a group has none before it.
+                line = pa.concat_arrays([before_row.get(c, pa.nulls(1, own.type)), own])
+                cols.append(line.take(pa.array(np.arange(n), mask=new)))
+                before_row[c] = own.slice(n - 1)
+            if fill:
+                own = batch.column(f"__run_fill_{fill}")
+                valid = own.is_valid().to_numpy(zero_copy_only=False)
+                near = np.maximum.accumulate(np.where(valid, np.arange(n), -1))
+                none = np.where(old, (near < 0) & (filled is None), near < start)
+                line = pa.concat_arrays([filled if filled is not None else pa.nulls(1, own.type), own])
+                got = _flat(line.take(pa.array(near + 1, mask=none)))
+                cols.append(got)
+                filled = got.slice(n - 1)
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow_schema)], schema=arrow_schema)
         if seen:
-            row = dict.fromkeys(arrow_schema.names)
-            row |= {"__pid": pid, "__first_g": first_g, "__last_g": last_g, "__last_sum": total}
-            row |= {"__last_n": count, "__last_head": head, "__single": in_first}
-            yield pa.RecordBatch.from_pylist([row], schema=arrow_schema)
+            edge: dict[str, pa.Array] = {
+                "__run_pid": pa.array([pid], pa.int32()), "__run_first_g": pa.array([_name(first_g)]), "__run_last_g": pa.array([_name(last_g)]), "__run_last_sum": pa.array([total]),
+                "__run_last_n": pa.array([count]), "__run_last_head": pa.array([head]), "__run_single": pa.array([in_first]),
+            }
+            edge |= {f"prev_{c}": v for c, v in before_row.items()}
+            if fill:
+                edge[f"last_{fill}"] = filled
+            yield pa.RecordBatch.from_arrays([edge[f.name].cast(f.type) if f.name in edge else pa.nulls(1, f.type) for f in arrow_schema], schema=arrow_schema)
 
     return scan
 
@@ -99,82 +131,88 @@ def scan_runs(
     head: str | None = None,
     partitions: int | None = None,
     keep: Sequence[str] | None = None,
+    lag: Sequence[str] = (),
+    fill: str | None = None,
+    descending: bool = False,
 ) -> DataFrame:
     """Adds to each row its place in its group under a total order.
 
     ``running_total``: inclusive sum of ``value`` (integers, NULL counts as 0);
     ``run_rank``: 1-based place; ``run_head``: ``head`` (a bigint column) of the
-    group's first row. NULL is a group of its own. Rows that tie in ``order``
-    take any order among themselves, so pass a unique column last. An empty
-    input gives an empty result. ``keep`` names the columns of the result,
-    by default all.
+    group's first row; ``prev_<c>`` for every ``lag`` column: its value in the
+    row before, NULL in the first; ``last_<c>`` for the ``fill`` column: its last
+    value that is not NULL, up to and with this row. NULL is a group of its own.
+    ``descending`` turns the order round. Rows that tie in ``order`` take any
+    order among themselves, so pass a unique column last. An empty input gives
+    an empty result. ``keep`` names the columns of the result, by default all.
+    Without a group all rows are one.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = df.sparkSession
     kept = list(keep if keep is not None else df.columns)
-    if clash := {"running_total", "run_rank", "run_head"} & set(kept):
+    added = {"running_total", "run_rank", "run_head", *[f"prev_{c}" for c in lag], *([f"last_{fill}"] if fill else [])}
+    if clash := added & set(kept):
         raise ValueError(f"columns already exist: {sorted(clash)}")
-    # Lengths before the parts make the joined key unambiguous whatever the texts hold.
-    parts = []
-    for c in group:
-        text = F.col(f"`{c}`").cast("string")
-        parts += [F.coalesce(F.length(text).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit("")), F.lit("|")]
+    # Lengths after the parts make the joined key unambiguous whatever the texts hold, and leave its beginning to the values, by which sorting is quick.
+    texts = [F.col(f"`{c}`").cast("string") for c in group]
+    lengths = [F.concat(F.lit("|"), F.coalesce(F.length(t).cast("string"), F.lit("-"))) for t in texts]
     order_cols = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order]
-    names = [f"__o{i}" for i in range(len(order_cols))]
+    names = [f"__run_o{i}" for i in range(len(order_cols))]
     work = df.select(
-        *[F.col(f"`{c}`") for c in dict.fromkeys([*kept, *group])],
-        F.concat(*parts).alias("__g"),
-        F.coalesce(value if value is not None else F.lit(1), F.lit(0)).cast("bigint").alias("__v"),
-        (F.col(f"`{head}`") if head else F.lit(0)).cast("bigint").alias("__h"),
+        *[F.col(f"`{c}`") for c in kept],
+        F.concat(F.lit(""), *[F.coalesce(t, F.lit("")) for t in texts], *lengths).alias("__run_g"),
+        F.coalesce(value if value is not None else F.lit(1), F.lit(0)).cast("bigint").alias("__run_v"),
+        F.coalesce((F.col(f"`{head}`") if head else F.lit(0)).cast("bigint"), F.lit(0)).alias("__run_h"),
+        *[F.col(f"`{c}`").alias(f"__run_lag_{c}") for c in lag], *([F.col(f"`{fill}`").alias(f"__run_fill_{fill}")] if fill else []),
         *[c.alias(n) for c, n in zip(order_cols, names)],
     )
-    sort_by = [F.col(f"`{c}`") for c in group] + [F.col(n) for n in names]
+    sort_by = [F.col("__run_g"), *[F.col(n).desc() if descending else F.col(n) for n in names]]
     ranged = work.repartitionByRange(partitions or shuffle_partitions(spark), *sort_by).sortWithinPartitions(*sort_by)
-    fields = [T.StructField(f.name, f.dataType, True) for f in work.schema.fields if f.name in kept]
-    fields = sorted(fields, key=lambda f: kept.index(f.name))
+    kinds = {f.name: f.dataType for f in work.schema.fields}
     out = T.StructType(
         [
-            *fields,
+            *[T.StructField(c, kinds[c], True) for c in kept],
             T.StructField("running_total", T.LongType()),
             T.StructField("run_rank", T.LongType()),
             T.StructField("run_head", T.LongType()),
-            T.StructField("__open", T.BooleanType()),
-            T.StructField("__pid", T.IntegerType()),
+            T.StructField("__run_open", T.BooleanType()),
+            T.StructField("__run_pid", T.IntegerType()),
             *_EDGE,
+            *[T.StructField(f"prev_{c}", kinds[f"__run_lag_{c}"], True) for c in lag],
+            *([T.StructField(f"last_{fill}", kinds[f"__run_fill_{fill}"], True)] if fill else []),
         ]
     )
-    scanned = scratch.write(ranged.mapInArrow(_scanner(kept, to_arrow_schema(out)), out), "runs")
-    edges = scanned.where(F.col("__single").isNotNull())
+    scanned = scratch.write(ranged.mapInArrow(_scanner(kept, list(lag), fill, to_arrow_schema(out)), out), "runs")
+    edges = scanned.where(F.col("__run_single").isNotNull())
+    carried = [f"prev_{c}" for c in lag]
     # One row per non-empty partition: the only global window, over a number of rows fixed by the plan.
-    w = Window.orderBy("__pid")
+    w = Window.orderBy("__run_pid")
     edges = edges.select(
-        "__pid", "__last_sum", "__last_n", "__last_head",
-        F.coalesce(F.col("__first_g") == F.lag("__last_g").over(w), F.lit(False)).alias("cont"),
-        "__single",
+        "__run_pid", "__run_last_sum", "__run_last_n", "__run_last_head", *carried, *([f"last_{fill}"] if fill else []),
+        F.coalesce(F.col("__run_first_g") == F.lag("__run_last_g").over(w), F.lit(False)).alias("cont"),
+        "__run_single",
     )
-    edges = edges.withColumn("seg", F.sum((~(F.col("__single") & F.col("cont"))).cast("int")).over(w))
-    s = Window.partitionBy("seg").orderBy("__pid")
+    edges = edges.withColumn("seg", F.sum((~(F.col("__run_single") & F.col("cont"))).cast("int")).over(w))
+    s = Window.partitionBy("seg").orderBy("__run_pid")
     edges = edges.select(
-        "__pid", "cont",
-        F.sum("__last_sum").over(s).alias("c_sum"),
-        F.sum("__last_n").over(s).alias("c_n"),
-        F.first("__last_head").over(s).alias("c_head"),
-    )
-    carry = (
-        edges.select(
-            "__pid", "cont",
-            *[F.lag(c).over(w).alias(c) for c in ("c_sum", "c_n", "c_head")],
-        )
-        .where("cont")
-        .select(F.col("__pid").alias("__c_pid"), "c_sum", "c_n", "c_head")
+        "__run_pid", "cont", *[F.col(c).alias(f"c_{c}") for c in carried],
+        F.sum("__run_last_sum").over(s).alias("c_sum"),
+        F.sum("__run_last_n").over(s).alias("c_n"),
+        F.first("__run_last_head").over(s).alias("c_head"),
+        *([F.last(f"last_{fill}", ignorenulls=True).over(s).alias("c_fill")] if fill else []),
     )
-    rows = scanned.where(F.col("__single").isNull())
+    whole = ["c_sum", "c_n", "c_head", *[f"c_{c}" for c in carried], *(["c_fill"] if fill else [])]
+    carry = edges.select("__run_pid", "cont", *[F.lag(c).over(w).alias(c) for c in whole]).where("cont").select(F.col("__run_pid").alias("__run_c_pid"), *whole)
+    rows = scanned.where(F.col("__run_single").isNull())
     # At most one row per partition, so the broadcast side is bounded by the plan.
-    joined = rows.join(F.broadcast(carry), F.col("__open") & (F.col("__pid") == F.col("__c_pid")), "left")
+    joined = rows.join(F.broadcast(carry), F.col("__run_open") & (F.col("__run_pid") == F.col("__run_c_pid")), "left")
+    first = F.col("run_rank") == 1
     return joined.select(
         *[F.col(f"`{c}`") for c in kept],
         (F.col("running_total") + F.coalesce("c_sum", F.lit(0))).alias("running_total"),
         (F.col("run_rank") + F.coalesce("c_n", F.lit(0))).alias("run_rank"),
         F.coalesce("c_head", "run_head").alias("run_head"),
+        *[F.when(first, F.col(f"c_{c}")).otherwise(F.col(c)).alias(c) for c in carried],
+        *([F.coalesce(f"last_{fill}", "c_fill").alias(f"last_{fill}")] if fill else []),
     )

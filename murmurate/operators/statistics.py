@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from murmurate.operators.skew import salted_join
 from murmurate.operators.sorted_runs import scan_runs
 from murmurate.schema import SENTIMENT_LABELS, col, require
 from murmurate.session import Scratch
@@ -22,13 +23,49 @@ def _stacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), col(c).cast("double").alias("value")) for c in columns])).alias("x")).select("x.*").where("value IS NOT NULL AND NOT isnan(value)")
 
 
+def quantiles(df: DataFrame, group: Sequence[str], value: str, ps: Sequence[float], scratch: Scratch | None = None) -> DataFrame:
+    """``<group>, n, q``: exact interpolated quantiles of each group, NULL and NaN left out.
+
+    Values are counted first, and a distributed running sum over the counts gives
+    every value its places; so no task holds the distinct values of a group.
+    NULL is a group of its own; a group without values has no row.
+    """
+    scratch = scratch or Scratch(df.sparkSession, "quantiles")
+    v = col(value).cast("double")
+    counts = df.select(*[col(g) for g in group], v.alias("__v")).where("__v IS NOT NULL AND NOT isnan(__v)").groupBy(*[col(g) for g in group], "__v").agg(F.count("*").alias("__n"))
+    placed = scan_runs(counts, group, ["__v"], scratch=scratch, value=F.col("__n"), keep=[*group, "__v"])
+    totals = placed.groupBy(*[col(g).alias(f"__g{i}") for i, g in enumerate(group)]).agg(F.max("running_total").alias("n"))
+    if group:
+        same = F.lit(True)
+        for i, g in enumerate(group):
+            same = same & col(g).eqNullSafe(F.col(f"__g{i}"))
+        placed = placed.join(totals, same)
+    else:
+        placed = placed.withColumn("n", F.lit(totals.first()[0]))
+    aggs = []
+    for i, p in enumerate(ps):
+        at = (F.col("n") - 1) * F.lit(float(p))
+        aggs += [F.min(F.when(F.col("running_total") > f(at), F.col("__v"))).alias(f"__{name}{i}") for name, f in (("lo", F.floor), ("hi", F.ceil))]
+    out = placed.groupBy(*[col(g) for g in group], "n").agg(*aggs)
+    parts = []
+    for i, p in enumerate(ps):
+        at, lo, hi = (F.col("n") - 1) * F.lit(float(p)), F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        parts.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi))
+    return out.select(*[col(g) for g in group], "n", F.array(*parts).alias("q"))
+
+
+def quantile(df: DataFrame, value: str, p: float) -> float | None:
+    """One exact quantile of a column, None where it has no value."""
+    row = quantiles(df, [], value, [p]).first()
+    return row["q"][0] if row else None
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact percentiles and maximum per feature."""
-    p = F.percentile("value", list(PERCENTILES))
-    out = _stacked(df, columns).groupBy("feature").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), p.alias("p"), F.max("value").alias("max")
-    )
-    return out.select("feature", "count", "mean", "std", "min", *[F.col("p")[i].alias(f"p{round(q * 100):02d}") for i, q in enumerate(PERCENTILES)], "max")
+    s = _stacked(df, columns)
+    out = s.groupBy("feature").agg(F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    out = out.join(quantiles(s, ["feature"], "value", PERCENTILES).drop("n"), "feature")
+    return out.select("feature", "count", "mean", "std", "min", *[F.col("q")[i].alias(f"p{round(q * 100):02d}") for i, q in enumerate(PERCENTILES)], "max")
 
 
 def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -45,7 +82,7 @@ def shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def outliers(df: DataFrame, columns: Sequence[str], fence: float = 1.5, z: float = 3.0) -> DataFrame:
     """Bounds and counts of values outside the quartile fence and beyond z deviations, per feature."""
     s = _stacked(df, columns)
-    q = s.groupBy("feature").agg(F.percentile("value", [0.25, 0.75]).alias("q"), F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))
+    q = s.groupBy("feature").agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s")).join(quantiles(s, ["feature"], "value", [0.25, 0.75]), "feature")
     width = F.col("q")[1] - F.col("q")[0]
     q = q.select("feature", (F.col("q")[0] - fence * width).alias("lower"), (F.col("q")[1] + fence * width).alias("upper"), "m", "s")
     # One row per feature.
@@ -107,23 +144,40 @@ def average_ranks(df: DataFrame, column: str, scratch: Scratch | None = None) ->
     """
     scratch = scratch or Scratch(df.sparkSession, "ranks")
     counts = df.where(col(column).isNotNull()).groupBy(col(column).alias("__value")).agg(F.count("*").alias("__n"))
-    placed = scan_runs(counts.withColumn("__one", F.lit(1)), ["__one"], ["__value"], scratch=scratch, value=F.col("__n"), keep=["__value", "__n"])
+    placed = scan_runs(counts, [], ["__value"], scratch=scratch, value=F.col("__n"), keep=["__value", "__n"])
     ranks = placed.select("__value", (F.col("running_total") - (F.col("__n") - 1) / 2.0).alias("rank"))
     return df.join(ranks, col(column) == F.col("__value")).drop("__value")
 
 
 def spearman(df: DataFrame, columns: Sequence[str], least: int = 100) -> DataFrame:
-    """``feature_a, feature_b, rho, n`` per pair over the rows where both are present; NULL below ``least``."""
-    out = None
-    for i, a in enumerate(columns):
-        for b in columns[i + 1 :]:
-            both = df.select(col(a).cast("double").alias("a"), col(b).cast("double").alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
-            ranked = average_ranks(average_ranks(both, "a").withColumnRenamed("rank", "ra"), "b")
-            row = ranked.agg(F.corr("ra", "rank").alias("rho"), F.count("*").alias("n")).select(
-                F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.when(F.col("n") >= least, F.col("rho")).alias("rho"), "n"
-            )
-            out = row if out is None else out.unionByName(row)
-    return out
+    """``feature_a, feature_b, rho, n`` per pair over the rows where both are present; NULL below ``least``.
+
+    Rows are counted by pair and values in one pass. Of these cells one scan
+    ranks the values of both sides of all pairs, and each cell meets its two
+    ranks by a salted join, as one value may fill a third of the cells.
+    """
+    scratch = Scratch(df.sparkSession, "spearman")
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    each = F.array(*[F.struct(F.lit(i).alias("pair"), col(a).cast("double").alias("a"), col(b).cast("double").alias("b")) for i, (a, b) in enumerate(pairs)])
+    cells = df.select(F.explode(each).alias("x")).select("x.*").where("a IS NOT NULL AND b IS NOT NULL").groupBy("pair", "a", "b").agg(F.count("*").alias("n"))
+    cells = scratch.write(cells, "cells")
+    values = cells.select("pair", "n", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("v")) for s in "ab"])).alias("x"))
+    values = values.groupBy("pair", F.col("x.side").alias("side"), F.col("x.v").alias("v")).agg(F.sum("n").alias("n"))
+    placed = scan_runs(values, ["pair", "side"], ["v"], scratch=scratch, value=F.col("n"))
+    rank = (F.col("running_total") - (F.col("n") - 1) / 2.0).alias("rank")
+    ranked = cells
+    for side, other in ("ab", "ba"):
+        of = placed.where(F.col("side") == side).select("pair", F.col("v").alias(side), rank.alias(f"r{side}"))
+        ranked = salted_join(ranked, of, ["pair", side], spread=[other])
+    x, y, n = F.col("ra"), F.col("rb"), F.col("n").cast("double")
+    total = ranked.groupBy("pair").agg(F.sum("n").alias("n"), *[F.sum(n * e).alias(k) for k, e in (("x", x), ("y", y), ("xx", x * x), ("yy", y * y), ("xy", x * y))])
+    # Ranks are numbers around the middle place, so their sums are taken as they are and centred here.
+    m = F.col("n").cast("double")
+    cov, vx, vy = (F.col("xy") - F.col("x") * F.col("y") / m), (F.col("xx") - F.col("x") * F.col("x") / m), (F.col("yy") - F.col("y") * F.col("y") / m)
+    rho = F.when(F.col("n") >= least, F.try_divide(cov, F.sqrt(vx * vy)))
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    out = total.select(F.get(names, F.col("pair")).alias("p"), rho.alias("rho"), "n")
+    return out.select(F.col("p.a").alias("feature_a"), F.col("p.b").alias("feature_b"), "rho", "n")
 
 
 def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -147,21 +201,27 @@ def normal_tail(z: float) -> float:
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, least: int = 30) -> dict:
-    """Two-sided asymptotic test of two groups (true, false) with tie and continuity correction."""
+    """Two-sided asymptotic test of two groups (true, false) with tie and continuity correction.
+
+    All sums come from one row per distinct value, ranked by a distributed scan.
+    """
     rows = df.select(col(value).cast("double").alias("v"), col(group).cast("boolean").alias("g")).where("v IS NOT NULL AND g IS NOT NULL")
-    ranked = average_ranks(rows, "v")
-    sums = {r["g"]: r for r in ranked.groupBy("g").agg(F.count("*").alias("n"), F.sum("rank").alias("r"), F.percentile("v", 0.5).alias("m")).collect()}
-    n1, n2 = (sums[g]["n"] if g in sums else 0 for g in (True, False))
+    scratch = Scratch(df.sparkSession, "ranks")
+    counts = rows.groupBy("v").agg(F.count("*").alias("t"), F.count_if("g").alias("n1"))
+    placed = scan_runs(counts, [], ["v"], scratch=scratch, value=F.col("t"))
+    rank, t = F.col("running_total") - (F.col("t") - 1) / 2.0, F.col("t").cast("double")
+    r = placed.agg(F.coalesce(F.sum("n1"), F.lit(0)), F.coalesce(F.sum(F.col("t") - F.col("n1")), F.lit(0)), F.sum(F.col("n1") * rank), F.sum(t * t * t - t)).first()
+    n1, n2, ranks, ties = r
     if min(n1, n2) < least:
         return {"n_true": n1, "n_false": n2, "u": None, "p_value": None}
-    ties = rows.groupBy("v").agg(F.count("*").cast("double").alias("t")).agg(F.sum(F.col("t") ** 3 - F.col("t"))).first()[0]
     n = n1 + n2
-    u = sums[True]["r"] - n1 * (n1 + 1) / 2
+    u = ranks - n1 * (n1 + 1) / 2
     sd = math.sqrt(n1 * n2 / 12 * ((n + 1) - ties / (n * (n - 1))))
     z = max(abs(u - n1 * n2 / 2) - 0.5, 0) / sd if sd else 0.0
+    medians = {m["g"]: m["q"][0] for m in quantiles(rows, ["g"], "v", [0.5], scratch).collect()}
     return {
         "n_true": n1, "n_false": n2, "u": u, "p_value": normal_tail(z), "rank_biserial": 2 * u / (n1 * n2) - 1,
-        "median_true": sums[True]["m"], "median_false": sums[False]["m"],
+        "median_true": medians[True], "median_false": medians[False],
     }
 
 
@@ -193,24 +253,38 @@ def gamma_tail(a: float, x: float) -> float:
 
 
 def chi_square(df: DataFrame, a: str, b: str, least_total: int = 0) -> dict:
-    """Test of independence of two categories, with Yates' correction at one degree, and Cramer's V."""
-    cells = df.where(col(a).isNotNull() & col(b).isNotNull()).groupBy(col(a).alias("a"), col(b).alias("b")).agg(F.count("*").alias("n"))
-    if least_total:
-        cells = cells.withColumn("t", F.sum("n").over(Window.partitionBy("a"))).where(F.col("t") >= least_total).drop("t")
-    rows = cells.collect()
-    xs, ys = sorted({r["a"] for r in rows}, key=str), sorted({r["b"] for r in rows}, key=str)
-    t = np.zeros((len(xs), len(ys)))
-    for r in rows:
-        t[xs.index(r["a"]), ys.index(r["b"])] = r["n"]
-    n, dof = t.sum(), max(len(xs) - 1, 0) * max(len(ys) - 1, 0)
+    """Test of independence of two categories, with Yates' correction at one degree, and Cramer's V.
+
+    Cells and their expected counts stay in Spark, whatever the number of
+    categories; cells without a row add what the others' expected counts lack.
+    Values of ``a`` with fewer than ``least_total`` rows are left out.
+    """
+    scratch = Scratch(df.sparkSession, "cells")
+    cells = df.where(col(a).isNotNull() & col(b).isNotNull()).groupBy(col(a).cast("string").alias("a"), col(b).cast("string").alias("b")).agg(F.count("*").alias("n"))
+    cells = scratch.write(cells, "cells")
+    across = cells.groupBy("a").agg(F.sum("n").alias("ra")).where(F.col("ra") >= least_total)
+    cells = scratch.write(cells.join(across, "a"), "kept")
+    down = cells.groupBy("b").agg(F.sum("n").alias("rb"))
+    n, xs, ys = cells.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("a"), F.count_distinct("b")).first()
+    dof = max(xs - 1, 0) * max(ys - 1, 0)
     if not dof or not n:
         return {"chi2": None, "dof": dof, "p_value": None, "cramers_v": None, "n": int(n)}
-    expected = t.sum(1, keepdims=True) @ t.sum(0, keepdims=True) / n
-    gap = np.abs(t - expected)
+    expected = F.col("ra").cast("double") * F.col("rb") / F.lit(float(n))
+    gap = F.abs(F.col("n") - expected)
     if dof == 1:
-        gap = gap - np.minimum(0.5, gap)
-    chi2 = float((gap**2 / expected).sum())
-    return {"chi2": chi2, "dof": dof, "p_value": gamma_tail(dof / 2, chi2 / 2), "cramers_v": math.sqrt(chi2 / n / min(len(xs) - 1, len(ys) - 1)), "n": int(n)}
+        gap = gap - F.least(F.lit(0.5), gap)
+    near = cells.join(down, "b")
+    chi2, e = near.agg(F.sum(gap * gap / expected), F.sum(expected)).first()
+    chi2 += _empty_cell(near, n) if dof == 1 else max(n - e, 0.0)
+    return {"chi2": chi2, "dof": dof, "p_value": gamma_tail(dof / 2, chi2 / 2), "cramers_v": math.sqrt(chi2 / n / min(xs - 1, ys - 1)), "n": int(n)}
+
+
+def _empty_cell(near: DataFrame, n: int) -> float:
+    """What the empty cells of a table of two by two add, with the correction; there are at most two."""
+    rows = near.select("a", "b", "ra", "rb").collect()
+    across, down, full = {r["a"]: r["ra"] for r in rows}, {r["b"]: r["rb"] for r in rows}, {(r["a"], r["b"]) for r in rows}
+    missing = [across[x] * down[y] / n for x in across for y in down if (x, y) not in full]
+    return sum((e - min(0.5, e)) ** 2 / e for e in missing)
 
 
 def holm(df: DataFrame, p: str = "p_value", name: str = "hypothesis") -> DataFrame:

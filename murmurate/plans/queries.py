@@ -55,12 +55,8 @@ def lexicon(spark: SparkSession, d: str):
     return lexicons.lexicon_rows(table(spark, d, "tech_lexicon"))
 
 
-def releases(spark: SparkSession, d: str) -> list[str]:
-    """The calendar as dates; larger ones than a few hundred belong into the as-of join."""
-    rows = table(spark, d, "release_calendar").where("release_date IS NOT NULL").select(F.to_date("release_date").cast("string")).distinct().limit(501).collect()
-    if len(rows) > 500:
-        raise ValueError("the release calendar is too long for a constant array")
-    return sorted(r[0] for r in rows)
+def calendar(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "release_calendar")
 
 
 # --- sessions ------------------------------------------------------------------------------------
@@ -158,23 +154,21 @@ def parsed_dates(spark: SparkSession, d: str) -> DataFrame:
 
 def release_distance(spark: SparkSession, d: str) -> DataFrame:
     s = silver(spark, d).where("date IS NOT NULL").select("message_id", "date")
-    return nullable_counts_as_doubles(s.withColumns(prepare.release_distance(col("date"), releases(spark, d))).drop("date"), ("days_",))
+    return nullable_counts_as_doubles(prepare.with_release_distance(s, calendar(spark, d)).drop("date"), ("days_",))
 
 
 def asof_calendar(spark: SparkSession, d: str) -> DataFrame:
     s = silver(spark, d).select("message_id", "date")
-    cal = table(spark, d, "release_calendar")
-    return joins.asof_join(s, cal, left_on="date", right_on="release_date", values=["release_name"]).select("message_id", "release_name")
+    return joins.asof_join(s, calendar(spark, d), left_on="date", right_on="release_date", values=["release_name"]).select("message_id", "release_name")
 
 
 def asof_next_release(spark: SparkSession, d: str) -> DataFrame:
     s = silver(spark, d).select("message_id", "date")
-    cal = table(spark, d, "release_calendar")
-    return joins.asof_join(s, cal, left_on="date", right_on="release_date", values=["release_name"], direction="forward").select("message_id", "release_name")
+    return joins.asof_join(s, calendar(spark, d), left_on="date", right_on="release_date", values=["release_name"], direction="forward").select("message_id", "release_name")
 
 
 def prepared_bronze(spark: SparkSession, d: str) -> DataFrame:
-    return prepare.prepare_bronze(table(spark, d, "dialoguetext_196"), releases(spark, d), ("row_id",))
+    return rounded(nullable_counts_as_doubles(prepare.prepare_bronze(table(spark, d, "dialoguetext_196"), calendar(spark, d), ("row_id",)), ("days_",)))
 
 
 def first_message(spark: SparkSession, d: str) -> DataFrame:
@@ -254,7 +248,7 @@ def glued_review(spark: SparkSession, d: str) -> DataFrame:
 
 def core_silver(spark: SparkSession, d: str) -> DataFrame:
     """Bronze to silver with its default options, one row per message."""
-    return bronze_to_silver(table(spark, d, "dialoguetext_196"), lexicon(spark, d), releases=releases(spark, d))
+    return bronze_to_silver(table(spark, d, "dialoguetext_196"), lexicon(spark, d), releases=calendar(spark, d))
 
 
 def match_tallies(spark: SparkSession, d: str) -> DataFrame:
