@@ -110,12 +110,6 @@ def _pairs(columns: list[str], query: str) -> str:
     return " UNION ALL ".join(query.format(a=a, b=b) for i, a in enumerate(columns) for b in columns[i + 1 :])
 
 
-def _pattern(kind: str) -> str:
-    from murmurate.functions.structural import PATTERNS
-
-    return PATTERNS[kind].replace("(?U)", "").replace("(?iU)", "(?i)").replace("'", "''")
-
-
 def nudged(query: str) -> str:
     """Each ``round(x, 6)`` as ``round(x + 1e-9, 6)``, as the queries round."""
     out, at = "", 0
@@ -136,12 +130,13 @@ def nudged(query: str) -> str:
 
 
 def sql() -> dict[str, str]:
-    return {name: nudged(q) for name, q in _sql().items()}
+    from murmurate.plans import oracle_text
+
+    return {name: nudged(q) for name, q in _sql().items()} | oracle_text.sql()
 
 
 def _sql() -> dict[str, str]:
     numbers = ["text_length", "word_count", "vader_compound", "transformer_score"]
-    simple = ("ordinal", "time_of_day", "aspect_ratio", "video_resolution", "reference_year", "binary_dump")
     turn = 'WINDOW w AS (PARTITION BY conversation_id ORDER BY date, message_id)'
     gap = "(epoch_us(date) - epoch_us(lag(date) OVER w)) / 60000000.0::DOUBLE"
     releases = "(SELECT list(DISTINCT release_date::DATE) FROM release_calendar)"
@@ -197,7 +192,6 @@ def _sql() -> dict[str, str]:
         "asof_next_release": f"WITH {S} SELECT message_id, release_name FROM s ASOF LEFT JOIN (SELECT release_name, (release_date AT TIME ZONE 'UTC') AS r FROM release_calendar) ON s.date <= r",
         "first_message": f"WITH {DATED} SELECT conversation_id, message_id FROM (SELECT conversation_id, message_id, row_number() OVER (PARTITION BY conversation_id ORDER BY date, message_id) AS nr FROM m) WHERE nr = 1",
         "conversation_sample": f"""WITH {S}, k AS (SELECT DISTINCT conversation_id FROM s WHERE conversation_id IS NOT NULL ORDER BY md5('42::' || conversation_id::VARCHAR), conversation_id LIMIT 200) SELECT conversation_id, message_id FROM s SEMI JOIN k USING (conversation_id)""",
-        "structural_tallies": " UNION ALL ".join(f"SELECT '{k}' AS category, sum(len(regexp_extract_all(coalesce(text, ''), '{_pattern(k)}')))::BIGINT AS matches FROM dialoguetext_196" for k in simple),
         "script_labels": "SELECT count(*) FILTER (regexp_matches(coalesce(text, ''), '\\p{Cyrillic}')) AS cyrillic, count(*) FILTER (regexp_matches(coalesce(text, ''), '\\p{Greek}')) AS greek, count(*) AS rows FROM dialoguetext_196",
         "character_counts": "SELECT ch, count(*) AS occurrences FROM (SELECT unnest(string_split(coalesce(text, ''), '')) AS ch FROM dialoguetext_196) WHERE ch <> '' AND NOT regexp_full_match(ch, '[A-Za-z ]') GROUP BY 1",
         "single_word_terms": f"""SELECT row_id, term, count(*) AS occurrences FROM (SELECT row_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '{_WORD}+')) AS term FROM dialoguetext_196) WHERE term IN (SELECT lower(term) FROM tech_lexicon) GROUP BY 1, 2""",

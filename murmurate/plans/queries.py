@@ -193,11 +193,8 @@ def structural_matches(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row_id", "m.match", "m.category")
 
 
-SIMPLE_KINDS = ("ordinal", "time_of_day", "aspect_ratio", "video_resolution", "reference_year", "binary_dump")
-
-
 def structural_tallies(spark: SparkSession, d: str) -> DataFrame:
-    parts = [F.struct(F.lit(k).alias("category"), F.regexp_count(col("text_cleaned"), F.lit(structural.PATTERNS[k])).alias("n")) for k in SIMPLE_KINDS]
+    parts = [F.struct(F.lit(k).alias("category"), F.size(structural.matches(col("text_cleaned"), k)).alias("n")) for k in structural.TRACKED]
     return texts(spark, d).select(F.explode(F.array(*parts)).alias("x")).groupBy("x.category").agg(F.sum("x.n").alias("matches"))
 
 
@@ -243,7 +240,8 @@ def glued_matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def glued_review(spark: SparkSession, d: str) -> DataFrame:
-    return lexicons.glued_review(texts(spark, d).select(lexicons.glued_matches(col("text_cleaned"), lexicon(spark, d)).alias("glued_matches")))
+    found = texts(spark, d).select(lexicons.glued_matches(col("text_cleaned"), lexicon(spark, d)).alias("glued_matches"))
+    return lexicons.glued_review(found).withColumn("examples", F.array_join("examples", " "))
 
 
 def core_silver(spark: SparkSession, d: str) -> DataFrame:
