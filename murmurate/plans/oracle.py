@@ -132,7 +132,37 @@ def nudged(query: str) -> str:
 def sql() -> dict[str, str]:
     from murmurate.plans import oracle_text
 
-    return {name: nudged(q) for name, q in _sql().items()} | oracle_text.sql()
+    prepared = prepared_bronze()
+    whole = f"WITH {prepared} SELECT * FROM prepared"
+    return {name: nudged(q) for name, q in _sql().items()} | oracle_text.sql() | {
+        "prepared_bronze": nudged(whole),
+        "core_silver": oracle_text.core_silver(nudged(prepared), "prepared.*"),
+    }
+
+
+def prepared_bronze() -> str:
+    """CTEs that end in ``prepared``: every column of prepared messages."""
+    gap = "(epoch_us(date) - epoch_us(lag(date) OVER w)) / 60000000.0::DOUBLE"
+    word_count = "trim(regexp_replace(text, '[\\s\\x0B\\x{85}\\p{Z}]+', ' ', 'g'))"
+    releases = "(SELECT list(DISTINCT release_date::DATE) FROM release_calendar)"
+    return BRONZE + f""",
+d0 AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY date, "from", text ORDER BY row_id) = 1),
+d1 AS (SELECT *, count(DISTINCT "from") OVER (PARTITION BY conversation_id) AS n, min("from") OVER (PARTITION BY conversation_id) AS one, max("from") OVER (PARTITION BY conversation_id) AS two FROM d0),
+d2 AS (SELECT * REPLACE (coalesce("from", CASE WHEN n = 2 AND "to" = one THEN two WHEN n = 2 AND "to" = two THEN one END) AS "from") FROM d1),
+d3 AS (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY date, row_id) AS nr FROM d2 WHERE "from" IS NOT NULL),
+d4 AS (SELECT row_id, folder, dialogue AS dialogue_id, date, "from", text, conversation_id, nr, coalesce("to", CASE WHEN n <= 1 THEN '__UNANSWERED__' WHEN nr = 1 THEN '__ALL__' WHEN n = 2 THEN CASE WHEN "from" = one THEN two WHEN "from" = two THEN one END ELSE '__ALL__' END) AS "to" FROM d3),
+d5 AS (SELECT *, sha256(conversation_id || '::' || strftime(date, '%Y-%m-%d %H:%M:%S.%f') || '::' || coalesce("from", '<NULL>') || '::' || coalesce("to", '<NULL>') || '::' || text) AS message_id FROM d4),
+d6 AS (SELECT conversation_id, min(date) AS conversation_start, max(date) AS conversation_end, count(*) AS conversation_message_count, count(DISTINCT "from") > 1 AS conversation_was_answered FROM d5 GROUP BY 1),
+d7 AS (SELECT conversation_id, count(DISTINCT x) AS k FROM (SELECT conversation_id, unnest(["from", "to"]) AS x FROM d5) WHERE x NOT IN ({_SENT}) GROUP BY 1),
+d8 AS (SELECT message_id, conversation_id, date, "from", "to", row_id, folder, dialogue_id, text, conversation_start, conversation_end, conversation_message_count, conversation_was_answered, coalesce(k, 0) AS conversation_participant_count,
+  round((epoch_us(conversation_end) - epoch_us(conversation_start)) / 60000000.0::DOUBLE, 6) AS conversation_duration_mins, "from" = first_value("from") OVER w AS is_op, nr - 1 AS turn_count, round({gap}, 6) AS response_gap_mins,
+  round(CASE WHEN "from" <> lag("from") OVER w THEN {gap} END, 6) AS response_gap_mins_between_speakers, count(*) OVER (PARTITION BY "from", date_trunc('month', date)) AS user_messages_this_month,
+  row_number() OVER (PARTITION BY "from" ORDER BY date, message_id) AS user_message_count, length(text) AS text_length, CASE WHEN {word_count} = '' THEN 0 ELSE len(string_split({word_count}, ' ')) END AS word_count,
+  year(date)::INT AS year, month(date)::INT AS month, day(date)::INT AS day, dayname(date) AS day_of_week, hour(date)::INT AS hour,
+  date_diff('day', list_max(list_filter({releases}, lambda r: r <= date::DATE)), date::DATE)::DOUBLE AS days_since_release, date_diff('day', date::DATE, list_min(list_filter({releases}, lambda r: r >= date::DATE)))::DOUBLE AS days_until_release
+  FROM d5 JOIN d6 USING (conversation_id) LEFT JOIN d7 USING (conversation_id) WINDOW w AS (PARTITION BY conversation_id ORDER BY nr)),
+prepared AS (SELECT *, {buckets('user_messages_this_month', *TIER_BOUNDS)} AS user_tier, {buckets('days_since_release', *RELEASE_BOUNDS)} AS days_since_release_bucket, {buckets('days_until_release', *RELEASE_BOUNDS)} AS days_until_release_bucket,
+  {buckets('text_length', *TEXT_BOUNDS)} AS text_length_bucket, {buckets('word_count', *WORD_BOUNDS)} AS word_count_bucket, {buckets('response_gap_mins_between_speakers', *GAP_BOUNDS)} AS response_gap_bucket FROM d8)"""
 
 
 def _sql() -> dict[str, str]:
@@ -192,7 +222,6 @@ def _sql() -> dict[str, str]:
         "asof_next_release": f"WITH {S} SELECT message_id, release_name FROM s ASOF LEFT JOIN (SELECT release_name, (release_date AT TIME ZONE 'UTC') AS r FROM release_calendar) ON s.date <= r",
         "first_message": f"WITH {DATED} SELECT conversation_id, message_id FROM (SELECT conversation_id, message_id, row_number() OVER (PARTITION BY conversation_id ORDER BY date, message_id) AS nr FROM m) WHERE nr = 1",
         "conversation_sample": f"""WITH {S}, k AS (SELECT DISTINCT conversation_id FROM s WHERE conversation_id IS NOT NULL ORDER BY md5('42::' || conversation_id::VARCHAR), conversation_id LIMIT 200) SELECT conversation_id, message_id FROM s SEMI JOIN k USING (conversation_id)""",
-        "script_labels": "SELECT count(*) FILTER (regexp_matches(coalesce(text, ''), '\\p{Cyrillic}')) AS cyrillic, count(*) FILTER (regexp_matches(coalesce(text, ''), '\\p{Greek}')) AS greek, count(*) AS rows FROM dialoguetext_196",
         "character_counts": "SELECT ch, count(*) AS occurrences FROM (SELECT unnest(string_split(coalesce(text, ''), '')) AS ch FROM dialoguetext_196) WHERE ch <> '' AND NOT regexp_full_match(ch, '[A-Za-z ]') GROUP BY 1",
         "single_word_terms": f"""SELECT row_id, term, count(*) AS occurrences FROM (SELECT row_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '{_WORD}+')) AS term FROM dialoguetext_196) WHERE term IN (SELECT lower(term) FROM tech_lexicon) GROUP BY 1, 2""",
         "match_tallies": f"WITH {S} SELECT 'technical' AS lexicon, term, count(*) AS occurrences FROM (SELECT lower(unnest(tech_lexicon_matches).term) AS term FROM s) GROUP BY 2",

@@ -11,6 +11,8 @@ from __future__ import annotations
 from murmurate.functions.normalize import CORRECTIONS, LATIN_CORRECTIONS
 from murmurate.operators.lexicons import DEFAULT_SLANG
 from murmurate.operators.linguistic import NEGATIONS, STOPWORDS
+from murmurate.operators.sentiment import BOOSTERS, VALENCE
+from murmurate.operators.sentiment import NEGATIONS as SHIFTERS
 from murmurate.schema import LANGUAGE_LABELS, PLACEHOLDERS
 
 W = "\\p{L}\\p{M}\\p{N}_"
@@ -204,19 +206,116 @@ _CLASSES = (
 CHARS = f"chars AS (SELECT row_id, unnest(string_split({TEXT}, '')) AS ch FROM dialoguetext_196), odd AS (SELECT ch, count(*) AS n FROM chars WHERE ch <> '' AND NOT regexp_full_match(ch, '[A-Za-z ]') GROUP BY 1)"
 
 
+# --- sentiment ---------------------------------------------------------------------------------------------
+
+
+def without_labels(text: str) -> str:
+    from murmurate.schema import STRIPPED_LABELS
+
+    return f"regexp_replace({text}, '\\b(?:{'|'.join(sorted(STRIPPED_LABELS, key=len, reverse=True))})\\b', '', 'g')"
+
+
+def vader(source: str, key: str, text: str) -> str:
+    """CTEs that end in ``scored(<key>, vader_…)``: the published rules word by word.
+
+    The scores of a text are a list of structs; each rule is one step over that list.
+    """
+    valence = "MAP {" + ", ".join(f"{q(k)}: {v}::DOUBLE" for k, v in VALENCE.items()) + "}"
+    boost = "MAP {" + ", ".join(f"{q(k)}: {v}::DOUBLE" for k, v in BOOSTERS.items()) + "}"
+    negations = listed(SHIFTERS)
+    signs = "[!\\x22#$%&''()*+,./:;<=>?@\\[\\\\\\]^_`{|}~-]+"
+
+    def back(n: int) -> str:
+        j, v = f"w[x.i - {n}]", "x.v"
+        decay = {1: "1.0", 2: "0.95", 3: "0.9"}[n]
+        step = f"({boost}[{j}] * CASE WHEN {v} < 0 THEN -1 ELSE 1 END)"
+        loud = f"CASE WHEN mixed AND up[x.i - {n}] THEN CASE WHEN {step} < 0 THEN -0.733 ELSE 0.733 END ELSE 0 END"
+        raised = f"({v} + coalesce(({step} + {loud}) * {decay}, 0))"
+        so = f"({j} = 'never' AND ({' OR '.join(f"w[x.i - {k}] IN ('so', 'this')" for k in range(1, n))}))" if n > 1 else "false"
+        turned = f"CASE WHEN {so} THEN {1.25 if n == 3 else 1.5} WHEN {j} = 'without' AND w[x.i - {n} + 1] = 'doubt' THEN 1 ELSE -0.74 END"
+        negated = f"({j} IN ({negations}) OR contains({j}, 'n''t') OR {j} = 'no')"
+        seen = f"x.i > {n} AND ({valence}[{j}] IS NULL OR {j} = 'no')"
+        return f"list_transform(s, lambda x: {{'i': x.i, 'v': CASE WHEN x.v IS NULL OR NOT ({seen}) THEN x.v ELSE {raised} * CASE WHEN {negated} THEN {turned} ELSE 1 END END}})"
+
+    first = f"CASE WHEN {valence}[w[i]] IS NULL OR {boost}[w[i]] IS NOT NULL THEN NULL WHEN w[i] = 'no' AND {valence}[w[i + 1]] IS NOT NULL THEN 0.0 ELSE {valence}[w[i]] END"
+    return f"""
+v0 AS (SELECT {key}, {without_labels(text)} AS t FROM {source}),
+v1 AS (SELECT {key}, t, list_transform(list_filter(string_split(regexp_replace(t, '[\\s\\x0B\\x1C-\\x1F\\x{{85}}\\p{{Z}}]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: CASE WHEN length(regexp_replace(w, '^{signs}|{signs}$', '', 'g')) > 2 THEN regexp_replace(w, '^{signs}|{signs}$', '', 'g') ELSE w END) AS o FROM v0 WHERE regexp_matches(t, '\\p{{L}}')),
+v2 AS (SELECT {key}, t, list_transform(o, lambda w: lower(w)) AS w, list_transform(o, lambda w: w = upper(w) AND w <> lower(w)) AS up FROM v1),
+v3 AS (SELECT *, list_contains(up, true) AND list_contains(up, false) AS mixed FROM v2),
+v4 AS (SELECT *, list_transform(range(1, len(w) + 1), lambda i: {{'i': i, 'v': {first}}}) AS s FROM v3),
+v5 AS (SELECT * REPLACE (list_transform(s, lambda x: {{'i': x.i, 'v': CASE WHEN mixed AND up[x.i] THEN x.v + CASE WHEN x.v < 0 THEN -0.733 ELSE 0.733 END ELSE x.v END}}) AS s) FROM v4),
+v6 AS (SELECT * REPLACE ({back(1)} AS s) FROM v5), v7 AS (SELECT * REPLACE ({back(2)} AS s) FROM v6), v8 AS (SELECT * REPLACE ({back(3)} AS s) FROM v7),
+v9 AS (SELECT *, list_position(w, 'but') AS b, list_transform(s, lambda x: coalesce(x.v * CASE WHEN x.i > 1 AND w[x.i - 1] = 'least' AND NOT (x.i > 2 AND coalesce(w[x.i - 2] IN ('at', 'very'), false)) THEN -0.74 ELSE 1 END, 0)) AS y FROM v8),
+v10 AS (SELECT *, list_transform(range(1, len(y) + 1), lambda i: y[i] * CASE WHEN coalesce(b, 0) = 0 OR i = b THEN 1 WHEN i < b THEN 0.5 ELSE 1.5 END) AS z, least(len(regexp_extract_all(t, '!')), 4) * 0.292::DOUBLE AS ex, len(regexp_extract_all(t, '\\?')) AS asks FROM v9),
+v11 AS (SELECT *, ex + CASE WHEN asks > 3 THEN 0.96 WHEN asks > 1 THEN asks * 0.18 ELSE 0 END::DOUBLE AS marks, coalesce(list_sum(z), 0)::DOUBLE AS total, coalesce(list_sum(list_transform(list_filter(z, lambda k: k > 0), lambda k: k + 1)), 0)::DOUBLE AS po,
+ -coalesce(list_sum(list_transform(list_filter(z, lambda k: k < 0), lambda k: k - 1)), 0)::DOUBLE AS ne, len(list_filter(z, lambda k: k = 0)) AS nu FROM v10),
+v12 AS (SELECT {key}, total + CASE WHEN total > 0 THEN marks WHEN total < 0 THEN -marks ELSE 0 END AS total, po + CASE WHEN po > ne THEN marks ELSE 0 END AS po, ne + CASE WHEN po < ne THEN marks ELSE 0 END AS ne, nu FROM v11),
+v13 AS (SELECT {key}, printf('%.3f', ne / (po + ne + nu))::DOUBLE AS vader_negative, printf('%.3f', nu / (po + ne + nu))::DOUBLE AS vader_neutral, printf('%.3f', po / (po + ne + nu))::DOUBLE AS vader_positive, printf('%.4f', total / sqrt(total * total + 15))::DOUBLE AS vader_compound FROM v12),
+scored AS (SELECT {key}, vader_negative, vader_neutral, vader_positive, vader_compound, CASE WHEN vader_compound >= 0.05 THEN 'POSITIVE' WHEN vader_compound <= -0.05 THEN 'NEGATIVE' WHEN vader_compound IS NOT NULL THEN 'NEUTRAL' END AS vader_label
+ FROM v0 LEFT JOIN v13 USING ({key}))"""
+
+
+def core_silver(prepared: str, columns: str) -> str:
+    """Prepared messages with all core and enriched features; lists as JSON text."""
+    text = "text_cleaned"
+    glued = TERMS.replace("lex AS", "lexg AS").replace("WHERE term <> ''", f"WHERE length(term) >= 4 AND regexp_full_match(term, '[{P}]+')").split(", cat AS")[0]
+    slang = _map({t.lower() if k not in _SIGN_TYPES else t: f"{k}\t{m}" for t, k, m in DEFAULT_SLANG})
+    part = lambda v, i: f"split_part({v}, '\t', {i})"
+    entry = f"coalesce({slang}[k], {slang}[lower(k)])"
+    terms = f"list_transform({terms_in(text)}, lambda m: {{'term': m, 'category': (MAP_FROM_ENTRIES(cats))[lower(m)]}})"
+    accounted = f"""flatten([flatten(list_transform(tech, lambda m: {_words('lower(m.term)')})), flatten(list_transform(slang, lambda m: {_words('lower(m.token)')})),
+  flatten(list_transform(struc, lambda m: {_words('lower(m.match)')})), list_transform(glue, lambda m: lower(m.term)), list_transform(glue, lambda m: lower(m.run))])"""
+    bare = f"coalesce({without_labels(text)}, '')"
+    tokens = f"regexp_extract_all({bare}, '[{W}]+(?:[''’.-][{W}]+)*|[^{W}\\s\\x0B\\x{{85}}\\p{{Z}}]')"
+    counts = [f"{n}_count" for n in PLACEHOLDERS]
+    return normalized(f"WITH {TERMS}, {glued}, {prepared},", "prepared", "message_id", "text") + f""",
+x0 AS (SELECT message_id, {structures(text)} AS struc, {anonymized(text)} AS text_cleaned FROM spelt),
+ca AS (SELECT list({{'k': t, 'v': category}}) AS cats FROM cat),
+x1 AS (SELECT x0.*, {counted(text)}, {terms} AS tech, list_transform({slang_in(text)}, lambda k: {{'token': k, 'type': {part(entry, 1)}, 'meaning': {part(entry, 2)}}}) AS slang FROM x0, ca),
+gq AS (SELECT message_id, unnest(regexp_extract_all(text_cleaned, '[{P}]+')) AS run, generate_subscripts(regexp_extract_all(text_cleaned, '[{P}]+'), 1) AS pos FROM x0),
+gm AS (SELECT message_id, pos, run, regexp_replace(lower(run), '(' || (SELECT alternatives FROM lexg) || ')', '\ue001\\1\ue002', 'g') AS m FROM gq),
+gh AS (SELECT message_id, pos, run, m, unnest(regexp_extract_all(m, '\ue001([^\ue002]*)\ue002', 1)) AS term, generate_subscripts(regexp_extract_all(m, '\ue001([^\ue002]*)\ue002', 1), 1) AS i, len(regexp_extract_all(m, '\ue001')) AS n FROM gm WHERE contains(m, '\ue001')),
+gs AS (SELECT *, i = 1 AND starts_with(m, '\ue001') AS l, i = n AND ends_with(m, '\ue002') AS r FROM gh),
+gg AS (SELECT message_id, list({{'term': term, 'category': category, 'glue': CASE WHEN l THEN 'prefix' WHEN r THEN 'suffix' ELSE 'infix' END, 'run': run}} ORDER BY pos, i) AS glue FROM gs JOIN cat ON cat.t = term
+ WHERE NOT (l AND r) AND upper(run) NOT IN ({listed(PLACEHOLDERS.values())}) GROUP BY 1),
+x2 AS (SELECT x1.*, coalesce(glue, []) AS glue FROM x1 LEFT JOIN gg USING (message_id)),
+x3 AS (SELECT *, {residuals(text, accounted)} AS res FROM x2),
+l0 AS (SELECT message_id, {tokens} AS k, string_split(regexp_replace(regexp_replace({bare}, '([.!?])\\s+', '\\1\ue000', 'g'), '\\n+', '\ue000', 'g'), '\ue000') AS s FROM x2),
+{linguistic('l0', 'message_id')},
+{vader('x2', 'message_id', text)}
+SELECT {columns}, text_cleaned, to_json(struc)::VARCHAR AS structural_matches, {', '.join(counts)}, to_json(tech)::VARCHAR AS tech_lexicon_matches, to_json(slang)::VARCHAR AS slang_matches, to_json(glue)::VARCHAR AS glued_matches,
+ len(tech) AS tech_lexicon_match_count, len(slang) AS slang_match_count, len(glue) AS glued_match_count, len(struc) + {' + '.join(counts)} + len(tech) + len(slang) + len(glue) > 0 AS has_lexicon_match,
+ to_json(res)::VARCHAR AS residual_words, len(res) > 0 AS has_residual, scored.* EXCLUDE (message_id), said.* EXCLUDE (message_id)
+FROM prepared JOIN x3 USING (message_id) JOIN scored USING (message_id) JOIN said USING (message_id)"""
+
+
+def linguistic(source: str, key: str) -> str:
+    """CTEs from ``source(<key>, k, s)``, tokens and sentences, that end in ``said(<key>, nlp_…)``."""
+    ratio = lambda a, b: f"coalesce({a} / nullif({b}, 0)::DOUBLE, 0.0)"
+    return f"""l1 AS (SELECT *, list_filter(k, lambda w: regexp_full_match(w, '\\p{{L}}+')) AS al, len(list_filter(s, lambda x: trim(x, ' ') <> '')) AS sn FROM {source}),
+l2 AS (SELECT *, len(list_distinct(list_transform(al, lambda w: lower(w)))) AS un FROM l1),
+said AS (SELECT {key}, len(k)::INT AS nlp_token_count, len(al)::INT AS nlp_alpha_token_count, un::INT AS nlp_unique_alpha_token_count, {ratio('un', 'len(al)')} AS nlp_lexical_diversity, sn::INT AS nlp_sentence_count,
+ {ratio('len(k)', 'sn')} AS nlp_avg_sentence_tokens, len(list_filter(k, lambda w: lower(w) IN ({listed(STOPWORDS)})))::INT AS nlp_stopword_count,
+ len(list_filter(k, lambda w: lower(w) IN ({listed(NEGATIONS)})))::INT AS nlp_negation_count, len(list_filter(k, lambda w: regexp_full_match(w, '\\p{{P}}')))::INT AS nlp_punctuation_count,
+ len(list_filter(k, lambda w: w = '!'))::INT AS nlp_exclamation_count, len(list_filter(k, lambda w: w = '?'))::INT AS nlp_question_count,
+ len(list_filter(k, lambda w: length(w) > 1 AND w = upper(w) AND w <> lower(w)))::INT AS nlp_uppercase_token_count FROM l2)"""
+
+
+def scripts_labelled(text: str) -> str:
+    for label, script in _SCRIPTS.items():
+        text = f"regexp_replace({text}, '\\p{{{script}}}+', ' {label.upper()} ', 'g')"
+    for label in _SCRIPTS:
+        text = f"regexp_replace({text}, '\\b{label.upper()}(?:\\s+{label.upper()}\\b)+', '{label.upper()}', 'g')"
+    return f"trim(regexp_replace({text}, ' {{2,}}', ' ', 'g'), ' ')"
+
+
 def sql() -> dict[str, str]:
     cases = " ".join(f"WHEN regexp_full_match(ch, {q(p)}) THEN '{n}'" for p, n in _CLASSES)
     found = f"matched AS (SELECT row_id, {TEXT} AS t, {terms_in(TEXT)} AS terms FROM dialoguetext_196)"
     tokens = f"regexp_extract_all({TEXT}, '[{W}]+(?:[''’.-][{W}]+)*|[^{W}\\s\\x0B\\x{{85}}\\p{{Z}}]')"
-    ratio = lambda a, b: f"coalesce({a} / nullif({b}, 0)::DOUBLE, 0.0)"
     lang = f"""WITH t AS (SELECT row_id, {tokens} AS k, string_split(regexp_replace(regexp_replace({TEXT}, '([.!?])\\s+', '\\1\ue000', 'g'), '\\n+', '\ue000', 'g'), '\ue000') AS s FROM dialoguetext_196),
-a AS (SELECT *, list_filter(k, lambda w: regexp_full_match(w, '\\p{{L}}+')) AS al, len(list_filter(s, lambda x: trim(x) <> '')) AS sn FROM t),
-c AS (SELECT *, len(list_distinct(list_transform(al, lambda w: lower(w)))) AS un FROM a)
-SELECT row_id, len(k)::INT AS nlp_token_count, len(al)::INT AS nlp_alpha_token_count, un::INT AS nlp_unique_alpha_token_count, {ratio('un', 'len(al)')} AS nlp_lexical_diversity, sn::INT AS nlp_sentence_count,
- {ratio('len(k)', 'sn')} AS nlp_avg_sentence_tokens, len(list_filter(k, lambda w: lower(w) IN ({listed(STOPWORDS)})))::INT AS nlp_stopword_count,
- len(list_filter(k, lambda w: lower(w) IN ({listed(NEGATIONS)})))::INT AS nlp_negation_count, len(list_filter(k, lambda w: regexp_full_match(w, '\\p{{P}}')))::INT AS nlp_punctuation_count,
- len(list_filter(k, lambda w: w = '!'))::INT AS nlp_exclamation_count, len(list_filter(k, lambda w: w = '?'))::INT AS nlp_question_count,
- len(list_filter(k, lambda w: length(w) > 1 AND w = upper(w) AND w <> lower(w)))::INT AS nlp_uppercase_token_count FROM c"""
+{linguistic('t', 'row_id')} SELECT * FROM said"""
     slang = _map({t.lower() if k not in _SIGN_TYPES else t: f"{k}\t{m}" for t, k, m in DEFAULT_SLANG})
     return {
         "anonymize_counts": f"WITH a AS (SELECT row_id, {anonymized(TEXT)} AS text_cleaned FROM dialoguetext_196) SELECT *, {counted('text_cleaned')} FROM a",
@@ -236,4 +335,6 @@ k AS (SELECT row_id, token, coalesce({slang}[token], {slang}[lower(token)]) AS v
         "rare_characters": f"""WITH {CHARS}, rare AS (SELECT list(ch) AS r FROM odd WHERE n < 10)
  SELECT row_id, array_to_string(list_transform(string_split({TEXT}, ''), lambda c: CASE WHEN list_contains(r, c) THEN '\ufffd' ELSE c END), '') AS text_cleaned FROM dialoguetext_196, rare""",
         "linguistic_features": lang,
+        "sentiment_scores": "WITH " + vader("dialoguetext_196", "row_id", TEXT) + " SELECT * FROM scored",
+        "script_labels": f"SELECT row_id, {scripts_labelled(TEXT)} AS text_cleaned FROM dialoguetext_196",
     }

@@ -75,7 +75,7 @@ def core_features(df: DataFrame, config: PipelineConfig, terms, slang=lexicons.D
 
 
 def bronze_to_silver(
-    bronze: DataFrame, terms, *, config: PipelineConfig | None = None, releases=(), dictionary: DataFrame | None = None, label_tables: dict[str, DataFrame] | None = None,
+    bronze: DataFrame, terms, *, config: PipelineConfig | None = None, releases=(), tie_break: Sequence[str] = (), dictionary: DataFrame | None = None, label_tables: dict[str, DataFrame] | None = None,
     classifier=None, backend=None, tagger=None, prepared: bool = False, slang: Sequence[tuple[str, str, str]] = lexicons.DEFAULT_SLANG,
     corrections: Mapping[str, str] | None = None, valence: Mapping[str, float] = sentiment.VALENCE, **options,
 ) -> DataFrame:
@@ -85,7 +85,7 @@ def bronze_to_silver(
     ``slang``, ``corrections`` and ``valence`` take the place of the small tables that ship.
     """
     config = (config or PipelineConfig()).updated(**options)
-    df = bronze if prepared else prepare_bronze(bronze, releases)
+    df = bronze if prepared else prepare_bronze(bronze, releases, tie_break)
     if config.sample_size:
         df = seeded_sample(df, config.sample_size, seed=config.random_state)
     df = core_features(df, config, terms, slang, corrections)

@@ -203,8 +203,7 @@ def normalized_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def script_labels(spark: SparkSession, d: str) -> DataFrame:
-    t = texts(spark, d).select(normalize.labelled_scripts(col("text_cleaned")).alias("t"))
-    return t.agg(F.count_if(F.col("t").contains("CYRILLIC")).alias("cyrillic"), F.count_if(F.col("t").contains("GREEK")).alias("greek"), F.count("*").alias("rows"))
+    return texts(spark, d).withColumn("text_cleaned", normalize.labelled_scripts(col("text_cleaned")))
 
 
 def character_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -245,8 +244,10 @@ def glued_review(spark: SparkSession, d: str) -> DataFrame:
 
 
 def core_silver(spark: SparkSession, d: str) -> DataFrame:
-    """Bronze to silver with its default options, one row per message."""
-    return bronze_to_silver(table(spark, d, "dialoguetext_196"), lexicon(spark, d), releases=calendar(spark, d))
+    """Bronze to silver with its default options, one row per message; lists as JSON text."""
+    out = bronze_to_silver(table(spark, d, "dialoguetext_196"), lexicon(spark, d), releases=calendar(spark, d), tie_break=("row_id",))
+    lists = [f.name for f in out.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    return rounded(nullable_counts_as_doubles(out.withColumns({c: F.to_json(col(c)) for c in lists}), ("days_",)))
 
 
 def match_tallies(spark: SparkSession, d: str) -> DataFrame:
