@@ -68,7 +68,7 @@ def validate_core(df: DataFrame, text: str = "text_cleaned", *, max_nonword: flo
     return row | {"tokens": n, "nonword_rate": bad / n if n else 0.0, "passed": True}
 
 
-def _distribution_checks(prefix: str, parts: list[str], labels, tolerance: float) -> dict[str, Column]:
+def distribution_checks(prefix: str, parts: list[str], labels, tolerance: float) -> dict[str, Column]:
     cols = [col(c) for c in parts]
     some = F.lit(False)
     for c in cols:
@@ -88,13 +88,13 @@ def validate_sentiment(df: DataFrame, *, least_rows: int = 100, least_unique: in
     """Completeness, ranges, sums, labels against thresholds, and a minimum of different scores."""
     have, checks, unique = set(df.columns), {}, {}
     if set(VADER_COLUMNS) <= have:
-        checks |= _distribution_checks("vader", list(VADER_COLUMNS[:3]), SENTIMENT_LABELS, 0.002)
+        checks |= distribution_checks("vader", list(VADER_COLUMNS[:3]), SENTIMENT_LABELS, 0.002)
         c = col("vader_compound")
         right = F.when(c >= 0.05, "POSITIVE").when(c <= -0.05, "NEGATIVE").otherwise("NEUTRAL")
         checks |= {"vader_compound_range": F.abs(c) > 1, "vader_label_threshold": c.isNotNull() & (col("vader_label") != right)}
         unique["vader_compound"] = F.count_distinct("vader_compound")
     if set(TRANSFORMER_COLUMNS) <= have:
-        checks |= _distribution_checks("transformer", list(TRANSFORMER_COLUMNS[:3]), SENTIMENT_LABELS, 1e-4)
+        checks |= distribution_checks("transformer", list(TRANSFORMER_COLUMNS[:3]), SENTIMENT_LABELS, 1e-4)
         unique["transformer_score"] = F.count_distinct("transformer_score")
     if not checks:
         raise ValidationError("no sentiment columns")
@@ -119,7 +119,7 @@ def validate_nlp(df: DataFrame, *, coverage: float = 0.99, topic_coverage: float
     if {"topic_id", "topic_label"} <= have:
         checks["topic_half_set"] = col("topic_id").isNull() != col("topic_label").isNull()
     if "emotion_label" in have:
-        checks |= _distribution_checks("emotion", [f"emotion_{x.lower()}" for x in EMOTION_LABELS], EMOTION_LABELS, 1e-4)
+        checks |= distribution_checks("emotion", [f"emotion_{x.lower()}" for x in EMOTION_LABELS], EMOTION_LABELS, 1e-4)
     counts = enforce(df, checks, "NLP validation")
     row = df.agg(
         F.count("*").alias("n"),
@@ -148,10 +148,10 @@ def validate_unique(df: DataFrame, keys: list[str], context: str) -> None:
         raise ValidationError(f"{context}: {row['nulls']} NULL and {row['repeated']} repeated keys")
 
 
-def validate_silver(df: DataFrame, key: str = "message_id") -> dict:
+def validate_silver(df: DataFrame, key: str = "message_id", *, max_nonword: float = 0.25) -> dict:
     """Unique ids and all checks that the columns present allow."""
     validate_unique(df, [key], "silver")
-    out = validate_core(df) if "text_cleaned" in df.columns else {}
+    out = validate_core(df, max_nonword=max_nonword) if "text_cleaned" in df.columns else {}
     if {"vader_label", "transformer_label"} & set(df.columns):
         out |= validate_sentiment(df)
     if any(c.startswith(("nlp_", "topic_", "emotion_")) for c in df.columns):

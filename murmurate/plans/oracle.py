@@ -99,7 +99,6 @@ w AS (SELECT f.*, a.answered FROM f JOIN (SELECT conversation_id, count(DISTINCT
 _ALL = ", ".join(f"'{x}'" for x in LANGUAGE_LABELS)
 _WORD = "[\\p{L}\\p{M}\\p{N}_]"
 _TOKENS = f"regexp_extract_all(coalesce(text, ''), '{_WORD}+(?:[''-]{_WORD}+)*')"
-_SCRIPT = "regexp_matches(coalesce(text_cleaned, ''), '\\p{Cyrillic}')"
 
 
 def _stack(columns: list[str], source: str) -> str:
@@ -129,6 +128,48 @@ def nudged(query: str) -> str:
     return out + query[at:]
 
 
+APPLIED = f"""WITH {S}, v AS (SELECT DISTINCT lower(w) AS word FROM (SELECT unnest(residual_words) AS w FROM s) WHERE w IS NOT NULL AND NOT regexp_full_match(w, '\\d+')),
+pieces AS (SELECT message_id, text_cleaned, string_split(regexp_replace(text_cleaned, '({_WORD}+(?:[''-]{_WORD}+)*)', '\ue000\\1\ue000', 'g'), '\ue000') AS p FROM s),
+flat AS (SELECT message_id, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM pieces),
+built AS (SELECT message_id, string_agg(CASE WHEN i % 2 = 0 AND word IS NOT NULL THEN 'NONWORD' ELSE x END, '' ORDER BY i) AS t FROM flat LEFT JOIN v ON word = lower(x) AND i % 2 = 0 GROUP BY 1),
+applied AS (SELECT message_id, t AS text_cleaned FROM s LEFT JOIN built USING (message_id))"""
+
+
+def _inflation(columns: list[str]) -> str:
+    """Diagonal of the inverse of the Gram matrix by cofactors, times its diagonal."""
+    from itertools import permutations
+
+    k = len(columns)
+    sign = lambda p: (-1) ** sum(p[i] > p[j] for i in range(len(p)) for j in range(i + 1, len(p)))
+
+    def det(keep: list[int]) -> str:
+        return " + ".join(f"{sign(p)} * " + " * ".join(f"g{min(keep[i], keep[j])}{max(keep[i], keep[j])}" for i, j in enumerate(p)) for p in permutations(range(len(keep))))
+
+    sums = ", ".join(f"sum({columns[i]}::DOUBLE * {columns[j]}::DOUBLE) / 1e6 AS g{i}{j}" for i in range(k) for j in range(i, k))
+    full = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    parts = [f"SELECT '{c}' AS feature, round(g{i}{i} * ({det([j for j in range(k) if j != i])}) / ({det(list(range(k)))}), 6) AS vif FROM g" for i, c in enumerate(columns)]
+    return f"WITH {S}, g AS (SELECT {sums} FROM s WHERE {full}) " + " UNION ALL ".join(parts)
+
+
+def _answer_tests() -> str:
+    """Tails by Simpson's rule, as there is no error function."""
+    grid = lambda a, b, n, f: f"(SELECT sum(CASE WHEN i IN (0, {n}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * {f.format(t=f'({a} + ({b} - {a}) * i / {n}.0::DOUBLE)')}) * ({b} - {a}) / {3 * n}.0 FROM range(0, {n + 1}) r(i))"
+    return f"""WITH {FIRST}, r AS (SELECT answered AS g, rank() OVER (ORDER BY text_length) + (count(*) OVER (PARTITION BY text_length) - 1) / 2.0::DOUBLE AS k FROM w WHERE text_length IS NOT NULL),
+t AS (SELECT sum(n::DOUBLE * n * n - n) AS ties FROM (SELECT count(*) AS n FROM w WHERE text_length IS NOT NULL GROUP BY text_length)),
+u0 AS (SELECT count(*) FILTER (g)::DOUBLE AS a, count(*) FILTER (NOT g)::DOUBLE AS b, sum(k) FILTER (g) AS rs FROM r),
+u1 AS (SELECT a, b, rs - a * (a + 1) / 2 AS u, sqrt(a * b / 12 * ((a + b + 1) - ties / ((a + b) * (a + b - 1)))) AS sd FROM u0, t),
+u2 AS (SELECT u, least(greatest(abs(u - a * b / 2) - 0.5, 0) / sd, 38) AS z FROM u1),
+u3 AS (SELECT u, 2 * {grid('z', '(z + 12)', 4000, 'exp(-{t} * {t} / 2)')} / sqrt(2 * pi()) AS p FROM u2),
+c0 AS (SELECT topic_label AS x, answered AS y, count(*)::DOUBLE AS n FROM w WHERE topic_label IS NOT NULL GROUP BY 1, 2),
+c1 AS (SELECT * FROM c0 WHERE x IN (SELECT x FROM c0 GROUP BY 1 HAVING sum(n) >= 30)),
+c2 AS (SELECT x, y, coalesce(n, 0) AS n, rx * ry / (SELECT sum(n) FROM c1) AS e FROM (SELECT x, sum(n) AS rx FROM c1 GROUP BY 1) a CROSS JOIN (SELECT y, sum(n) AS ry FROM c1 GROUP BY 1) b LEFT JOIN c1 USING (x, y)),
+c3 AS (SELECT sum((n - e) * (n - e) / e) AS chi, (count(DISTINCT x) - 1)::DOUBLE * (count(DISTINCT y) - 1) AS df FROM c2),
+c4 AS (SELECT chi, {grid('chi', '(chi + 300)', 60000, 'pow({t}, df / 2 - 1) * exp(-{t} / 2)')} / (pow(2, df / 2) * exp(lgamma(df / 2))) AS p FROM c3),
+h AS (SELECT 'text_length' AS hypothesis, 'mann_whitney' AS test, u AS statistic, p AS p_value FROM u3 UNION ALL SELECT 'topic', 'chi_square', chi, p FROM c4),
+o AS (SELECT *, row_number() OVER (ORDER BY p_value, hypothesis) - 1 AS i FROM h)
+SELECT hypothesis, test, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value, round(least(max(p_value * (2 - i)) OVER (ORDER BY i), 1), 6) AS p_value_holm FROM o"""
+
+
 def sql() -> dict[str, str]:
     from murmurate.plans import oracle_text
 
@@ -137,9 +178,18 @@ def sql() -> dict[str, str]:
     return {name: nudged(q) for name, q in _sql().items()} | oracle_text.sql() | {
         "prepared_bronze": nudged(whole),
         "core_silver": oracle_text.core_silver(nudged(prepared), "prepared.*"),
+        "core_validation": f"WITH {prepared} SELECT 'rows' AS what, count(*)::DOUBLE AS n FROM prepared UNION ALL SELECT unnest([{', '.join(repr(c) for c in CHECKED)}]), 0.0::DOUBLE",
     }
 
 
+#: What the validation of core silver looks for; nothing is found in a table that is handed on.
+CHECKED = (
+    "null_text", *[f"{k}_count_differs" for k in ("tech_lexicon", "slang", "glued", "domain", "email", "phone", "ssn", "ipv4", "ipv6", "menu_path", "keyboard_shortcut")], "residual_flag_differs", "placeholder_glued",
+    "vader_incomplete", "vader_out_of_range", "vader_sum", "vader_label_unknown", "vader_compound_range", "vader_label_threshold", "nlp_lexical_diversity_range", "alpha_above_tokens",
+    *[f"nlp_{k}_count_negative" for k in ("stopword", "negation", "punctuation", "exclamation", "token", "question", "sentence", "uppercase_token", "alpha_token", "unique_alpha_token")],
+)
+
+
 def prepared_bronze() -> str:
     """CTEs that end in ``prepared``: every column of prepared messages."""
     gap = "(epoch_us(date) - epoch_us(lag(date) OVER w)) / 60000000.0::DOUBLE"
@@ -166,6 +216,8 @@ prepared AS (SELECT *, {buckets('user_messages_this_month', *TIER_BOUNDS)} AS us
 
 
 def _sql() -> dict[str, str]:
+    from murmurate.plans.oracle_text import scripts_labelled
+
     numbers = ["text_length", "word_count", "vader_compound", "transformer_score"]
     turn = 'WINDOW w AS (PARTITION BY conversation_id ORDER BY date, message_id)'
     gap = "(epoch_us(date) - epoch_us(lag(date) OVER w)) / 60000000.0::DOUBLE"
@@ -187,7 +239,8 @@ def _sql() -> dict[str, str]:
         "gold_channel_events": """SELECT event_type AS channel, count(*) AS message_count, count(DISTINCT user_id::VARCHAR || '::' || strftime(ts, '%Y-%m-%d')) AS unique_conversations,
  count(DISTINCT user_id) AS unique_senders, 0 AS unique_recipients FROM events WHERE event_type IS NOT NULL GROUP BY 1""",
         "gold_release_since": _gold("days_since_release_bucket"), "gold_release_until": _gold("days_until_release_bucket"),
-        "gold_language": _gold("language_label", "l", ctes=S + f", l AS (SELECT *, CASE WHEN {_SCRIPT} THEN 'CYRILLIC' ELSE 'UNLABELED' END AS language_label FROM s)"),
+        "gold_language": _gold("language_label", "l", ctes=S + f""", l0 AS (SELECT *, list_filter([{_ALL}], lambda x: list_contains({_TOKENS.replace("coalesce(text, '')", scripts_labelled("coalesce(text_cleaned, '')"))}, x)) AS found FROM s),
+ l AS (SELECT * EXCLUDE (found), unnest(CASE WHEN len(found) > 0 THEN found ELSE ['UNLABELED'] END) AS language_label FROM l0)"""),
         "gold_residual": _gold("residual_word", "l", "WHERE residual_word IS NOT NULL", ctes=S + ", l AS (SELECT *, unnest(residual_words) AS residual_word FROM s)"),
         "gold_technical": _gold("technical_term, technical_category", "k", "WHERE technical_term IS NOT NULL", ctes=S + ", l AS (SELECT *, unnest(tech_lexicon_matches) AS t FROM s), k AS (SELECT *, t.term AS technical_term, coalesce(t.category, 'UNKNOWN') AS technical_category FROM l)"),
         "gold_topic": _gold("topic_id, topic_label", where="WHERE topic_id IS NOT NULL AND topic_label IS NOT NULL", names=("topic_label",)),
@@ -274,8 +327,49 @@ def _sql() -> dict[str, str]:
         "release_rollup": f"WITH {S} SELECT days_since_release_bucket, channel, count(*) AS message_count, grouping_id(days_since_release_bucket, channel) AS level FROM s GROUP BY ROLLUP (days_since_release_bucket, channel)",
         "silver_violations": f"""WITH {S} SELECT count(*) AS rows, count(*) FILTER (coalesce(len(tech_lexicon_matches), 0) <> tech_lexicon_match_count) AS tech_count_differs, count(*) FILTER (abs(vader_compound) > 1) AS compound_range,
  count(*) FILTER (abs(transformer_negative + transformer_neutral + transformer_positive - 1) > 0.01) AS probability_sum, count(*) FILTER ((topic_id IS NULL) <> (topic_label IS NULL)) AS topic_half_set FROM s""",
-        "csv_round_trip": "SELECT count(*) AS rows, count(DISTINCT row_id) AS ids, count(nullif(text, '')) AS texts FROM dialoguetext_196",
+        "csv_round_trip": "SELECT row_id::VARCHAR AS row_id, folder::VARCHAR AS folder, " + ", ".join(f"nullif({c}, '') AS {c}" for c in ("dialogue_id", "date", '"from"', '"to"', "text")) + " FROM dialoguetext_196",
         "stream_daily_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end, count(*) AS message_count FROM events GROUP BY 1",
+        "applied_labels": APPLIED + " SELECT * FROM applied",
+        "nonword_rate": APPLIED + f", t AS (SELECT unnest({_TOKENS.replace('text', 'text_cleaned')}) AS t FROM applied) SELECT count(*) AS tokens, count(*) FILTER (t = 'NONWORD') AS nonwords, round(count(*) FILTER (t = 'NONWORD') / count(*)::DOUBLE, 6) AS rate FROM t",
+        "inflation": _inflation(numbers),
+        "answer_tests": _answer_tests(),
+        "review_export": f"WITH {S} SELECT lower(w) AS word, count(*) AS count, '' AS classification_label, 'manual_review' AS classification_source FROM (SELECT unnest(residual_words) AS w FROM s) WHERE w IS NOT NULL GROUP BY 1",
+        "probability_measures": f"""WITH {S}, p AS (SELECT message_id, transformer_negative / t AS a, transformer_neutral / t AS b, transformer_positive / t AS c FROM (SELECT *, transformer_negative + transformer_neutral + transformer_positive AS t FROM s) WHERE t IS NOT NULL),
+ e AS (SELECT *, greatest(a, b, c) AS m, -(CASE WHEN a > 0 THEN a * ln(a) ELSE 0 END + CASE WHEN b > 0 THEN b * ln(b) ELSE 0 END + CASE WHEN c > 0 THEN c * ln(c) ELSE 0 END) AS h FROM p)
+ SELECT message_id, round(a, 6) AS model_negative, round(b, 6) AS model_neutral, round(c, 6) AS model_positive, CASE m WHEN a THEN 'NEGATIVE' WHEN b THEN 'NEUTRAL' ELSE 'POSITIVE' END AS model_label, round(m, 6) AS model_score, round(h, 6) AS model_entropy,
+  round(h / ln(3), 6) AS model_normalized_entropy, round(m - (a + b + c - m - least(a, b, c)), 6) AS model_margin, round(c - a, 6) AS expected_sentiment FROM e""",
+        "transformer_checks": f"""WITH {S}, x AS (SELECT transformer_negative AS a, transformer_neutral AS b, transformer_positive AS c, transformer_label AS l FROM s)
+ SELECT count(*) AS rows, count(*) FILTER ((a IS NOT NULL OR b IS NOT NULL OR c IS NOT NULL) AND (a IS NULL OR b IS NULL OR c IS NULL OR l IS NULL)) AS transformer_incomplete, count(*) FILTER (a < 0 OR a > 1 OR b < 0 OR b > 1 OR c < 0 OR c > 1) AS transformer_out_of_range,
+ count(*) FILTER (abs(a + b + c - 1) > 1e-5) AS transformer_sum, count(*) FILTER (l NOT IN ('NEGATIVE', 'NEUTRAL', 'POSITIVE')) AS transformer_label_unknown FROM x""",
+        "bad_json_cells": f"WITH {S}, c AS (SELECT CASE WHEN message_id % 7 = 0 THEN 'x' || named_entities ELSE named_entities END AS j FROM s) SELECT count(*) AS rows, count(*) FILTER (trim(j) <> '' AND NOT json_valid(j)) AS malformed FROM c",
+        "collection_cells": f"WITH {S} SELECT message_id, coalesce(array_to_string(residual_words, ' '), '') AS words FROM s",
+        "minute_dates": f"WITH {S} SELECT message_id, date_trunc('minute', date)::TIMESTAMP AS date FROM s",
+        "filtered_summary": f"WITH {SUMMARY} SELECT conversation_id, message_count FROM q WHERE conversation_was_answered AND conversation_start >= TIMESTAMP '2010-01-01' AND conversation_start < TIMESTAMP '2013-01-01'",
+        "longest_messages": f"WITH {S} SELECT message_id, text_length FROM s ORDER BY text_length DESC NULLS LAST, message_id LIMIT 10",
+        "clipped_lengths": f"WITH {S} SELECT count(*) AS rows, max(text_length) AS longest FROM s WHERE text_length <= (SELECT quantile_cont(text_length, 0.99) FROM s)",
+        "feature_transforms": f"WITH {S}, t AS ({_stack(numbers, 's')}) SELECT feature, CASE WHEN abs(skewness(value)) <= 2 THEN 'none' WHEN abs(skewness(value)) <= 5 THEN 'log1p' ELSE 'yeo_johnson' END AS transform, round(avg(CASE WHEN value >= 0 THEN (sqrt(value + 1) - 1) / 0.5 ELSE -(pow(1 - value, 1.5) - 1) / 1.5 END), 6) AS mean_power FROM t GROUP BY 1",
+        "topic_dummies": f"WITH {S} SELECT count(*) FILTER (vader_label = 'NEUTRAL') AS neutral, count(*) FILTER (vader_label = 'POSITIVE') AS positive FROM s",
+        "eligible_features": f"WITH {S}, t AS ({_stack(['text_length', 'word_count', 'vader_compound'], 's')}) SELECT feature FROM t GROUP BY 1 HAVING count(DISTINCT value) > 1",
+        "model_rows": f"""WITH {FIRST}, l AS (SELECT message_id, answered::INT::DOUBLE AS label, text_length FROM w),
+ u AS (SELECT *, ('0x' || substr(md5('42::' || CASE WHEN label = 1 THEN '1.0' ELSE '0.0' END || '|' || message_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM l)
+ SELECT message_id, label, CASE WHEN u < 0.6 THEN 'train' WHEN u < 0.8 THEN 'validation' ELSE 'test' END AS part, text_length FROM u""",
+        "ranking_quality": f"""WITH {S}, x AS (SELECT round(transformer_positive, 6) AS t, transformer_positive AS r, (vader_label = 'POSITIVE')::INT AS y FROM s WHERE transformer_positive IS NOT NULL AND vader_label IS NOT NULL),
+ n AS (SELECT sum(y)::DOUBLE AS p, sum(1 - y)::DOUBLE AS q FROM x), g AS (SELECT t, sum(y)::DOUBLE AS a, sum(1 - y)::DOUBLE AS b FROM x GROUP BY 1),
+ c AS (SELECT *, sum(a) OVER (ORDER BY t DESC) AS tp, sum(b) OVER (ORDER BY t DESC) AS fp FROM g),
+ m AS (SELECT count(*) FILTER (r >= 0.5 AND y = 1)::DOUBLE AS tp, count(*) FILTER (r >= 0.5 AND y = 0)::DOUBLE AS fp, count(*) FILTER (r < 0.5 AND y = 1)::DOUBLE AS fn, count(*) FILTER (r < 0.5 AND y = 0)::DOUBLE AS tn FROM x),
+ v AS (SELECT (SELECT sum(b * (tp - a / 2)) / (SELECT p * q FROM n) FROM c) AS roc_auc, (SELECT sum(a / (SELECT p FROM n) * tp / (tp + fp)) FROM c) AS average_precision, (SELECT max(2 * tp / (tp + fp + (SELECT p FROM n))) FROM c) AS best_f1,
+  tp, fp, fn, tn, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(tn / nullif(tn + fp, 0), 0) AS specificity, coalesce(tn / nullif(tn + fn, 0), 0) AS npv,
+  coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, (coalesce(tp / nullif(tp + fn, 0), 0) + coalesce(tn / nullif(tn + fp, 0), 0)) / 2 AS balanced_accuracy, (tp + fp) / (tp + fp + fn + tn) AS flagged_share FROM m)
+ SELECT metric, round(value, 6) AS value FROM (UNPIVOT v ON COLUMNS(*) INTO NAME metric VALUE value)""",
+        "stage_metrics": """WITH n AS (SELECT (SELECT count(*) FROM dialoguetext_196) AS i, (SELECT count(*) FROM silver) AS o)
+ SELECT 'check' AS pipeline, 'stage' AS stage, 'ok' AS status, i AS rows_in, o AS rows_out, 2.5::DOUBLE AS seconds, round(i / 2.5::DOUBLE, 6) AS rows_per_second, round(2500.0::DOUBLE / i, 6) AS ms_per_row_in, round(2500.0::DOUBLE / o, 6) AS ms_per_row_out FROM n""",
+        "streamed_sessions": """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS f FROM events WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+ n AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts) AS nr FROM g), s AS (SELECT user_id::VARCHAR AS user_name, min(ts) AS session_start, max(ts) AS session_end, count(*) AS event_count FROM n GROUP BY user_id, nr)
+ SELECT * FROM s WHERE session_end + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+        "gold_validation": f"""WITH {S} SELECT 'conversation' AS level, count(DISTINCT coalesce(conversation_id::VARCHAR, '')) AS rows FROM s UNION ALL SELECT 'user', count(DISTINCT u) FROM (SELECT "from" AS u FROM s UNION ALL SELECT "to" FROM s)
+ UNION ALL SELECT 'date', count(DISTINCT date::DATE) FROM s UNION ALL SELECT 'channel', count(DISTINCT channel) FROM s UNION ALL SELECT 'release', count(DISTINCT coalesce(days_since_release_bucket, '')) FROM s
+ UNION ALL SELECT 'residual', count(DISTINCT w) FROM (SELECT unnest(residual_words) AS w FROM s) UNION ALL SELECT 'technical', count(DISTINCT (t.term, coalesce(t.category, 'UNKNOWN'))) FROM (SELECT unnest(tech_lexicon_matches) AS t FROM s) WHERE t.term IS NOT NULL
+ UNION ALL SELECT 'topic', count(DISTINCT (topic_id, topic_label)) FROM s WHERE topic_id IS NOT NULL AND topic_label IS NOT NULL""",
         "user_profile": f"""WITH {DATED}, op AS (SELECT conversation_id, arg_min("from", struct_pack(d := date, i := message_id)) AS o FROM m GROUP BY 1),
  own AS (SELECT "from" AS u, conversation_id, count(*) AS n, avg(word_count) AS w FROM m GROUP BY 1, 2),
  per AS (SELECT u, avg((o = u)::INT) AS op_rate, count(*) AS conversations, avg(n) AS amc, avg(w) AS awc FROM own JOIN op USING (conversation_id) GROUP BY 1),

@@ -85,6 +85,16 @@ def anonymized(text: str) -> str:
     return text
 
 
+def found_in(text: str, kind: int) -> str:
+    """How often a kind that can be replaced occurs."""
+    pattern, by, times = _REPLACED[kind]
+    import re
+
+    for _ in range(times):
+        text = f"regexp_replace({text}, {q(pattern)}, {q(re.sub('[A-Z][A-Z0-9]+', chr(0xE005), by))}, 'g')"
+    return f"len(regexp_extract_all({text}, '\ue005'))"
+
+
 def counted(text: str) -> str:
     return ", ".join(f"len(regexp_extract_all({text}, '\\b{token}\\b')) AS {name}_count" for name, token in PLACEHOLDERS.items())
 
@@ -165,9 +175,11 @@ def slang_in(text: str) -> str:
     return f"list_transform({found}, lambda m: replace(m, '\ue000', ''))"
 
 
-GLUED = TERMS.replace("WHERE term <> ''", f"WHERE length(term) >= 4 AND regexp_full_match(term, '[{P}]+')") + f""",
+#: The alternation of the terms that may touch further word characters.
+GLUABLE = TERMS.replace("lex AS", "lexg AS").replace("WHERE term <> ''", f"WHERE length(term) >= 4 AND regexp_full_match(term, '[{P}]+')").split(", cat AS")[0]
+GLUED = f"""{TERMS}, {GLUABLE},
 runs AS (SELECT row_id, unnest(regexp_extract_all({TEXT}, '[{P}]+')) AS run FROM dialoguetext_196),
-marked AS (SELECT row_id, run, regexp_replace(lower(run), '(' || (SELECT alternatives FROM lex) || ')', '\ue001\\1\ue002', 'g') AS m FROM runs),
+marked AS (SELECT row_id, run, regexp_replace(lower(run), '(' || (SELECT alternatives FROM lexg) || ')', '\ue001\\1\ue002', 'g') AS m FROM runs),
 hits AS (SELECT row_id, run, m, unnest(regexp_extract_all(m, '\ue001([^\ue002]*)\ue002', 1)) AS term, generate_subscripts(regexp_extract_all(m, '\ue001([^\ue002]*)\ue002', 1), 1) AS i, len(regexp_extract_all(m, '\ue001')) AS n FROM marked WHERE contains(m, '\ue001')),
 sides AS (SELECT row_id, run, term, i = 1 AND starts_with(m, '\ue001') AS l, i = n AND ends_with(m, '\ue002') AS r FROM hits),
 glue AS (SELECT row_id, term, category, CASE WHEN l THEN 'prefix' WHEN r THEN 'suffix' ELSE 'infix' END AS glue, run FROM sides JOIN cat ON cat.t = term
@@ -259,7 +271,6 @@ scored AS (SELECT {key}, vader_negative, vader_neutral, vader_positive, vader_co
 def core_silver(prepared: str, columns: str) -> str:
     """Prepared messages with all core and enriched features; lists as JSON text."""
     text = "text_cleaned"
-    glued = TERMS.replace("lex AS", "lexg AS").replace("WHERE term <> ''", f"WHERE length(term) >= 4 AND regexp_full_match(term, '[{P}]+')").split(", cat AS")[0]
     slang = _map({t.lower() if k not in _SIGN_TYPES else t: f"{k}\t{m}" for t, k, m in DEFAULT_SLANG})
     part = lambda v, i: f"split_part({v}, '\t', {i})"
     entry = f"coalesce({slang}[k], {slang}[lower(k)])"
@@ -269,7 +280,7 @@ def core_silver(prepared: str, columns: str) -> str:
     bare = f"coalesce({without_labels(text)}, '')"
     tokens = f"regexp_extract_all({bare}, '[{W}]+(?:[''’.-][{W}]+)*|[^{W}\\s\\x0B\\x{{85}}\\p{{Z}}]')"
     counts = [f"{n}_count" for n in PLACEHOLDERS]
-    return normalized(f"WITH {TERMS}, {glued}, {prepared},", "prepared", "message_id", "text") + f""",
+    return normalized(f"WITH {TERMS}, {GLUABLE}, {prepared},", "prepared", "message_id", "text") + f""",
 x0 AS (SELECT message_id, {structures(text)} AS struc, {anonymized(text)} AS text_cleaned FROM spelt),
 ca AS (SELECT list({{'k': t, 'v': category}}) AS cats FROM cat),
 x1 AS (SELECT x0.*, {counted(text)}, {terms} AS tech, list_transform({slang_in(text)}, lambda k: {{'token': k, 'type': {part(entry, 1)}, 'meaning': {part(entry, 2)}}}) AS slang FROM x0, ca),
@@ -317,6 +328,11 @@ def sql() -> dict[str, str]:
     lang = f"""WITH t AS (SELECT row_id, {tokens} AS k, string_split(regexp_replace(regexp_replace({TEXT}, '([.!?])\\s+', '\\1\ue000', 'g'), '\\n+', '\ue000', 'g'), '\ue000') AS s FROM dialoguetext_196),
 {linguistic('t', 'row_id')} SELECT * FROM said"""
     slang = _map({t.lower() if k not in _SIGN_TYPES else t: f"{k}\t{m}" for t, k, m in DEFAULT_SLANG})
+    languages = "(VALUES ('hola', 'SPANISH'), ('gracias', 'SPANISH'), ('pero', 'SPANISH'), ('bonjour', 'FRENCH'), ('merci', 'FRENCH'), ('avec', 'FRENCH'), ('danke', 'GERMAN'), ('nicht', 'GERMAN'), ('ciao', 'ITALIAN'), ('sono', 'ITALIAN'), ('obrigado', 'PORTUGUESE'), ('niet', 'DUTCH'), ('no', 'SPANISH'))"
+    reviewed = f"""WITH vocabulary AS (SELECT lower(w) AS word, count(*) AS count FROM (SELECT unnest({residuals(TEXT, '[]::VARCHAR[]')}) AS w FROM dialoguetext_196) GROUP BY 1),
+named AS (SELECT word, language FROM {languages} v(word, language)),
+labelled AS (SELECT word, count, CASE WHEN word IN (SELECT lower(term) FROM tech_lexicon WHERE term IS NOT NULL) THEN 'JARGON' WHEN language IS NOT NULL THEN language WHEN regexp_full_match(word, '\\d+') THEN 'UNCERTAIN'
+ WHEN word IN ({listed(STOPWORDS)}) THEN NULL WHEN NOT regexp_matches(word, '[aeiouy]') THEN 'NONWORD' END AS label FROM vocabulary LEFT JOIN named USING (word))"""
     return {
         "anonymize_counts": f"WITH a AS (SELECT row_id, {anonymized(TEXT)} AS text_cleaned FROM dialoguetext_196) SELECT *, {counted('text_cleaned')} FROM a",
         "structural_matches": f"WITH m AS (SELECT row_id, unnest({structures(TEXT)}) AS m FROM dialoguetext_196) SELECT row_id, m.match AS match, m.category AS category FROM m",
@@ -335,6 +351,21 @@ k AS (SELECT row_id, token, coalesce({slang}[token], {slang}[lower(token)]) AS v
         "rare_characters": f"""WITH {CHARS}, rare AS (SELECT list(ch) AS r FROM odd WHERE n < 10)
  SELECT row_id, array_to_string(list_transform(string_split({TEXT}, ''), lambda c: CASE WHEN list_contains(r, c) THEN '\ufffd' ELSE c END), '') AS text_cleaned FROM dialoguetext_196, rare""",
         "linguistic_features": lang,
+        "reviewed_labels": f"{reviewed} SELECT word, count, label FROM labelled",
+        "reviewed_text": f"""{reviewed}, pieces AS (SELECT row_id, string_split(regexp_replace({TEXT}, '([{W}]+(?:[''-][{W}]+)*)', '\ue000\\1\ue000', 'g'), '\ue000') AS p FROM dialoguetext_196),
+ flat AS (SELECT row_id, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM pieces)
+ SELECT row_id, string_agg(CASE WHEN i % 2 = 0 AND label NOT IN ('JARGON', 'UNCERTAIN') THEN label ELSE x END, '' ORDER BY i) AS text_cleaned FROM flat LEFT JOIN labelled ON word = lower(x) AND i % 2 = 0 GROUP BY 1""",
+        "batch_labels": f"""{reviewed} SELECT word, coalesce(language, CASE WHEN word NOT IN (SELECT lower(term) FROM tech_lexicon WHERE term IS NOT NULL) AND NOT regexp_full_match(word, '\\d+') THEN 'NONWORD' END) AS label FROM vocabulary LEFT JOIN named USING (word)""",
+        "slang_review": f"""WITH m AS (SELECT unnest(list_concat({slang_in(TEXT)}, regexp_extract_all({TEXT}, 'pwned'))) AS token FROM dialoguetext_196)
+ SELECT token, split_part(coalesce({slang}[token], {slang}[lower(token)]), '\t', 1) AS type, count(*) AS occurrences FROM m GROUP BY 1, 2""",
+        "raw_structure_counts": "SELECT row_id, " + ", ".join(f"{found_in(TEXT, i)} AS {name}_count" for i, name in enumerate(PLACEHOLDERS)) + " FROM dialoguetext_196",
+        "contractions": f"SELECT row_id, regexp_replace(regexp_replace({TEXT}, '(?i)n''t', 'n''t''t', 'g'), '(?i)\\b([{W}]+n''t)(?:''t)+', '\\1', 'g') AS text_cleaned FROM dialoguetext_196",
+        "all_match_tallies": f"""WITH {GLUED}, {found}, a AS (SELECT {anonymized(TEXT)} AS c FROM dialoguetext_196), n AS (SELECT {counted('c')} FROM a)
+ SELECT 'technical' AS lexicon, lower(term) AS term, count(*) AS occurrences FROM (SELECT unnest(terms) AS term FROM matched) GROUP BY 2
+ UNION ALL SELECT 'slang', token, count(*) FROM (SELECT unnest({slang_in(TEXT)}) AS token FROM dialoguetext_196) GROUP BY 2
+ UNION ALL SELECT 'glued', term, count(*) FROM glue GROUP BY 2
+ UNION ALL SELECT 'structural', m.category, count(*) FROM (SELECT unnest({structures(TEXT)}) AS m FROM dialoguetext_196) GROUP BY 2
+ UNION ALL """ + " UNION ALL ".join(f"SELECT 'anonymized', '{k}', sum({k}_count)::BIGINT FROM n" for k in PLACEHOLDERS),
         "sentiment_scores": "WITH " + vader("dialoguetext_196", "row_id", TEXT) + " SELECT * FROM scored",
         "script_labels": f"SELECT row_id, {scripts_labelled(TEXT)} AS text_cleaned FROM dialoguetext_196",
     }

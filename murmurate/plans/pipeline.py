@@ -79,10 +79,14 @@ def bronze_to_silver(
     classifier=None, backend=None, tagger=None, prepared: bool = False, slang: Sequence[tuple[str, str, str]] = lexicons.DEFAULT_SLANG,
     corrections: Mapping[str, str] | None = None, valence: Mapping[str, float] = sentiment.VALENCE, **options,
 ) -> DataFrame:
-    """Prepared, core and enriched silver in one plan.
+    """Prepared, core and enriched silver, checked before it is handed on.
 
-    Nothing is materialized unless labels or topics need the whole corpus first.
     ``slang``, ``corrections`` and ``valence`` take the place of the small tables that ship.
+    With ``validate`` (the default) the finished table is written to the shared
+    folder, or kept as ``materialization`` says, and every check its columns
+    allow is made; what fails is a ``ValidationError`` and no table. With
+    ``materialization="none"`` nothing is kept, so the plan runs once for the
+    checks and again for its use. Without ``validate`` it is one lazy plan.
     """
     config = (config or PipelineConfig()).updated(**options)
     df = bronze if prepared else prepare_bronze(bronze, releases, tie_break)
@@ -95,7 +99,12 @@ def bronze_to_silver(
         df = residual.apply_labels(df, labels, key="message_id")
     if config.sentiment_mode:
         df = sentiment.analyze_sentiment(df, config.sentiment_mode, backend=backend, valence=valence)
-    return annotate_messages(df, config, tagger=tagger)
+    out = annotate_messages(df, config, tagger=tagger)
+    if not config.validate:
+        return out
+    kept = writers.kept(out, config.materialization, "silver")
+    validate.validate_silver(kept, max_nonword=config.max_nonword_rate)
+    return kept
 
 
 def annotate_messages(df: DataFrame, config: PipelineConfig, *, tagger=None, emotion=None) -> DataFrame:
@@ -198,14 +207,13 @@ def main(argv: list[str] | None = None) -> int:
             config = PipelineConfig(
                 anonymize=not a.no_anonymize, linguistic=not a.no_linguistic, topics=a.topics, residual_policy=a.residual_policy, sample_size=a.sample_size,
                 sentiment_mode=None if a.sentiment == "none" else a.sentiment, random_state=a.random_state, max_nonword_rate=a.max_nonword_rate,
-                topic_count=a.topic_count, topic_sample=a.topic_sample, topic_features=a.topic_features, topic_rounds=a.topic_rounds,
+                materialization=a.materialization, topic_count=a.topic_count, topic_sample=a.topic_sample, topic_features=a.topic_features, topic_rounds=a.topic_rounds,
             )
             terms = lexicons.lexicon_rows(readers.read_path(spark, a.lexicon))
             df = bronze_to_silver(source, terms, config=config, releases=[x for x in a.release_dates.split(",") if x], **word_tables(spark, a))
-            with writers.materialized(df, a.materialization, "silver") as kept:
-                report = validate.validate_core(kept, max_nonword=a.max_nonword_rate)
-                writers.write(kept, table=a.output_table, path=a.output_path, mode=a.mode, fmt=a.format)
-                columns = len(kept.columns)
+            report = validate.validate_silver(df, max_nonword=a.max_nonword_rate) if config.validate else {"passed": True}
+            writers.write(df, table=a.output_table, path=a.output_path, mode=a.mode, fmt=a.format)
+            columns = len(df.columns)
         else:
             options = {"date": {"granularity": a.granularity}, "channel": {"column": a.channel_column}, "release": {"axis": a.release_axis}}.get(a.level, {})
             if a.level == "sample":

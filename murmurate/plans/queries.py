@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmurate.functions import normalize, structural
+from murmurate.functions.probability import class_columns, normalized_probabilities
 from murmurate.functions.temporal import calendar_fields, moment
 from murmurate.operators import gold, joins, lexicons, linguistic, modeling, prepare, reports, residual, sentiment, statistics, topics, validate
 from murmurate.operators.sessions import user_sessions
-from murmurate.plans.pipeline import bronze_to_silver
-from murmurate.schema import as_timestamps, col
+from murmurate.plans.pipeline import bronze_to_silver, silver_to_gold
+from murmurate.schema import SENTIMENT_LABELS, as_timestamps, col
 from murmurate.session import Scratch
-from murmurate.sources import readers, writers
+from murmurate.sources import metrics, readers, writers
 from murmurate.sources.adapters import messages_from_events, once_per_message
-from murmurate.streaming.windows import windowed_counts
+from murmurate.streaming.windows import run_available, windowed_counts
+from murmurate.streaming.windows import streamed_sessions as sessions_of_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS, NUDGE = 6, 1e-9
@@ -276,6 +278,70 @@ def nonword_rate(spark: SparkSession, d: str) -> DataFrame:
     return rounded(residual.nonword_rate(applied_labels(spark, d)))
 
 
+#: A few words by language, as a reviewer would list them.
+REVIEWED_LANGUAGES = (("hola", "SPANISH"), ("gracias", "SPANISH"), ("pero", "SPANISH"), ("bonjour", "FRENCH"), ("merci", "FRENCH"), ("avec", "FRENCH"), ("danke", "GERMAN"), ("nicht", "GERMAN"), ("ciao", "ITALIAN"), ("sono", "ITALIAN"), ("obrigado", "PORTUGUESE"), ("niet", "DUTCH"), ("no", "SPANISH"))
+
+
+def _review_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Jargon is the lexicon, non-words are words without vowel, known English the most used words; a word may be in several."""
+    words = residual.vocabulary(residual.with_candidates(texts(spark, d)))
+    return {
+        "jargon": table(spark, d, "tech_lexicon").select(F.col("term").alias("word")).where("word IS NOT NULL"),
+        "languages": spark.createDataFrame(REVIEWED_LANGUAGES, "word string, label string"),
+        "nonwords": words.where(~col("word").rlike("[aeiouy]")).select("word"),
+        "english": spark.createDataFrame([(w,) for w in linguistic.STOPWORDS], "word string"),
+    }
+
+
+def reviewed_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Every word of the messages with its label by the precedence of the reviewed tables."""
+    words = residual.vocabulary(residual.with_candidates(texts(spark, d)))
+    return residual.reviewed_labels(words, **_review_tables(spark, d))
+
+
+def reviewed_text(spark: SparkSession, d: str) -> DataFrame:
+    """Messages with the reviewed labels written in; jargon, numbers and uncertain words stay."""
+    return residual.apply_labels(texts(spark, d), reviewed_labels(spark, d), key="row_id").select("row_id", "text_cleaned")
+
+
+def batch_labels(spark: SparkSession, d: str) -> DataFrame:
+    tables = _review_tables(spark, d)
+    words = residual.vocabulary(residual.with_candidates(texts(spark, d)))
+    return residual.batch_labels(words, tables["languages"], tables["jargon"])
+
+
+def review_export(spark: SparkSession, d: str) -> DataFrame:
+    return residual.review_export(silver(spark, d))
+
+
+def slang_review(spark: SparkSession, d: str) -> DataFrame:
+    """Usual and ambiguous slang together, counted by token."""
+    found = texts(spark, d).select(F.explode(lexicons.slang_matches(col("text_cleaned"), include_review=True)).alias("m"))
+    return found.groupBy(F.col("m.token").alias("token"), F.col("m.type").alias("type")).agg(F.count("*").alias("occurrences"))
+
+
+def raw_structure_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Kinds that could be anonymized, counted in the text as it came."""
+    return texts(spark, d).withColumns(structural.raw_counts(col("text_cleaned"))).drop("text_cleaned")
+
+
+def all_match_tallies(spark: SparkSession, d: str) -> DataFrame:
+    """Technical terms, slang, glued terms, structures and placeholders over all messages."""
+    t, rows = texts(spark, d), lexicon(spark, d)
+    clean = structural.anonymized(col("text_cleaned"))
+    t = t.withColumns(
+        {
+            "tech_lexicon_matches": lexicons.term_matches(col("text_cleaned"), rows), "slang_matches": lexicons.slang_matches(col("text_cleaned")),
+            "glued_matches": lexicons.glued_matches(col("text_cleaned"), rows), "structural_matches": structural.structural_matches(col("text_cleaned")), "__clean": clean,
+        }
+    ).withColumns(structural.placeholder_counts(F.col("__clean")))
+    return lexicons.match_tallies(Scratch(spark, "tallies").write(t, "matches"))
+
+
+def contractions(spark: SparkSession, d: str) -> DataFrame:
+    return texts(spark, d).withColumn("text_cleaned", normalize.repaired_contractions(F.regexp_replace("text_cleaned", "(?i)n't", "n't't")))
+
+
 # --- sentiment, language, topics ---------------------------------------------------------------------
 
 
@@ -291,6 +357,15 @@ def linguistic_features(spark: SparkSession, d: str) -> DataFrame:
     return texts(spark, d).withColumns(linguistic.linguistic_features(col("text_cleaned"))).drop("text_cleaned")
 
 
+def probability_measures(spark: SparkSession, d: str) -> DataFrame:
+    """Entropy, margin, label and expected sentiment from the class probabilities in silver, made to sum to 1."""
+    parts = ["transformer_negative", "transformer_neutral", "transformer_positive"]
+    s = silver(spark, d).where(" AND ".join(f"{c} IS NOT NULL" for c in parts)).select("message_id", *parts)
+    p = s.withColumn("p", normalized_probabilities([col(c) for c in parts], 0.01))
+    out = p.select("message_id", *[c.alias(n) for n, c in class_columns("model", SENTIMENT_LABELS, col("p")).items()])
+    return rounded(out.withColumn("expected_sentiment", col("model_positive") - col("model_negative")))
+
+
 def topic_assign(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("message_id"), F.coalesce("text", F.lit("")).alias("text_cleaned"))
     return topics.assign_topics(docs, topics.fit_topics_on(docs)).drop("text_cleaned")
@@ -461,13 +536,126 @@ def silver_violations(spark: SparkSession, d: str) -> DataFrame:
     return validate.violations(s, checks)
 
 
+def transformer_checks(spark: SparkSession, d: str) -> DataFrame:
+    """The library's own checks of a distribution over the labels, at a tolerance that rounded values fail."""
+    parts = ["transformer_negative", "transformer_neutral", "transformer_positive"]
+    return validate.violations(silver(spark, d), validate.distribution_checks("transformer", parts, SENTIMENT_LABELS, 1e-5))
+
+
+def core_validation(spark: SparkSession, d: str) -> DataFrame:
+    """What the validation of core silver counts; a violation would be an error."""
+    out = bronze_to_silver(table(spark, d, "dialoguetext_196"), lexicon(spark, d), tie_break=("row_id",), validate=False, materialization="none")
+    counts = validate.validate_silver(Scratch(spark, "core").write(out, "core"))
+    rows = [(k, float(v)) for k, v in counts.items() if isinstance(v, (int, float)) and not isinstance(v, bool) and k not in ("tokens", "nonword_rate")]
+    return spark.createDataFrame(rows, "what string, n double")
+
+
+def gold_validation(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every gold level that passed its validation."""
+    s = Scratch(spark, "gold").write(silver(spark, d), "silver")
+    rows = []
+    for level in ("conversation", "user", "date", "channel", "release", "residual", "technical", "topic"):
+        _, report = silver_to_gold(s, level)
+        rows.append((level, report["validation"]["rows"]))
+    return spark.createDataFrame(rows, "level string, rows bigint")
+
+
+def bad_json_cells(spark: SparkSession, d: str) -> DataFrame:
+    s = silver(spark, d)
+    cells = F.when(col("message_id") % 7 == 0, F.concat(F.lit("x"), col("named_entities"))).otherwise(col("named_entities"))
+    return s.agg(F.count("*").alias("rows"), F.count_if(validate.json_guard(cells, "array<struct<text:string,label:string>>")).alias("malformed"))
+
+
+def collection_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Lists written as JSON or as program literals, read back."""
+    s = silver(spark, d).select("message_id", "residual_words")
+    literal = F.when(col("residual_words").isNotNull(), F.concat(F.lit("['"), F.array_join("residual_words", "', '"), F.lit("']")))
+    cell = F.when((col("message_id") % 2 == 0) & (F.size("residual_words") > 0), literal).otherwise(F.to_json("residual_words"))
+    return s.select("message_id", F.array_join(readers.collection(cell, "array<string>", "residual_words"), " ").alias("words"))
+
+
+def minute_dates(spark: SparkSession, d: str) -> DataFrame:
+    return prepare.to_minutes(silver(spark, d).select("message_id", "date"))
+
+
+def filtered_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Answered conversations of 2010 to 2012, as a dashboard would filter them."""
+    return reports.filter_summary(summary(spark, d), start="2010-01-01", end="2012-12-31", answered=True).select("conversation_id", "message_count")
+
+
+def longest_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The ten longest messages: a top-k report."""
+    return reports.largest(silver(spark, d).select("message_id", "text_length"), "text_length", 10, ("message_id",))
+
+
+def clipped_lengths(spark: SparkSession, d: str) -> DataFrame:
+    kept = reports.clipped_at_p99(silver(spark, d).select("message_id", "text_length"), "text_length")
+    return kept.agg(F.count("*").alias("rows"), F.max("text_length").alias("longest"))
+
+
+def feature_transforms(spark: SparkSession, d: str) -> DataFrame:
+    """Which transform each number would get by its skewness, and what the power transform makes of it."""
+    s = silver(spark, d)
+    means = s.agg(*[F.avg(statistics.yeo_johnson(col(c).cast("double"), 0.5)).alias(c) for c in NUMBERS]).first()
+    skews = {r["feature"]: r["skewness"] for r in statistics.shape(s, NUMBERS).collect()}
+    rows = [(c, statistics.chosen_transform(skews[c]), float(means[c])) for c in NUMBERS]
+    return rounded(spark.createDataFrame(rows, "feature string, transform string, mean_power double"))
+
+
+def topic_dummies(spark: SparkSession, d: str) -> DataFrame:
+    s = silver(spark, d)
+    values = ("NEGATIVE", "NEUTRAL", "POSITIVE")
+    out = statistics.dummies(s, "vader_label", values)
+    return out.agg(*[F.sum(f"vader_label_{v}").alias(v.lower()) for v in values[1:]])
+
+
+def eligible_features(spark: SparkSession, d: str) -> DataFrame:
+    s = silver(spark, d).withColumn("constant", F.lit(1))
+    found = statistics.eligible_features(s, ["text_length", "word_count", "constant", "channel", "absent", "vader_compound"])
+    return spark.createDataFrame([(c,) for c in found], "feature string")
+
+
+def model_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The leakage-safe model table with its split by hash."""
+    rows = modeling.model_table(prepare.conversation_features(dated(spark, d).select("conversation_id", "message_id", "date", "from", "to", "text_length")))
+    return modeling.stratified_split(rows).select("message_id", "label", "part", "text_length")
+
+
+def ranking_quality(spark: SparkSession, d: str) -> DataFrame:
+    """How well the transformer's positive probability finds messages that the rules call positive."""
+    s = silver(spark, d).where("transformer_positive IS NOT NULL AND vader_label IS NOT NULL")
+    s = s.select(col("transformer_positive").alias("score"), (col("vader_label") == "POSITIVE").cast("double").alias("label"))
+    m = modeling.ranking_metrics(s)
+    t = modeling.threshold_metrics(s, 0.5)
+    rows = [(k, float(m[k])) for k in ("roc_auc", "average_precision", "best_f1")] + [(k, float(v)) for k, v in t.items()]
+    return rounded(spark.createDataFrame(rows, "metric string, value double"))
+
+
+def stage_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """A metric row as it is appended and read again; rows in and out come from the tables."""
+    n, m = table(spark, d, "dialoguetext_196").count(), table(spark, d, "silver").count()
+    path = Scratch(spark, "metrics").path("metrics")
+    row = metrics.stage_metric(metrics.run_context(spark, "check"), "stage", 2.5, rows_in=n, rows_out=m)
+    metrics.append_metrics(spark, [row], path=path)
+    return rounded(spark.read.parquet(path).select("pipeline", "stage", "status", "rows_in", "rows_out", "seconds", "rows_per_second", "ms_per_row_in", "ms_per_row_out"))
+
+
+def streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of the events' users as a stream closes them; those still open when the input ends are not emitted."""
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    scratch = Scratch(spark, "stream")
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    sink = scratch.path("sessions")
+    run_available(sessions_of_stream(messages_from_events(stream)), sink, scratch.path("progress"))
+    return spark.read.schema("user_name string, session_start timestamp, session_end timestamp, event_count bigint").parquet(sink)
+
+
 def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Bronze written as CSV and read again with its schema; NULL and empty text are one in CSV."""
     df = table(spark, d, "dialoguetext_196").select(*[F.nullif(col(c).cast("string"), F.lit("")).alias(c) for c in ("row_id", "folder", "dialogue_id", "date", "from", "to", "text")])
     folder = Scratch(spark, "csv").root
     path = writers.write_csv(df, folder, "bronze")
-    back = readers.read_csv(spark, path, df.schema)
-    return back.agg(F.count("*").alias("rows"), F.count_distinct("row_id").alias("ids"), F.count("text").alias("texts"))
+    return readers.read_csv(spark, path, df.schema)
 
 
 def stream_daily_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -508,5 +696,10 @@ def queries() -> dict[str, Query]:
         "cross_tab": cross_tab, "release_bucket_measures": release_bucket_measures, "value_counts": value_counts, "multiparty": multiparty,
         "monthly_volume": monthly_volume, "duplicate_figures": duplicate_figures, "most_common": most_common, "missing_report": missing_report,
         "participants_melted": participants_melted, "release_rollup": release_rollup, "silver_violations": silver_violations,
-        "csv_round_trip": csv_round_trip, "stream_daily_counts": stream_daily_counts,
+        "csv_round_trip": csv_round_trip, "stream_daily_counts": stream_daily_counts, "streamed_sessions": streamed_sessions,
+        "reviewed_labels": reviewed_labels, "reviewed_text": reviewed_text, "batch_labels": batch_labels, "review_export": review_export, "slang_review": slang_review,
+        "raw_structure_counts": raw_structure_counts, "all_match_tallies": all_match_tallies, "contractions": contractions, "probability_measures": probability_measures,
+        "transformer_checks": transformer_checks, "core_validation": core_validation, "gold_validation": gold_validation, "bad_json_cells": bad_json_cells,
+        "collection_cells": collection_cells, "minute_dates": minute_dates, "filtered_summary": filtered_summary, "longest_messages": longest_messages, "clipped_lengths": clipped_lengths,
+        "feature_transforms": feature_transforms, "topic_dummies": topic_dummies, "eligible_features": eligible_features, "model_rows": model_rows, "ranking_quality": ranking_quality, "stage_metrics": stage_metrics,
     }

@@ -105,6 +105,13 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def release() -> None:
+    """Drops all written steps so far; for long sessions, once no result is read any more."""
+    for scratch in _OPEN:
+        scratch.close()
+    _OPEN.clear()
+
+
 @atexit.register
 def _clean_up() -> None:
     """Drops what results still read; the engine may have stopped already, so local folders go without it."""

@@ -86,6 +86,16 @@ def resolve_materialization(mode: str) -> str:
     return "table" if is_remote() else "persist"
 
 
+def kept(df: DataFrame, mode: str = "auto", stage: str = "stage") -> DataFrame:
+    """The frame as it is used several times from now on: a written table, persisted blocks, or the plan itself.
+
+    A table outlives lost executors and is dropped when the driver ends or with
+    ``session.release``; ``auto`` is a table.
+    """
+    mode = "table" if mode == "auto" else resolve_materialization(mode)
+    return df.persist() if mode == "persist" else Scratch(df.sparkSession, stage).write(df, stage) if mode == "table" else df
+
+
 @contextmanager
 def materialized(df: DataFrame, mode: str = "auto", stage: str = "stage") -> Iterator[DataFrame]:
     """The frame kept for several uses, and released at the end whatever happens."""
