@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from murmurate.plans.oracle import moment
+
 
 def _p4() -> str:
     from murmurate.llm import queries as q
@@ -43,9 +45,38 @@ m AS (SELECT *, (tokens * full_uses + partial_tokens)::BIGINT AS used_tokens FRO
 """
 
 
+_NICK = "nullif(lower(trim({c}, ' ' || chr(9) || chr(10) || chr(13) || chr(160))), '')"
+P7 = f"""
+WITH m AS (SELECT row_id, folder, try_cast(nullif(regexp_extract(dialogue_id, '\\d+'), '') AS BIGINT) AS dialogue, epoch_us({moment('date')}) AS us, {_NICK.format(c='"from"')} AS who, {_NICK.format(c='"to"')} AS aim,
+ regexp_matches(coalesce(text, ''), '[^\\s\\x0B\\x{{85}}\\p{{Z}}]') AS said FROM dialoguetext_196),
+k AS (SELECT * FROM m WHERE folder IS NOT NULL AND dialogue IS NOT NULL),
+f AS (SELECT folder, dialogue, count(*) FILTER (said) AS n, count(*) FILTER (said AND us IS NULL) AS bad, count(DISTINCT who) FILTER (said) AS people, min(who) FILTER (said) AS one, max(who) FILTER (said) AS two,
+ count(*) FILTER (said AND who IS NULL) AS lost FROM k GROUP BY 1, 2),
+o AS (SELECT folder, dialogue, bool_and(coalesce(aim IN (one, two), false)) AS known FROM k JOIN f USING (folder, dialogue) WHERE said AND who IS NULL GROUP BY 1, 2),
+v AS (SELECT f.*, CASE WHEN n = 0 THEN 'empty' WHEN bad > 0 OR (lost > 0 AND NOT (people = 2 AND known)) THEN 'broken' WHEN people < 2 THEN 'no_reply' END AS reason FROM f LEFT JOIN o USING (folder, dialogue))
+"""
+_CANON = "regexp_replace(replace(lower(upper({c})), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+P2 = f"""
+WITH raw AS (SELECT raw_id AS id, payload, replace(replace(payload, '\\\\', '\ue000'), '\\"', '\ue001') AS p FROM raw_exports),
+obj AS (SELECT id, CASE WHEN regexp_matches(payload, '^\\s*\\{{') AND json_valid(payload) THEN payload END AS j,
+ CASE WHEN regexp_full_match(p, '(?is)\\s*(?:(?:date|from|text)\\s*[:=]\\s*"[^"]*"\\s*[,;|]?\\s*){{3}}') AND NOT regexp_matches(p, '[,;|]\\s*$') THEN p END AS p FROM raw),
+flat AS (SELECT id, CASE WHEN j IS NOT NULL THEN map_from_entries(list_transform(list_filter(json_keys(j), lambda k: lower(k) IN ('date', 'from', 'text')), lambda k: {{'k': lower(k), 'v': json_extract_string(j, '$."' || k || '"')}}))
+ WHEN p IS NOT NULL AND len(list_distinct(list_transform(regexp_extract_all(p, '(?i)(date|from|text)\\s*[:=]\\s*"[^"]*"', 1), lambda k: lower(k)))) = 3 THEN map_from_entries(list_zip(list_transform(regexp_extract_all(p, '(?i)(date|from|text)\\s*[:=]\\s*"[^"]*"', 1), lambda k: lower(k)),
+  list_transform(regexp_extract_all(p, '(?i)(?:date|from|text)\\s*[:=]\\s*"([^"]*)"', 1), lambda v: replace(replace(v, '\ue001', '"'), '\ue000', '\\')))) END AS f FROM obj),
+rec AS (SELECT 'dialoguetext_196' AS record_table, row_id AS id, date AS d, "from" AS w, text AS x FROM dialoguetext_196 UNION ALL SELECT 'raw_exports', id, f['date'], f['from'], f['text'] FROM flat),
+can AS (SELECT record_table, id, epoch_us({moment('d')}) AS us, {_NICK.format(c='w')} AS who, nullif({_CANON.format(c='x')}, '') AS c FROM rec),
+run AS (SELECT record_table, id, us IS NOT NULL AND who IS NOT NULL AND c IS NOT NULL AS is_case, min(id) OVER (PARTITION BY record_table, us, who, c) AS first_id FROM can)
+"""
+
+
 def sql() -> dict[str, str]:
     return {
         "p4_sample": _p4(),
+        "p2_found": P2 + "SELECT record_table, first_id, id AS copy_id FROM run WHERE is_case AND id <> first_id",
+        "p2_collapsed": P2 + "SELECT record_table, CASE WHEN is_case THEN first_id ELSE id END AS first_id, count(*) AS copies FROM run GROUP BY 1, 2",
+        "p7_found": P7 + "SELECT folder, dialogue, reason FROM v WHERE reason IS NOT NULL",
+        "p7_conversations": P7 + """, s AS (SELECT row_id, folder, dialogue, us, coalesce(who, CASE WHEN aim = one THEN two ELSE one END) AS speaker FROM k JOIN v USING (folder, dialogue) WHERE said AND reason IS NULL)
+SELECT row_id, folder, dialogue, row_number() OVER w - 1 AS turn, make_timestamp(us) AS sent_at, speaker, CASE WHEN speaker = first_value(speaker) OVER w THEN 'asker' ELSE 'helper' END AS role FROM s WINDOW w AS (PARTITION BY folder, dialogue ORDER BY us, row_id)""",
         "p9_mixture_chars": P9 + "SELECT * FROM m",
         "p9_shares_chars": P9 + """, g AS (SELECT source, sum(used_tokens)::BIGINT AS used_tokens, count(*) AS documents, max(full_uses + (partial_tokens > 0)::INT)::BIGINT AS most_uses FROM m GROUP BY 1)
 SELECT source, round(target_share, 6) AS target_share, max_repeats, available, budget, coalesce(used_tokens, 0) AS used_tokens, coalesce(documents, 0) AS documents, coalesce(most_uses, 0) AS most_uses,

@@ -57,3 +57,27 @@ def test_order_roles_and_inferred_senders(spark):
 
 def test_empty(spark):
     assert c.left_out(frame(spark, [])).count() == 0
+
+
+def test_really_late_rows_and_long_dialogues_are_whole(spark):
+    """Three arrivals in no order of time, so rows come years behind the watermark; and dialogues of many parts."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(600):
+        d = rng.choice([1, 1, 1, 2, 3, 4 + i % 30])
+        rows.append((0, f"{d}.tsv", f"20{rng.randrange(10, 16)}-0{rng.randrange(1, 9)}-0{rng.randrange(1, 9)} 00:00:{rng.randrange(10, 60)}", rng.choice(["a", "b"] if d != 3 else ["a"]), rng.choice(["a", "b"]), "hi"))
+        if d == 2 and i % 5 == 0:
+            rows[-1] = (*rows[-1][:3], None, *rows[-1][4:])
+    from pyspark.sql import functions as F
+
+    df = frame(spark, rows).withColumn("came", F.expr("row_id % 3"))
+    expected = brute(rows)
+    for options in ({"arrival": "came"}, {"part_rows": 40}, {"arrival": "came", "part_rows": 40}, {}):
+        assert {tuple(r) for r in c.left_out(df, **options).collect()} == expected
+        got = {}
+        for r in c.conversations(df, **options).collect():
+            got.setdefault(r.dialogue, []).append((r.turn, r.row_id, r.speaker, r.role))
+        assert len(got[1]) == sum(r[1] == "1.tsv" for r in rows)
+        for d, turns in got.items():
+            own = sorted((r[2], i, r[3] or ("b" if r[4] == "a" else "a")) for i, r in enumerate(rows) if r[1] == f"{d}.tsv")
+            assert sorted(turns) == [(n, i, who, "asker" if who == own[0][2] else "helper") for n, (_, i, who) in enumerate(own)]
