@@ -49,8 +49,10 @@ _SHAPES: list[tuple[str, bool, re.Pattern]] = [
 _CAPITALS = next(p for _, strong, p in _SHAPES if strong and "[A-Z][" in p.pattern and "street" in p.pattern)
 _TOKEN = re.compile(r"\w+(?:['’-]\w+)*|[^\w\s]")
 _TAIL = re.compile(_UNIT, re.I)
-#: How much each pattern of a context says, by its name.
-WEIGHTS = {"l1": 1.0, "l2": 3.0, "r1": 1.0, "r2": 3.0, "lr": 2.0}
+#: The share of a word's uses that lie in candidates of names, from which it counts as used for nothing else.
+PURE = 0.5
+#: How much each pattern says, by its name: words to the left and right, and the shape itself where it is unmistakable.
+WEIGHTS = {"l1": 1.0, "l2": 3.0, "r1": 1.0, "r2": 3.0, "lr": 2.0, "sh": 8.0}
 
 _CANDIDATE = "row_id bigint, kind string, start_pos bigint, end_pos bigint, instance string, strong boolean, given string, family string, patterns array<string>"
 
@@ -61,19 +63,33 @@ def _set_off(text: str, a: int, b: int) -> bool:
     return any(m and m.group(1).islower() for m in (before, after))
 
 
-def _spans(text: str) -> list[tuple[str, bool, int, int]]:
-    """Candidates with a shape of their own, none inside another; strong and earlier shapes first."""
-    if not any(c.isdigit() or c in "@[({" for c in text) and " at " not in text.lower():
+#: Digits that the shapes of a kind have at least.
+_DIGITS = {"email": 0, "address": 1, "phone": 6, "id_number": 6}
+#: What a message with a candidate has at least one of, so the others need not be looked at: in the notation of the JVM.
+SIGNS = r"[\p{Nd}@\[({\p{Lu}\p{Lt}]|(?i: at )"
+
+
+def _spans(text: str) -> list[tuple[str, str, bool, int, int]]:
+    """Candidates with a shape of their own, none inside another: kind, shape, whether it is strong, and place.
+
+    Strong and earlier shapes come first.
+    """
+    digits = sum(map(str.isdigit, text))
+    spelt = "@" in text or "at" in text.lower()
+    if not digits and not spelt:
         return []
-    taken: list[tuple[str, bool, int, int]] = []
-    for kind, strong, shape in _SHAPES:
+    taken: list[tuple[str, str, bool, int, int]] = []
+    for number, (kind, strong, shape) in enumerate(_SHAPES):
+        if digits < _DIGITS[kind] or (kind == "email" and not spelt):
+            continue
         for m in shape.finditer(text):
             a, b = m.span()
             if kind == "address":
                 b = _TAIL.match(text, b).end()
-            if all(b <= x or a >= y for _, _, x, y in taken):
-                taken.append((kind, strong and (shape is not _CAPITALS or _set_off(text, a, b)), a, b))
-    return sorted(taken, key=lambda s: s[2])
+            if all(b <= x or a >= y for *_, x, y in taken):
+                sure = strong and (shape is not _CAPITALS or _set_off(text, a, b))
+                taken.append((kind, f"sh {number}", sure, a, b))
+    return sorted(taken, key=lambda s: s[3])
 
 
 def _instance(kind: str, surface: str) -> str:
@@ -99,11 +115,11 @@ class _Reader:
         raw, out, i, s = [(m.group(), *m.span()) for m in _TOKEN.finditer(text)], [], 0, 0
         while i < len(raw):
             word, a, b = raw[i]
-            while s < len(spans) and spans[s][3] <= a:
+            while s < len(spans) and spans[s][4] <= a:
                 s += 1
-            if s < len(spans) and spans[s][2] < b and a < spans[s][3]:
-                out.append((f"<{spans[s][0]}>", spans[s][2], spans[s][3]))
-                while i < len(raw) and raw[i][1] < spans[s][3]:
+            if s < len(spans) and spans[s][3] < b and a < spans[s][4]:
+                out.append((f"<{spans[s][0]}>", spans[s][3], spans[s][4]))
+                while i < len(raw) and raw[i][1] < spans[s][4]:
                     i += 1
                 continue
             for n in range(min(self.longest, len(raw) - i), 0, -1):
@@ -180,9 +196,9 @@ def candidate_rows(row_id: int, text: str, reader: _Reader) -> Iterator[tuple]:
     tokens = reader.tokens(text, spans)
     words = [t for t, _, _ in tokens]
     place = {(a, b): i for i, (_, a, b) in enumerate(tokens)}
-    for kind, strong, a, b in spans:
+    for kind, shape, strong, a, b in spans:
         i = place[(a, b)]
-        yield row_id, kind, a, b, _instance(kind, text[a:b]), strong, None, None, _patterns(words, i, i)
+        yield row_id, kind, a, b, _instance(kind, text[a:b]), strong, None, None, _patterns(words, i, i) + [shape] * strong
     if shouting:
         return
     whole: set[int] = set()
@@ -193,7 +209,7 @@ def candidate_rows(row_id: int, text: str, reader: _Reader) -> Iterator[tuple]:
             continue
         if _capital(given) and _capital(family) and family != family.lower():
             key = f"{given.lower() if given else '.'} {family.lower()}"
-            yield row_id, "name", tokens[first][1], tokens[last][2], key, has_initial, given and given.lower(), family.lower(), _patterns(words, first, last)
+            yield row_id, "name", tokens[first][1], tokens[last][2], key, has_initial, given and given.lower(), family.lower(), _patterns(words, first, last) + ["sh initial"] * has_initial
 
 
 def _candidates(messages: DataFrame, terms: list[str]) -> DataFrame:
@@ -205,21 +221,26 @@ def _candidates(messages: DataFrame, terms: list[str]) -> DataFrame:
             rows = [r for i, t in zip(frame.row_id, frame.text) if t for r in candidate_rows(i, t, reader)]
             yield pd.DataFrame(rows, columns=names).astype({"row_id": "int64", "start_pos": "int64", "end_pos": "int64", "strong": "bool"})
 
-    return messages.mapInPandas(find, _CANDIDATE)
+    return messages.where(F.col("text").rlike(SIGNS)).mapInPandas(find, _CANDIDATE)
 
 
 def score_graph(candidates: DataFrame, scratch: Scratch, *, rounds: int = 3, accept: float = 0.5) -> DataFrame:
     """``kind, instance, in_context`` of accepted instances, by iterating over the pattern-instance graph.
 
-    A pattern is as good as the share of its occurrences whose instance is
-    accepted, compared with the share that accepted occurrences themselves see
-    around them: what is not accepted is unlabelled rather than wrong, and
-    this estimates how much of the true ones is accepted so far. An instance
-    with a strong shape is accepted from the start, any other when the
-    patterns around it are good enough on weighted average (``in_context``).
-    Edges are counted before each join, so a pattern or instance with a third
-    of all occurrences is a third of no task: joins on patterns are salted,
-    and one instance has few different patterns.
+    Patterns are words around an instance and, where it is unmistakable, its
+    shape. Instances of such a shape are the seeds of the first round; from then
+    on every instance, seeds too, is judged by its patterns: accepted if they
+    are good enough on weighted average. A pattern is as good as the share of
+    its other occurrences whose instance is accepted, compared with the share
+    that accepted occurrences themselves see around them: what is not accepted
+    is unlabelled rather than wrong, and this estimates how much of the true
+    ones is accepted so far. For a pattern seen with this instance alone its
+    shape stands in: 1 if it is unmistakable, else 0. ``in_context`` says whether
+    the words around it alone would do.
+
+    Edges are counted before each join, and the joins on patterns and on
+    instances are salted, so neither with a third of all occurrences is a third
+    of a task.
     """
     weight = F.create_map(*[F.lit(x) for kv in WEIGHTS.items() for x in kv])
     edges = (
@@ -229,45 +250,76 @@ def score_graph(candidates: DataFrame, scratch: Scratch, *, rounds: int = 3, acc
         .withColumn("w", F.try_element_at(weight, F.substring("pattern", 1, 2)) * F.col("n"))
     )
     edges = scratch.write(edges, "edges")
-    seeds = candidates.where("strong").select("kind", "instance", F.lit(False).alias("in_context")).distinct()
-    accepted = scratch.write(seeds, "seeds")
-    seeds = accepted
+    alone = candidates.where("strong").select("kind", "instance", F.lit(False).alias("in_context")).distinct()
+    accepted = scratch.write(alone, "seeds")
+    shape = F.col("pattern").startswith("sh")
     for r in range(rounds):
-        known = edges.join(accepted.select("kind", "instance", F.lit(1).alias("ok")), ["kind", "instance"], "left")
-        counted = known.groupBy("kind", "pattern").agg(F.sum(F.when(F.col("ok") == 1, F.col("n")).otherwise(0)).alias("good"), F.sum("n").alias("n"))
-        counted = scratch.write(counted.withColumn("share", F.col("good") / (F.col("n") + 1)), f"patterns{r}")
+        known = salted_join(edges, accepted.select("kind", "instance", F.lit(1).alias("ok")), ["kind", "instance"], spread=["pattern"], how="left")
+        known = known.withColumn("own", F.when(F.col("ok") == 1, F.col("n")).otherwise(0))
+        counted = known.groupBy("kind", "pattern").agg(F.sum("own").alias("good"), F.sum("n").alias("all"))
+        counted = scratch.write(counted.withColumn("share", F.col("good") / (F.col("all") + 2)), f"patterns{r}")
         # One row per kind, of which there are five.
-        usual = counted.groupBy("kind").agg((F.sum(F.col("good") * F.col("share")) / F.sum("good")).alias("usual"))
-        patterns = counted.where("good > 0").join(F.broadcast(usual), "kind").select(
-            "kind", "pattern", F.least(F.col("share") / F.col("usual"), F.lit(1.0)).alias("p")
+        usual = counted.where(~shape).groupBy("kind").agg((F.sum(F.col("good") * F.col("share")) / F.sum("good")).alias("usual"))
+        patterns = counted.where("good > 0").join(F.broadcast(usual), "kind", "left").select("kind", "pattern", "good", "all", F.when(shape, 1.0).otherwise(F.col("usual")).alias("usual"))
+        others = F.col("all") - F.col("n")
+        p = F.least((F.col("good") - F.col("own")) / (others + 2) / F.col("usual"), F.lit(1.0))
+        prior = F.col("strong").cast("double")
+        judged = salted_join(known, patterns, ["kind", "pattern"], spread=["instance"], how="left").withColumn(
+            "p", F.when(F.col("all").isNull(), F.when(shape, prior).otherwise(0.0)).when(others == 0, prior).when(shape, F.col("good") / F.col("all")).otherwise(F.coalesce(p, F.lit(0.0)))
         )
-        scored = salted_join(edges, patterns, ["kind", "pattern"], spread=["instance"], how="left").groupBy("kind", "instance").agg(
-            (F.sum(F.coalesce("p", F.lit(0.0)) * F.col("w")) / F.sum("w")).alias("score")
+        words = F.when(~shape, F.col("w")).otherwise(0.0)
+        scored = judged.groupBy("kind", "instance").agg(
+            (F.sum(F.col("p") * F.col("w")) / F.sum("w")).alias("score"), F.coalesce(F.try_divide(F.sum(F.col("p") * words), F.sum(words)), F.lit(0.0)).alias("context")
         )
-        fitting = scored.where(F.col("score") >= accept).select("kind", "instance", F.lit(True).alias("in_context"))
-        both = seeds.unionByName(fitting).groupBy("kind", "instance").agg(F.max("in_context").alias("in_context"))
-        accepted = scratch.write(both, f"accepted{r}")
+        fitting = scored.where(F.col("score") >= accept).select("kind", "instance", (F.col("context") >= accept).alias("in_context"))
+        # An instance without any pattern has nothing that could be held against its shape.
+        bare = candidates.where("strong AND size(patterns) = 0").select("kind", "instance", F.lit(False).alias("in_context"))
+        accepted = scratch.write(fitting.unionByName(bare).groupBy("kind", "instance").agg(F.max("in_context").alias("in_context")), f"accepted{r}")
     return accepted
 
 
-def _name_parts(candidates: DataFrame, accepted: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Family and given names seen in accepted names: what lets unseen spellings and contexts be found."""
+def _uses(messages: DataFrame, words: DataFrame) -> DataFrame:
+    """``word, uses``: how often each of the words occurs in all texts, in any case and place."""
+    token = F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+(?:['’-]\w+)*"), F.lit(0))
+    counted = messages.select(F.explode(token).alias("word")).groupBy("word").agg(F.count("*").alias("uses"))
+    return counted.join(words.distinct(), "word", "left_semi")
+
+
+def _name_parts(messages: DataFrame, candidates: DataFrame, accepted: DataFrame, scratch: Scratch, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Family and given names seen in accepted names: what lets unseen spellings and contexts be found.
+
+    A family name is a word whose uses in candidates are accepted often enough,
+    or that was accepted with an initial and is hardly used in any other way
+    (``PURE``). Given names are found by family names, and each round finds
+    further family names by two given names before them.
+    """
     names = candidates.where("kind = 'name'").groupBy("instance", "given", "family").agg(F.count("*").alias("n"), F.count_if(~F.col("strong")).alias("plain"))
     known = accepted.where("kind = 'name'").select("instance", F.lit(1).alias("ok"), "in_context")
     names = scratch.write(names.join(known, "instance", "left"), "names")
+    words = names.select(F.explode(F.array("family", "given")).alias("word")).where("word IS NOT NULL")
+    uses = scratch.write(_uses(messages, words), "uses")
+    of = lambda c: uses.withColumnRenamed("word", c)
     good = F.sum(F.when(F.col("ok") == 1, F.col("n")).otherwise(0)).alias("good")
     fitting = F.count_if(F.col("in_context")).alias("fitting")
-    family = names.groupBy("family").agg(good, fitting, F.sum("n").alias("n"))
-    family = family.where("(good >= 2 AND good >= 0.4 * n) OR (fitting >= 1 AND good >= 0.6 * n)").select("family")
-    family = scratch.write(family, "family")
-    # A given name is one seen with two known families, written out as a pair; its other uses do
-    # not matter ("Will", "Mark"), nor does a word that only stands before initials ("Dear"). One
-    # family is enough for a word that is hardly used otherwise.
-    given = names.where("given IS NOT NULL").join(family.withColumn("known", F.lit(1)), "family", "left").groupBy("given").agg(
-        good, F.sum("n").alias("n"), F.count_if((F.col("ok") == 1) & (F.col("plain") > 0) & (F.col("known") == 1)).alias("pairs"),
-        F.count_if(F.col("in_context") & (F.col("known") == 1)).alias("fitting"),
-    )
-    return family, scratch.write(given.where("pairs >= 2 OR (fitting >= 1 AND good >= 0.6 * n)").select("given"), "given")
+    initials = F.sum(F.when(F.col("ok") == 1, F.col("n") - F.col("plain")).otherwise(0)).alias("initials")
+    families = scratch.write(names.groupBy("family").agg(good, fitting, initials, F.sum("n").alias("n")).join(of("family"), "family", "left"), "families")
+    family = families.where(f"(good >= 2 AND good >= 0.4 * n) OR (fitting >= 1 AND good >= 0.6 * n) OR (initials >= 1 AND n >= {PURE} * uses)").select("family")
+    family = scratch.write(family, "family0")
+    pure = families.where(f"n >= {PURE} * uses").select("family")
+    for r in range(rounds):
+        # A given name is one seen with two known families, written out as a pair; its other uses do
+        # not matter ("Will", "Mark"), nor does a word that only stands before initials ("Dear"). One
+        # family is enough for a word that is hardly used otherwise.
+        given = names.where("given IS NOT NULL").join(family.withColumn("known", F.lit(1)), "family", "left").groupBy("given").agg(
+            good, F.sum("n").alias("n"), F.count_if((F.col("ok") == 1) & (F.col("plain") > 0) & (F.col("known") == 1)).alias("pairs"),
+            F.count_if(F.col("in_context") & (F.col("known") == 1)).alias("fitting"), F.count_if(F.col("known") == 1).alias("with_known"),
+        ).join(of("given"), "given", "left")
+        given = given.where(f"pairs >= 2 OR (fitting >= 1 AND good >= 0.6 * n) OR (with_known >= 1 AND n >= {PURE} * uses) OR (with_known >= 2 AND n >= 0.3 * uses)")
+        given = scratch.write(given.select("given"), f"given{r}")
+        if r < rounds - 1:
+            led = names.join(given, "given", "left_semi").groupBy("family").agg(F.count_distinct("given").alias("k")).where("k >= 2").join(pure, "family", "left_semi")
+            family = scratch.write(family.unionByName(led.select("family")).distinct(), f"family{r + 1}")
+    return family, given
 
 
 def _named(messages: DataFrame, family: DataFrame, given: DataFrame, terms: list[str]) -> DataFrame:
@@ -338,7 +390,8 @@ def find_personal(messages: DataFrame, terms: list[str]) -> DataFrame:
        words around it. 2. Seeds are candidates of unmistakable shape (a phone
     number with its country code, a name with an initial). The graph of
     patterns and instances is scored in rounds, so patterns induced by seeds
-    admit instances of weak shape, which strengthen further patterns.
+    admit instances of weak shape, which strengthen further patterns; in the
+    end seeds are judged by the graph like all others.
     3. Names: parts of accepted names are looked up in all messages, in any
        case, order and context. 4. Overlaps within a message are resolved.
     """
@@ -346,11 +399,10 @@ def find_personal(messages: DataFrame, terms: list[str]) -> DataFrame:
     messages = messages.select(F.col("row_id").cast("bigint").alias("row_id"), F.col("text").cast("string").alias("text")).where("row_id IS NOT NULL AND text IS NOT NULL")
     candidates = scratch.write(_candidates(messages, terms), "candidates")
     accepted = score_graph(candidates, scratch)
-    family, given = _name_parts(candidates, accepted, scratch)
+    family, given = _name_parts(messages, candidates, accepted, scratch)
     columns = ["row_id", "kind", "start_pos", "end_pos"]
-    strong = candidates.where("strong AND kind <> 'name'").select(columns)
-    weak = salted_join(candidates.where("NOT strong AND kind <> 'name'"), accepted, ["kind", "instance"], spread=["row_id", "start_pos"], how="left_semi").select(columns)
-    return _resolve(strong.unionByName(weak).unionByName(_named(messages, family, given, terms)))
+    found = salted_join(candidates.where("kind <> 'name'"), accepted, ["kind", "instance"], spread=["row_id", "start_pos"], how="left_semi").select(columns)
+    return _resolve(found.unionByName(_named(messages, family, given, terms)))
 
 
 def redact(messages: DataFrame, found: DataFrame) -> DataFrame:

@@ -50,6 +50,28 @@ def test_found_against_planted(spark):
     assert out[3] == "é write to [EMAIL] please" and out[10_000] is None and out[10_001] == ""
 
 
+def test_small_tables_and_forms_without_a_shape(spark):
+    """Few rows, and of each kind the forms that no shape makes unmistakable: only patterns can find them."""
+    rows, truth = corpus(40, seed=3)
+    text = {i: t for i, t, _ in rows}
+    got = {(r.row_id, r.kind, r.start_pos) for r in p.find_personal(spark.createDataFrame(rows, "row_id long, text string, kind string"), []).collect()}
+    sure = {(i, kind, a) for i in text for kind, _, strong, a, _ in p._spans(text[i]) if strong}
+    for kind in ("name", "phone", "id_number"):
+        plain = {x for x in truth if x[1] == kind} - sure
+        assert len(plain) >= 8 and len(plain & got) / len(plain) > 0.9, (kind, sorted(plain - got)[:5])
+    assert len(got - truth) / len(got) < 0.03, sorted(got - truth)[:5]
+
+
+def test_a_strong_shape_is_judged_too(spark):
+    """A seed whose shape and surroundings are otherwise refused is not found; the graph decides on seeds as on others."""
+    c = [(i, "phone", 0, 1, f"p{i}", True, None, None, ["l1 call", "r1 now", "sh 1"]) for i in range(5)]
+    c += [(9, "phone", 0, 1, "odd", True, None, None, ["l1 pid", "l2 the pid", "r1 eats", "r2 eats cycles", "lr pid _ eats", "sh 2"])]
+    c += [(20 + i, "phone", 0, 1, f"w{i}", False, None, None, ["l1 pid", "l2 the pid", "r1 eats", "r2 eats cycles", "lr pid _ eats"]) for i in range(40)]
+    c += [(80 + i, "phone", 0, 1, f"s{i}", False, None, None, ["sh 2"]) for i in range(9)]
+    got = {r.instance for r in p.score_graph(spark.createDataFrame(c, p._CANDIDATE), p.Scratch(spark, "t")).collect()}
+    assert got == {f"p{i}" for i in range(5)}
+
+
 def test_empty_and_repeated_rows(spark):
     ddl = "row_id long, text string"
     assert p.find_personal(spark.createDataFrame([], ddl), []).count() == 0
