@@ -16,6 +16,7 @@ from murmurate.session import Scratch
 KINDS = ("email", "address", "phone", "id_number", "name")
 #: Bits of the filter that lets only pairs with a possible family name through; fixed, so its size is too.
 FILTER_BITS = 1 << 20
+MOST_REMEMBERED = 200_000
 
 # The shapes that identifiers are written in. A shape marked strong can hardly be
 # anything else and makes its instances seeds; a weak one is decided by context.
@@ -110,6 +111,7 @@ class _Reader:
     def __init__(self, terms: Iterable[str]):
         self.terms = {tuple(t.lower().split()) for t in terms}
         self.longest = max((len(t) for t in self.terms), default=0)
+        self.first = {t[0] for t in self.terms if t}
 
     def tokens(self, text: str, spans) -> list[tuple[str, int, int]]:
         raw, out, i, s = [(m.group(), *m.span()) for m in _TOKEN.finditer(text)], [], 0, 0
@@ -122,7 +124,7 @@ class _Reader:
                 while i < len(raw) and raw[i][1] < spans[s][4]:
                     i += 1
                 continue
-            for n in range(min(self.longest, len(raw) - i), 0, -1):
+            for n in range(min(self.longest, len(raw) - i) if word.lower() in self.first else 0, 0, -1):
                 if tuple(w.lower() for w, _, _ in raw[i : i + n]) in self.terms:
                     out.append(("<t>", a, raw[i + n - 1][2]))
                     i += n
@@ -151,15 +153,15 @@ def _patterns(tokens: list[str], first: int, last: int) -> list[str]:
     return out
 
 
-def _is_word(t: str) -> bool:
-    return len(t) > 1 and t[0] != "<" and all(c.isalpha() or c in "'’-" for c in t)
+_is_word = re.compile(r"(?:[^\W\d_]|['’-]){2,}").fullmatch
 
 
-def _names(tokens: list[tuple[str, int, int]], text: str):
+def _names(tokens: list[tuple[str, int, int]], capital: bool = False):
     """Pairs that are written like a name: ``(first, last, given, family, has_initial)`` by token number.
 
     Given and family name with or without an initial between, an initial and a
-    family name, or family name, comma and given name.
+    family name, or family name, comma and given name. With ``capital`` only
+    those whose words both begin with a capital, or an initial.
     """
     words = [t for t, _, _ in tokens]
     n, i = len(words), 0
@@ -170,7 +172,7 @@ def _names(tokens: list[tuple[str, int, int]], text: str):
         if initial(i) and joined(i + 1, i + 2) and _is_word(words[i + 2]):
             # Also after a word that may be a given name; the longer reading wins where it is known.
             yield i, i + 2, None, words[i + 2], True
-        elif _is_word(w):
+        elif (not capital or w[0].isupper()) and _is_word(w):
             if joined(i, i + 1) and initial(i + 1) and joined(i + 2, i + 3) and _is_word(words[i + 3]):
                 yield i, i + 3, w, words[i + 3], True
             elif joined(i, i + 1) and _is_word(words[i + 1]):
@@ -202,7 +204,7 @@ def candidate_rows(row_id: int, text: str, reader: _Reader) -> Iterator[tuple]:
     if shouting:
         return
     whole: set[int] = set()
-    for first, last, given, family, has_initial in _names(tokens, text):
+    for first, last, given, family, has_initial in _names(tokens, capital=True):
         if has_initial and given and _capital(given):
             whole.add(last)
         elif has_initial and last in whole:
@@ -337,17 +339,23 @@ def _named(messages: DataFrame, family: DataFrame, given: DataFrame, terms: list
 
     def find(batches):
         reader = _Reader(())
+        # Words that were looked up and are no family name; forgotten when they are many.
+        other: set[str] = set()
         for frame in batches:
             rows = []
+            if len(other) > MOST_REMEMBERED:
+                other.clear()
             for i, t in zip(frame.row_id, frame.text):
                 if not t:
                     continue
-                seen: dict[str, bool] = {}
-                words = {m.group().lower() for m in _TOKEN.finditer(t)}
-                if not any(maybe(w) for w in words):
+                fresh = set(_TOKEN.findall(t.lower())) - other
+                hit = {w for w in fresh if maybe(w)}
+                other |= fresh - hit
+                if not hit:
                     continue
+                seen: dict[str, bool] = {}
                 tokens = reader.tokens(t, _spans(t))
-                for first, last, g, f, _ in _names(tokens, t):
+                for first, last, g, f, _ in _names(tokens):
                     f = f.lower()
                     if seen.setdefault(f, maybe(f)):
                         rows.append((i, tokens[first][1], tokens[last][2], g and g.lower(), f))
