@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from bisect import bisect_left, insort
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmurate.llm.tokens import RANKS, token_count
-from murmurate.session import Scratch
+from murmurate.session import Scratch, shuffle_partitions
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -141,7 +142,6 @@ def packed(
     *,
     shard_items: int = 3000,
     full_enough: float = 0.995,
-    max_levels: int = 6,
     tokenizer: str = RANKS,
 ) -> DataFrame:
     """``doc_id, piece, start_token, tokens, container``: every document's place.
@@ -156,7 +156,8 @@ def packed(
     or size, and every shard is packed and improved by local search. Items of
     containers that are not ``full_enough`` are pooled and packed again in
     fewer shards, until they fit into one shard or a level no longer frees
-    containers; then they stay as they are. Nothing is left unpacked.
+    containers; then they stay as they are. Nothing is left unpacked. Shards
+    are tasks of their own, as packing costs time and not bytes.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -184,19 +185,21 @@ def packed(
 
     ddl = "doc_id bigint, piece bigint, start_token bigint, tokens bigint, level int, shard bigint, place bigint, load bigint"
     count, before = loose.count(), None
-    for level in range(max_levels):
+    tasks = 4 * shuffle_partitions(documents.sparkSession)
+    # Every level leaves fewer containers than the one before or is the last.
+    for level in itertools.count():
         if not count:
             break
         shards = -(-count // shard_items)
         shard = F.pmod(F.xxhash64("doc_id", "piece", F.lit(level)), F.lit(shards))
         placed = scratch.write(
-            loose.withColumn("level", F.lit(level)).withColumn("shard", shard).groupBy("shard").applyInPandas(fill, ddl), f"level{level}"
+            loose.withColumn("level", F.lit(level)).withColumn("shard", shard).repartition(min(shards, tasks), "shard").groupBy("shard").applyInPandas(fill, ddl), f"level{level}"
         )
         named = placed.withColumn("container", F.concat_ws("-", F.lit("c"), "level", "shard", "place"))
         columns = ["doc_id", "piece", "start_token", "tokens", "container"]
         poor = placed.where(F.col("load") < F.lit(full_enough * capacity))
         left, bins = poor.agg(F.count("*"), F.count_distinct("shard", "place")).first()
-        if shards == 1 or level == max_levels - 1 or not left or (before is not None and bins >= before):
+        if shards == 1 or not left or (before is not None and bins >= before):
             ready.append(named.select(columns))
             break
         ready.append(named.where(F.col("load") >= F.lit(full_enough * capacity)).select(columns))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmurate.llm import conversations, copies, language, mixing, packing, personal, reading, sampling, terms
+from murmurate.session import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,11 @@ def p3_languages(spark: SparkSession, d: str) -> DataFrame:
     return language.message_languages(p3_segments(spark, d))
 
 
+def p3_words(spark: SparkSession, d: str) -> DataFrame:
+    """Words of every message over its stretches: each word lies in exactly one."""
+    return p3_segments(spark, d).groupBy("row_id").agg(F.sum("words").cast("bigint").alias("words"), F.min("start_pos").cast("bigint").alias("first_pos"), F.max("end_pos").cast("bigint").alias("end_pos"))
+
+
 # --- 4: stable sample ---------------------------------------------------------------------------
 
 #: Help channels of single languages are small and kept at a higher rate; talk off the topic at a lower.
@@ -107,6 +113,14 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
     return personal.redact(_table(spark, d, "dialoguetext_196"), _personal(spark, d))
 
 
+def p5_plain_emails(spark: SparkSession, d: str) -> DataFrame:
+    """Of the addresses found, those written with an at sign and a domain of letters: SQL can find them too."""
+    found = _personal(spark, d).where("kind = 'email'")
+    texts = _table(spark, d, "dialoguetext_196").select(F.col("row_id").cast("bigint").alias("row_id"), "text")
+    said = found.join(texts, "row_id").withColumn("email", F.expr("substring(text, start_pos + 1, end_pos - start_pos)"))
+    return said.where(F.col("email").contains("@")).select("row_id", "start_pos", "email")
+
+
 # --- 6: term frequencies -------------------------------------------------------------------------
 
 TERM_FIELDS = {"residual_words": "residual_words", "tech_lexicon_matches": "transform(tech_lexicon_matches, x -> x.term)"}
@@ -152,6 +166,19 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+def p8_faults(spark: SparkSession, d: str) -> DataFrame:
+    """What must not happen, counted over the packed documents: one row, all zeros but ``documents``."""
+    capacity = _capacity(spark, d, "standard")
+    placed = Scratch(spark, "faults").write(packing.packed(_table(spark, d, "documents"), capacity), "placed")
+    fills = placed.where("container IS NOT NULL").groupBy("container").agg(F.sum("tokens").alias("load"))
+    whole = placed.groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("n"), F.count_distinct("start_token").alias("starts"))
+    over = fills.agg(F.count_if(F.col("load") > capacity)).first()[0]
+    return whole.agg(
+        F.count("*").alias("documents"), F.count_if((F.col("n") <= capacity) & (F.col("pieces") > 1)).alias("split_needlessly"),
+        F.count_if(F.col("pieces") != F.greatest(F.ceil(F.col("n") / capacity), F.lit(1))).alias("wrong_pieces"), F.count_if(F.col("starts") != F.col("pieces")).alias("repeated_pieces"),
+    ).withColumn("overfull_containers", F.lit(over).cast("bigint"))
+
+
 # --- 9: mixing sources ---------------------------------------------------------------------------------
 
 
@@ -199,6 +226,22 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return reading.profile(p10_levels(spark, d))
 
 
+def p10_words(spark: SparkSession, d: str) -> DataFrame:
+    """Words of every document, and whether it has a score."""
+    return p10_levels(spark, d).select("doc_id", "words", F.col("score").isNotNull().alias("scored"))
+
+
+def p10_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and words per source, over all levels of the profile."""
+    return p10_profile(spark, d).groupBy("source").agg(F.sum("documents").alias("documents"), F.sum("words").alias("words"))
+
+
+def p10_held_out(spark: SparkSession, d: str) -> DataFrame:
+    """How often levels equal the band, or are within one of it, on labels that were not used to fit."""
+    measures = reading.held_out(_table(spark, d, "documents"), _table(spark, d, "reading_labels"))
+    return spark.createDataFrame(sorted(measures.items()), "measure string, value double")
+
+
 def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_collapsed": p2_collapsed,
@@ -210,7 +253,8 @@ def queries() -> dict[str, Query]:
         "p8_packed": p8_packed, "p8_fill": p8_fill,
         "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_shares_exact": p9_shares_exact, "p9_totals": p9_totals,
         "p9_mixture_chars": p9_mixture_chars, "p9_shares_chars": p9_shares_chars,
-        "p10_levels": p10_levels, "p10_profile": p10_profile,
+        "p10_levels": p10_levels, "p10_profile": p10_profile, "p10_held_out": p10_held_out,
+        "p3_words": p3_words, "p5_plain_emails": p5_plain_emails, "p8_faults": p8_faults, "p10_words": p10_words, "p10_sources": p10_sources,
     }
 
 

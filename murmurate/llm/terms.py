@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -117,11 +118,15 @@ def _routes(terms: list[str], want: int) -> dict:
     return strip(trie.root)
 
 
-def _router(tree):
+def _router(tree, spare: int):
     def route_of(term: str) -> int:
         node, depth = tree, 0
         while isinstance(node, dict):
-            node, depth = node.get(term[depth : depth + 1], 0), depth + 1
+            at = term[depth : depth + 1]
+            if at not in node:
+                # A prefix that no routing term has: terms that share it meet under a route of its own hash.
+                return -1 - zlib.crc32(term[: depth + 1].encode("utf-8", "surrogatepass")) % spare
+            node, depth = node[at], depth + 1
         return node
 
     def assign(batches):
@@ -132,18 +137,23 @@ def _router(tree):
     return assign
 
 
-def _merger(burst: int):
-    """Merges the subtrees of one route after the other; the rows arrive sorted by field and route."""
+def _merger(burst: int, flush: int):
+    """Merges the subtrees of one route after the other; the rows arrive sorted by field, route and term.
+
+    As equal terms arrive together, a tree of more than ``flush`` terms is handed
+    on between two terms, so a route with any number of terms fits into memory.
+    """
 
     def merge(batches):
-        at, trie = None, BurstTrie(burst)
+        at, last, trie = None, None, BurstTrie(burst)
         for batch in batches:
             for f, t, o, r, n in zip(*(batch.column(c).to_pylist() for c in ("field_name", "term", "occurrences", "records", "route"))):
-                if (f, n) != at:
+                if (f, n) != at or trie.size > flush and t != last:
                     if at:
                         yield from _batches(at[0], trie)
                     at, trie = (f, n), BurstTrie(burst)
                 trie.add(t, o, r)
+                last = t
         if at:
             yield from _batches(at[0], trie)
 
@@ -172,10 +182,10 @@ def term_frequencies(
     Each worker counts in burst tries, so a term's occurrences are combined
     before anything is shuffled, handing on after at most ``flush`` distinct
     terms to bound its memory. The counters are then routed by adaptive
-    prefixes: a tree that is burst wherever terms are many, built from at most
-    ``routing_sample`` terms, which steer the balance of the routes and no
-    count. Matching subtrees of all workers meet under their route and are
-    merged there, one route at a time.
+    prefixes: a tree that is burst wherever terms are many, built from about
+    ``routing_sample`` terms chosen by hash, which steer the balance of the
+    routes and no count. Matching subtrees of all workers meet under their
+    route and are merged there, one route at a time and in the order of terms.
     """
     scratch = Scratch(df.sparkSession, "terms")
     names = list(fields)
@@ -188,9 +198,12 @@ def term_frequencies(
     counted = scratch.write(once.mapInArrow(_counter([*names, "__all"], burst, flush), _DDL), "counted")
     total = counted.where("field_name = '__all'").agg(F.sum("records")).first()[0] or 0
     counted = counted.where("field_name <> '__all'")
-    sample = [r[0] for r in counted.select("term").distinct().orderBy(F.xxhash64("term"), "term").limit(routing_sample).collect()]
-    routed = counted.mapInArrow(_router(_routes(sample, routes)), _DDL + ", route int")
-    merged = routed.repartition("field_name", "route").sortWithinPartitions("field_name", "route").mapInArrow(_merger(burst), _DDL)
+    # A share of the terms by their hash, so that tasks hand on no more than is used: there are no more terms than rows.
+    share = min(1.0, routing_sample / max(counted.count(), 1))
+    chosen = F.pmod(F.xxhash64("term"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
+    sample = sorted(r[0] for r in counted.where(chosen).select("term").distinct().collect())
+    routed = counted.mapInArrow(_router(_routes(sample, routes), routes), _DDL + ", route int")
+    merged = routed.repartition("field_name", "route").sortWithinPartitions("field_name", "route", "term").mapInArrow(_merger(burst, flush), _DDL)
     return scratch.write(merged, "terms"), int(total)
 
 
