@@ -49,6 +49,7 @@ _WORD, _VOWELS = re.compile(r"[^\W\d_]+"), re.compile("[aeiouyàâäáåæèéê
 _SENTENCE, _HYPHEN = re.compile(r"[.!?]+(?=\s|$)|\n+"), re.compile(r"[^\W\d_]-[^\W\d_]")
 #: Words whose facts are remembered by a task; forgotten when they are more.
 MOST_REMEMBERED = 200_000
+TEXTS_AT_ONCE = 256
 
 
 class FeatureReader:
@@ -84,15 +85,18 @@ class FeatureReader:
         n = np.array([len(ws) for ws in words])
         table = np.array(facts, float).reshape(len(facts), 8 + len(BANDS) + 2)
         start = np.concatenate(([0], np.cumsum(n)))
-        each = table[flat]
         # A form of "to be" right before a participle, in one text.
         passive = np.zeros(len(flat))
         if len(flat) > 1:
-            passive[:-1] = each[:-1, -2] * each[1:, -1]
+            passive[:-1] = table[flat[:-1], -2] * table[flat[1:], -1]
             passive[np.minimum(start[1:], len(flat)) - 1] = 0
-        sums = np.concatenate([each[:, :-2], passive[:, None]], axis=1)
-        total = np.concatenate((np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0)))
-        got = total[start[1:]] - total[start[:-1]]
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            total = np.concatenate(([0.0], np.cumsum(values)))
+            return total[start[1:]] - total[start[:-1]]
+
+        # One fact after the other, so that memory is a few numbers per word.
+        got = np.stack([*[summed(table[flat, j]) for j in range(table.shape[1] - 2)], summed(passive)], axis=1)
         sentences = np.maximum([len(_SENTENCE.findall(t)) for t in texts], 1) if texts else np.zeros(0)
         breaks = np.array([t.count(",") + t.count(";") + t.count(":") for t in texts], float)
         hyphens = np.array([len(_HYPHEN.findall(t)) if "-" in t else 0 for t in texts], float)
@@ -121,7 +125,9 @@ def with_features(documents: DataFrame, frequent: Sequence[str]) -> DataFrame:
     def read(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = FeatureReader(known)
         for texts in parts:
-            yield pd.Series(list(reader.read(texts.tolist())), dtype=object)
+            texts = texts.tolist()
+            rows = [r for i in range(0, len(texts), TEXTS_AT_ONCE) for r in reader.read(texts[i : i + TEXTS_AT_ONCE])]
+            yield pd.Series(rows, dtype=object)
 
     df = documents.withColumn("__f", read(F.col("text")))
     names = ["words", *FEATURES]

@@ -108,3 +108,26 @@ def test_raters_scales_cancel_out():
     m = reading.fit_ranker(x, band, rater)
     fresh = rng.normal(size=(500, len(reading.FEATURES)))
     assert np.corrcoef(m.scores(fresh), fresh[:, 0] * 2 - fresh[:, 3])[0, 1] > 0.97
+
+
+def test_features_by_hand_and_of_odd_texts():
+    r = reading.FeatureReader(["the", "was"])
+    text = "The rule was broken, because nations differ. Well-known?"
+    got = dict(zip(("words", *reading.FEATURES), r.read([None, text, "", "x" * 300_000, "12 !?"])[1]))
+    words = ["the", "rule", "was", "broken", "because", "nations", "differ", "well", "known"]
+    assert got["words"] == 9 and abs(got["word_length"] - sum(map(len, words)) / 9) < 1e-12
+    assert got["passives"] == got["subordination"] == got["compounds"] == got["abstract_endings"] == 1 / 9 and got["questions"] == 0.5
+    assert got["long_words"] == 2 / 9 and abs(got["beyond_100"] - 7 / 9) < 1e-12 and abs(got["sentence_length"] - np.log1p(4.5)) < 1e-12
+    odd = r.read([None, "", "12 !?", text, "x" * 300_000, ""])
+    assert (odd[[0, 1, 5], 1:] == 0).all() and odd[2, 0] == 0 and odd[4, 0] == 1 and (odd[3] == r.read([text])[0]).all()
+    assert r.read([]).shape[0] == 0
+
+
+def test_every_pair_of_a_rater_is_used():
+    band, rater = np.array([1, 2, 3, 1, 5, 2]), np.array(list("aaabba"))
+    want = {(i, j) for i in range(6) for j in range(6) if rater[i] == rater[j] and band[i] > band[j]}
+    for block in (1, 3, 10_000):
+        reading.PAIR_BLOCK, kept = block, reading.PAIR_BLOCK
+        assert sum(len(a) for a, _ in reading._pairs(band, rater)) == len(want)
+        assert {p for a, b in reading._pairs(band, rater) for p in zip(a.tolist(), b.tolist())} == want
+        reading.PAIR_BLOCK = kept
