@@ -90,8 +90,8 @@ def p4_sample(spark: SparkSession, d: str, earlier: DataFrame | None = None) ->
 
 # --- 5: personal information ---------------------------------------------------------------------------
 
-#: The lexicon is a fixed table; a longer list is not used, as contexts are to be read by its terms alone.
-MOST_TERMS = 5000
+#: The lexicon is a fixed table that travels with the tasks; this bounds its size.
+MOST_TERMS = 200_000
 
 
 def _terms(spark: SparkSession, d: str) -> list[str]:

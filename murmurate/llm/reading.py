@@ -82,7 +82,7 @@ class FeatureReader:
             ids[w] = len(facts)
             facts.append(self.fact(w))
         flat = np.fromiter((ids[w] for ws in words for w in ws), np.int64)
-        n = np.array([len(ws) for ws in words])
+        n = np.array([len(ws) for ws in words], np.int64)
         table = np.array(facts, float).reshape(len(facts), 8 + len(BANDS) + 2)
         start = np.concatenate(([0], np.cumsum(n)))
         # A form of "to be" right before a participle, in one text.
@@ -97,7 +97,7 @@ class FeatureReader:
 
         # One fact after the other, so that memory is a few numbers per word.
         got = np.stack([*[summed(table[flat, j]) for j in range(table.shape[1] - 2)], summed(passive)], axis=1)
-        sentences = np.maximum([len(_SENTENCE.findall(t)) for t in texts], 1) if texts else np.zeros(0)
+        sentences = np.maximum(np.array([len(_SENTENCE.findall(t)) for t in texts], float), 1)
         breaks = np.array([t.count(",") + t.count(";") + t.count(":") for t in texts], float)
         hyphens = np.array([len(_HYPHEN.findall(t)) if "-" in t else 0 for t in texts], float)
         asks = np.array([t.count("?") for t in texts], float)
