@@ -153,7 +153,9 @@ def rare_characters_replaced(df: DataFrame, text: str, least: int = 10, marker:
     are found by a join on the characters and only those rows are rewritten.
     """
     rare = character_counts(df, text).where(F.col("occurrences") < least).select("ch")
-    keyed = df.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    # Rows are told apart by 128 bits of hash over all columns; equal rows are rewritten alike.
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.withColumn("__row", F.struct(F.xxhash64(*cells), F.xxhash64(F.lit(1), *cells)))
     letters = F.array_distinct(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"(?s)[^A-Za-z ]"), F.lit(0)))
     hits = keyed.select("__row", F.explode(letters).alias("ch")).join(rare, "ch").groupBy("__row").agg(F.collect_set("ch").alias("__rare"))
     fixed = F.when(

@@ -9,14 +9,13 @@ from murmurate.schema import PLACEHOLDERS
 
 # What each kind looks like, in the notation of Java's regular expressions with
 # Unicode classes. The kinds, their boundaries and the order of replacement decide the results.
-_WORD = r"[A-Z][\w&/'-]*"
-_SEGMENT = rf"{_WORD}(?:\s(?:{_WORD}|and|of|the|for)){{0,3}}"
-_MODIFIERS = "ctrl|control|alt|altgr|shift|super|win|windows|cmd|command|meta|fn"
-_KEYS = (
-    "tab|esc|escape|enter|return|space|spacebar|delete|del|backspace|capslock|home|end|pgup|pgdn|pageup|pagedown|"
-    "insert|ins|prtsc|up|down|left|right|f1|f2|f3|f4|f5|f6|f7|f8|f9|f10|f11|f12"
+#: A step of a menu path: up to four words, the first with a capital, the others too unless they only join.
+_STEP = r"[A-Z][\w&/'-]*(?:\s(?:[A-Z][\w&/'-]*|and|of|the|for)){0,3}"
+_HELD = "(?:ctrl|control|alt(?:gr)?|shift|super|win(?:dows)?|cmd|command|meta|fn)"
+_PRESSED = (
+    f"(?:{_HELD}|tab|esc(?:ape)?|enter|return|space(?:bar)?|del(?:ete)?|backspace|capslock|home|end|pg(?:up|dn)|page(?:up|down)|"
+    "ins(?:ert)?|prtsc|up|down|left|right|f(?:1[0-2]|[1-9])|[a-z0-9])"
 )
-_KEY = "(?:" + "|".join(sorted(f"{_MODIFIERS}|{_KEYS}".split("|"), key=len, reverse=True)) + "|[a-z0-9])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _H = "[A-Fa-f0-9]{1,4}"
 _UNITS = (
@@ -28,8 +27,8 @@ _UNITS = (
 ).split()
 
 PATTERNS = {
-    "menu_navigation_path": rf"(?U)\b{_SEGMENT}(?:\s*>\s*{_SEGMENT})+",
-    "keyboard_shortcut": rf"(?iU)\b(?:{_MODIFIERS})\s*\+\s*{_KEY}(?:\s*\+\s*{_KEY})*\b",
+    "menu_navigation_path": rf"(?U)\b{_STEP}(?:\s*>\s*{_STEP})+",
+    "keyboard_shortcut": rf"(?iU)\b{_HELD}(?:\s*\+\s*{_PRESSED})+\b",
     "unix_absolute_path": r"(?U)(?<![\w./])/(?:etc|usr|var|home|dev|proc|boot|mnt|media|bin|sbin|opt|root|tmp|lib|lib64|srv|run)(?:/[\w.\-]+)*",
     "url_or_domain": r"""(?iU)\b(?:https?://|www\.)[^\s<>"')]+|(?<!@)\b[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.(?:com|net|org|io|co|gov|edu|info|biz)\b""",
     "email_address": r"(?iU)\b[\w.+-]+@[\w-]+\.[a-z]{2,}(?:\.[a-z]{2,})?\b",

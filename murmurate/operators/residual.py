@@ -74,6 +74,16 @@ def vocabulary(df: DataFrame) -> DataFrame:
     return df.select(F.explode("residual_words").alias("w")).groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("count"))
 
 
+def residual_counts(df: DataFrame, *, text: str = "text_cleaned", dictionary: DataFrame | None = None, word: str = "word") -> DataFrame:
+    """``word, count`` of the residual words of a text column, without those of the dictionary.
+
+    The same as ``vocabulary(with_residuals(…))``, but words are counted first
+    and each distinct one meets the dictionary once; no row needs its own list.
+    """
+    counts = vocabulary(with_candidates(df, text))
+    return counts if dictionary is None else counts.join(dictionary.select(F.lower(col(word)).alias("word")).distinct(), "word", "left_anti")
+
+
 def reviewed_labels(words: DataFrame, *, jargon: DataFrame, languages: DataFrame, nonwords: DataFrame, english: DataFrame) -> DataFrame:
     """``word, count, label`` by precedence: jargon, language, number, known English (none), nonword.
 

@@ -38,6 +38,15 @@ def _name(key: str) -> str:
     return key if len(key) <= _LONGEST_NAME else "\u0000" + hashlib.sha256(key.encode("utf-8", "surrogatepass")).hexdigest()
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with every part optional, as rows without a predecessor have none."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType), True)
+    return kind
+
+
 def _flat(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
@@ -172,15 +181,15 @@ def scan_runs(
     kinds = {f.name: f.dataType for f in work.schema.fields}
     out = T.StructType(
         [
-            *[T.StructField(c, kinds[c], True) for c in kept],
+            *[T.StructField(c, _nullable(kinds[c]), True) for c in kept],
             T.StructField("running_total", T.LongType()),
             T.StructField("run_rank", T.LongType()),
             T.StructField("run_head", T.LongType()),
             T.StructField("__run_open", T.BooleanType()),
             T.StructField("__run_pid", T.IntegerType()),
             *_EDGE,
-            *[T.StructField(f"prev_{c}", kinds[f"__run_lag_{c}"], True) for c in lag],
-            *([T.StructField(f"last_{fill}", kinds[f"__run_fill_{fill}"], True)] if fill else []),
+            *[T.StructField(f"prev_{c}", _nullable(kinds[f"__run_lag_{c}"]), True) for c in lag],
+            *([T.StructField(f"last_{fill}", _nullable(kinds[f"__run_fill_{fill}"]), True)] if fill else []),
         ]
     )
     scanned = scratch.write(ranged.mapInArrow(_scanner(kept, list(lag), fill, to_arrow_schema(out)), out), "runs")

@@ -347,6 +347,8 @@ k AS (SELECT row_id, token, coalesce({slang}[token], {slang}[lower(token)]) AS v
  bool_and(glue = 'prefix' AND regexp_replace(lower(run), '\\d+$', '') = term) AS safe, CASE glue WHEN 'prefix' THEN 0 WHEN 'suffix' THEN 1 ELSE 2 END AS risk FROM glue GROUP BY 1, 2""",
         "residual_vocabulary": f"""WITH {TERMS}, {found}, r AS (SELECT unnest({residuals('t', f"flatten(list_transform(terms, lambda m: {_words('lower(m)')}))")}) AS w FROM matched)
  SELECT lower(w) AS word, count(*) AS count FROM r WHERE lower(w) NOT IN ({listed(STOPWORDS)}) GROUP BY 1""",
+        "residual_lists": f"""WITH {TERMS}, {found}, r AS (SELECT row_id, list_filter({residuals('t', f"flatten(list_transform(terms, lambda m: {_words('lower(m)')}))")}, lambda w: lower(w) NOT IN ({listed(STOPWORDS)})) AS w FROM matched)
+ SELECT row_id, array_to_string(w, ' ') AS words, len(w) > 0 AS has_residual FROM r""",
         "character_classes": f"WITH {CHARS} SELECT CASE {cases} ELSE 'other:unassigned' END AS class, count(*) AS characters, sum(n)::BIGINT AS occurrences FROM odd GROUP BY 1",
         "rare_characters": f"""WITH {CHARS}, rare AS (SELECT list(ch) AS r FROM odd WHERE n < 10)
  SELECT row_id, array_to_string(list_transform(string_split({TEXT}, ''), lambda c: CASE WHEN list_contains(r, c) THEN '\ufffd' ELSE c END), '') AS text_cleaned FROM dialoguetext_196, rare""",

@@ -264,7 +264,7 @@ def residual_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     """Words that the lexicon and a dictionary of common words leave; the dictionary is the most used English words."""
     t = texts(spark, d).withColumn("tech_lexicon_matches", lexicons.term_matches(col("text_cleaned"), lexicon(spark, d)))
     words = spark.createDataFrame([(w,) for w in linguistic.STOPWORDS], "word string")
-    return residual.vocabulary(residual.with_residuals(t, key="row_id", dictionary=words))
+    return residual.residual_counts(t, dictionary=words)
 
 
 def applied_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -299,6 +299,14 @@ def reviewed_labels(spark: SparkSession, d: str) -> DataFrame:
     return residual.reviewed_labels(words, **_review_tables(spark, d))
 
 
+def residual_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The residual words of each message, as text."""
+    t = texts(spark, d).withColumn("tech_lexicon_matches", lexicons.term_matches(col("text_cleaned"), lexicon(spark, d)))
+    words = spark.createDataFrame([(w,) for w in linguistic.STOPWORDS], "word string")
+    out = residual.with_residuals(Scratch(spark, "residuals").write(t, "matched"), key="row_id", dictionary=words)
+    return out.select("row_id", F.array_join("residual_words", " ").alias("words"), "has_residual")
+
+
 def reviewed_text(spark: SparkSession, d: str) -> DataFrame:
     """Messages with the reviewed labels written in; jargon, numbers and uncertain words stay."""
     return residual.apply_labels(texts(spark, d), reviewed_labels(spark, d), key="row_id").select("row_id", "text_cleaned")
@@ -697,7 +705,7 @@ def queries() -> dict[str, Query]:
         "monthly_volume": monthly_volume, "duplicate_figures": duplicate_figures, "most_common": most_common, "missing_report": missing_report,
         "participants_melted": participants_melted, "release_rollup": release_rollup, "silver_violations": silver_violations,
         "csv_round_trip": csv_round_trip, "stream_daily_counts": stream_daily_counts, "streamed_sessions": streamed_sessions,
-        "reviewed_labels": reviewed_labels, "reviewed_text": reviewed_text, "batch_labels": batch_labels, "review_export": review_export, "slang_review": slang_review,
+        "residual_lists": residual_lists, "reviewed_labels": reviewed_labels, "reviewed_text": reviewed_text, "batch_labels": batch_labels, "review_export": review_export, "slang_review": slang_review,
         "raw_structure_counts": raw_structure_counts, "all_match_tallies": all_match_tallies, "contractions": contractions, "probability_measures": probability_measures,
         "transformer_checks": transformer_checks, "core_validation": core_validation, "gold_validation": gold_validation, "bad_json_cells": bad_json_cells,
         "collection_cells": collection_cells, "minute_dates": minute_dates, "filtered_summary": filtered_summary, "longest_messages": longest_messages, "clipped_lengths": clipped_lengths,

@@ -133,3 +133,37 @@ def test_runs_cross_partitions(spark):
     assert scan_runs(df.limit(0), ["g"], ["i"], scratch=Scratch(spark, "t"), head="i").count() == 0
     with pytest.raises(ValueError):
         scan_runs(df.withColumn("run_rank", F.lit(1)), ["g"], ["i"], scratch=Scratch(spark, "t"))
+
+
+def test_a_hot_group_is_spread_over_tasks(spark):
+    """A third of all rows are one sender's, of one conversation, in one minute; no task gets much more than its share."""
+    rows = [(1 if i % 3 == 0 else 100 + i, i, "hot" if i % 3 == 0 else f"u{i}", at(0)) for i in range(6000)]
+    df = spark.createDataFrame(rows, D).repartition(6)
+    kept = {}
+
+    class Kept(Scratch):
+        def write(self, df, name):
+            kept[name] = out = super().write(df, name)
+            return out
+
+    out = scan_runs(df, ["from"], ["date", "message_id"], scratch=Kept(spark, "hot"), partitions=12, lag=["message_id"])
+    per_task = [r["count"] for r in kept["runs"].where("__run_single IS NULL").groupBy("__run_pid").count().collect()]
+    assert len(per_task) >= 10 and max(per_task) < 3 * 6000 / 12
+    hot = sorted((r.run_rank, r.message_id, r.prev_message_id) for r in out.where("`from` = 'hot'").collect())
+    assert hot == [(i + 1, 3 * i, 3 * (i - 1) if i else None) for i in range(2000)]
+    turned = {r.message_id: r.turn_count for r in prepare.turn_features(df, ("message_id",)).where("conversation_id = 1").collect()}
+    assert turned == {3 * i: i for i in range(2000)}
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+def test_asof_scan_equals_the_constant_array(spark, direction):
+    left = spark.createDataFrame([(i, i % 3, None if i == 7 else datetime(2020, 1 + i % 12, 1 + i % 27)) for i in range(90)], "i int, k int, t timestamp")
+    right = spark.createDataFrame([(f"r{i}", i % 3 if i else None, datetime(2020, 1 + i % 12, 5)) for i in range(14)], "name string, k int, t2 timestamp")
+    both = [{r.i: r.name for r in asof_join(left, right.drop("k"), left_on="t", right_on="t2", values=["name"], direction=direction, constant_rows=n).collect()} for n in (0, 200)]
+    assert both[0] == both[1] and both[0][7] is None
+    keyed = {r.i: r.name for r in asof_join(left.repartition(5), right, left_on="t", right_on="t2", values=["name"], by=["k"], direction=direction).collect()}
+    pairs = [(x.t2, x.name, x.k) for x in right.collect()]
+    for r in left.collect():
+        c = [(x, n) for x, n, k in pairs if r.t is not None and k == r.k and (x <= r.t if direction == "backward" else x >= r.t)]
+        best = (max(c)[0] if direction == "backward" else min(c)[0]) if c else None
+        assert keyed[r.i] == (max(n for x, n in c if x == best) if c else None)

@@ -124,3 +124,16 @@ def test_model_table_keeps_what_was_known_at_the_start(spark):
     df = frame(spark, rows, "conversation_id long, message_id long, date string, `from` string, text_length int, conversation_was_answered boolean, conversation_message_count int")
     t = modeling.model_table(df)
     assert t.count() == 1 and t.first().message_id == 1 and not set(modeling.LEAKY) & set(t.columns) and t.first().label == 1.0
+
+
+def test_quantiles_of_groups(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [("a" if i % 3 else None, float(v)) for i, v in enumerate(rng.integers(0, 40, 500))] + [("a", None), ("b", float("nan")), ("c", 7.0)]
+    got = {r.g: (r.n, list(r.q)) for r in statistics.quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", [0.0, 0.25, 0.5, 0.99, 1.0]).collect()}
+    assert set(got) == {"a", None, "c"} and got["c"] == (1, [7.0] * 5)
+    for g in ("a", None):
+        own = [v for k, v in rows if k == g and v is not None]
+        assert got[g][0] == len(own) and np.allclose(got[g][1], np.quantile(own, [0.0, 0.25, 0.5, 0.99, 1.0]))
+    assert statistics.quantile(spark.createDataFrame([], "v double"), "v", 0.5) is None
