@@ -88,6 +88,8 @@ SELECT row_id, strpos(text, email) - 1 AS start_pos, email FROM e""",
         "p10_words": f"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '{_LETTERS}+')) AS words, len(regexp_extract_all(coalesce(text, ''), '{_LETTERS}+')) > 0 AS scored FROM documents",
         "p10_sources": f"SELECT source, count(*) AS documents, sum(len(regexp_extract_all(coalesce(text, ''), '{_LETTERS}+')))::BIGINT AS words FROM documents GROUP BY 1",
         "p4_thresholds": _p4_thresholds(),
+        "p4_kept": """WITH s AS (SELECT message_id, ('0x' || substr(md5('silver-1|' || message_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u, CASE WHEN regexp_full_match(channel, '#help-(es|de|fr|nl|pt|it|ru)') THEN 0.4 ELSE 0.1 END AS rate FROM silver WHERE message_id IS NOT NULL),
+k AS (SELECT message_id, bool_or(u < 0.1) AS e, bool_or(u < rate) AS l FROM s GROUP BY 1) SELECT count(*) FILTER (e) AS earlier, count(*) FILTER (l) AS later, count(*) FILTER (e AND NOT l) AS lost FROM k""",
         "p2_found": P2 + "SELECT record_table, first_id, id AS copy_id FROM run WHERE is_case AND id <> first_id",
         "p2_collapsed": P2 + "SELECT record_table, CASE WHEN is_case THEN first_id ELSE id END AS first_id, count(*) AS copies FROM run GROUP BY 1, 2",
         "p7_found": P7 + "SELECT folder, dialogue, reason FROM v WHERE reason IS NOT NULL",

@@ -88,6 +88,16 @@ def p4_sample(spark: SparkSession, d: str, earlier: DataFrame | None = None) ->
     )
 
 
+def p4_kept(spark: SparkSession, d: str) -> DataFrame:
+    """An earlier sample at the default rate, and the one after channels got lower and higher rates: none of its keys is lost."""
+    draw = lambda thresholds, default: sampling.stable_sample(
+        _table(spark, d, "silver"), key="message_id", stratum="channel", thresholds=thresholds, default=default, salt=SAMPLE_SALT, version=("load_batch", "ingested_at")
+    )
+    earlier, later = draw(*sampling.grown({}, SAMPLE_DEFAULT)), p4_sample(spark, d, sampling.thresholds_table(spark, *sampling.grown({}, SAMPLE_DEFAULT)))
+    both = earlier.select("message_id", F.lit(1).alias("e")).join(later.select("message_id", F.lit(1).alias("l")), "message_id", "full")
+    return both.agg(F.count("e").alias("earlier"), F.count("l").alias("later"), F.count_if(F.col("e").isNotNull() & F.col("l").isNull()).alias("lost"))
+
+
 # --- 5: personal information ---------------------------------------------------------------------------
 
 #: The lexicon is a fixed table that travels with the tasks; this bounds its size.
@@ -246,7 +256,7 @@ def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_collapsed": p2_collapsed,
         "p3_found": p3_found, "p3_segments": p3_segments, "p3_languages": p3_languages,
-        "p4_sample": p4_sample, "p4_thresholds": p4_thresholds,
+        "p4_sample": p4_sample, "p4_thresholds": p4_thresholds, "p4_kept": p4_kept,
         "p5_found": p5_found, "p5_redacted": p5_redacted,
         "p6_found": p6_found, "p6_terms": p6_terms,
         "p7_found": p7_found, "p7_conversations": p7_conversations,
