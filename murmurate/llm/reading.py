@@ -116,8 +116,8 @@ class FeatureReader:
 def with_features(documents: DataFrame, frequent: Sequence[str]) -> DataFrame:
     """Adds ``__words`` (their number) and ``__<feature>`` of the whole text.
 
-    An Arrow UDF, as one look per word and array sums take a fifth of the CPU
-    time that list expressions or a pattern per feature take in the JVM.
+    An Arrow UDF, as one look per word and array sums took about a third of the
+    time that list expressions or a pattern per feature took in the JVM.
     """
     known = list(frequent)
 
