@@ -1,5 +1,6 @@
 import pytest
 
+from murmurate.operators.validate import ValidationError
 from murmurate.plans import pipeline
 from murmurate.plans.pipeline import bronze_to_silver
 
@@ -34,3 +35,16 @@ def test_word_tables_from_the_command_line(spark, tmp_path):
     assert "NONWORD" in r.text_cleaned and r.vader_compound < -0.4
     with pytest.raises(ValueError, match="--labels-jargon"):
         pipeline.word_tables(spark, pipeline._parser().parse_args(base))
+
+
+def test_silver_with_too_many_nonwords_is_refused(spark):
+    rows = [("1", f"{i}.tsv", f"2010-01-01T10:{i % 60:02d}:{i // 60:02d}Z", f"u{i}", "bob", "res") for i in range(120)]
+    df = spark.createDataFrame(rows, BRONZE)
+    word = lambda *w: spark.createDataFrame([(x,) for x in w], "word string")
+    tables = {"jargon": word("x"), "languages": spark.createDataFrame([("hola", "SPANISH")], "word string, label string"), "nonwords": word("res"), "english": word("the")}
+    options = {"residual_policy": "reviewed", "label_tables": tables, "linguistic": False}
+    with pytest.raises(ValidationError, match="NONWORD token rate"):
+        bronze_to_silver(df, [("apt", "TOOL")], **options)
+    assert bronze_to_silver(df, [("apt", "TOOL")], validate=False, **options).count() == 120
+    for how in ("table", "persist", "none"):
+        assert bronze_to_silver(df, [("apt", "TOOL")], max_nonword_rate=1.0, materialization=how, **options).count() == 120
