@@ -7,6 +7,7 @@ from murmurate.operators import prepare
 from murmurate.operators.joins import asof_join
 from murmurate.operators.skew import salted_join
 from murmurate.operators.sorted_runs import scan_runs
+from murmurate.plans.pipeline import bronze_to_silver
 from murmurate.schema import TO_ALL, TO_UNANSWERED, normalized_names
 from murmurate.session import Scratch
 
@@ -167,3 +168,29 @@ def test_asof_scan_equals_the_constant_array(spark, direction):
         c = [(x, n) for x, n, k in pairs if r.t is not None and k == r.k and (x <= r.t if direction == "backward" else x >= r.t)]
         best = (max(c)[0] if direction == "backward" else min(c)[0]) if c else None
         assert keyed[r.i] == (max(n for x, n in c if x == best) if c else None)
+
+
+def test_ids_of_a_message_and_its_copy_without_sender(spark):
+    rows = [(1, "a", "b", "hi", at(0)), (2, "b", "a", "same", at(1)), (3, None, "a", "same", at(1)), (4, "a", "b", "bye", at(2))]
+    rows = [(1, 7, *r) for r in rows] + [(1, 8, i + 10, *r) for i, *r in rows[:2]]
+    schema = "folder long, dialogue_id long, row_id long, `from` string, `to` string, text string, date timestamp"
+    rows = [(f, k, i, s, t, x + str(k), d) for f, k, i, s, t, x, d in rows]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, schema)
+        plain = {r.row_id: r for r in prepare.prepare_bronze(df, tie_break=("row_id",)).collect()}
+        got = {r.row_id: r for r in prepare.prepare_bronze(df, tie_break=("row_id",), unique_ids=True).collect()}
+        assert plain[2].message_id == plain[3].message_id and len({r.message_id for r in got.values()}) == len(got) == 6
+        assert {i for i in got if got[i].message_id != plain[i].message_id} == {3}
+        assert [{**r.asDict(), "message_id": 0} for _, r in sorted(got.items())] == [{**r.asDict(), "message_id": 0} for _, r in sorted(plain.items())]
+
+
+def test_given_ids_are_left_as_they_are(spark):
+    df = spark.createDataFrame([("x", 1, "a", None, "hi", at(0)), ("x", 1, "a", None, "ho", at(0))], "message_id string, conversation_id long, `from` string, `to` string, text string, date timestamp")
+    assert [r.message_id for r in prepare.prepare_bronze(df, unique_ids=True).collect()] == ["x", "x"]
+
+
+def test_silver_of_a_message_and_its_copy_without_sender(spark):
+    rows = [("1", "1.tsv", "2010-01-01T10:00:00Z", "ann", "bob", "hi"), ("1", "1.tsv", "2010-01-01T10:01:00Z", "bob", "ann", "same"), ("1", "1.tsv", "2010-01-01T10:01:00Z", " ", "ann", "same")]
+    df = spark.createDataFrame(rows, "folder string, dialogue_id string, date string, `from` string, `to` string, text string")
+    got = bronze_to_silver(df, [("apt", "TOOL")], linguistic=False, sentiment_mode=None).collect()
+    assert sorted((r["from"], r.text_cleaned) for r in got) == [("ann", "hi"), ("bob", "same"), ("bob", "same")] and len({r.message_id for r in got}) == 3
