@@ -194,3 +194,25 @@ def test_silver_of_a_message_and_its_copy_without_sender(spark):
     df = spark.createDataFrame(rows, "folder string, dialogue_id string, date string, `from` string, `to` string, text string")
     got = bronze_to_silver(df, [("apt", "TOOL")], linguistic=False, sentiment_mode=None).collect()
     assert sorted((r["from"], r.text_cleaned) for r in got) == [("ann", "hi"), ("bob", "same"), ("bob", "same")] and len({r.message_id for r in got}) == 3
+
+
+def test_a_side_is_broadcast_only_if_it_is_small_with_its_salts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    left = spark.range(4000).selectExpr("id", "concat('w', id % 2000) AS w")
+    right = spark.createDataFrame([(f"w{i}",) for i in range(1000)], "w string")
+    try:
+        for most, joined in (("100k", "SortMergeJoin"), ("8m", "BroadcastHashJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            for salts in (1, 9, 16):
+                out = salted_join(left, right, ["w"], spread=["id"], how="left_semi", salts=salts)
+                assert sorted(r.id for r in out.collect()) == [i for i in range(4000) if i % 2000 < 1000]
+            assert joined in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_divided_side_is_never_broadcast(spark):
+    left, right = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, w string"), spark.createDataFrame([("a", 5), ("c", 6)], "w string, n int")
+    out = salted_join(left, right, ["w"], spread=["id"])
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString().replace("BroadcastNestedLoopJoin", "").replace("BroadcastExchange IdentityBroadcastMode", "")
+    assert [(r.id, r.n) for r in out.collect()] == [(1, 5)]
